@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +43,30 @@ def trade_rows(df: DataFrame, text: str = "text", keep=()) -> DataFrame:
     return quotes.select(*keep, *[_typed(name, kind).alias(name) for name, kind in TRADE_FIELDS.items()])
 
 
+def _misfit_names() -> Column:
+    """Names of the misfits. Slower than asking about one field, so only for rows known to have some."""
+    fields = F.array(
+        *[
+            F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.col(f"quote.{name}").alias("raw"))
+            for name, kind in _CHECKED.items()
+        ]
+    )
+
+    def is_misfit(field: Column) -> Column:
+        unfit = F.lit(False)
+        for kind in dict.fromkeys(_CHECKED.values()):
+            unfit = unfit | ((field.kind == kind) & field.raw.try_cast(kind).isNull())
+        return field.raw.isNotNull() & unfit
+
+    return F.transform(F.filter(fields, is_misfit), lambda field: field.getField("name"))
+
+
 def trade_quarantine(df: DataFrame, text: str = "text", keep=("queue", "message_id")) -> DataFrame:
     """Payloads that are not JSON objects, and quotes with a value of the wrong type, with the reason."""
     keep = [c for c in keep if c != text]
-    quotes = _quotes(df, text, [*keep, text])
-    misfits = F.concat_ws(",", *[F.when(_misfit(name, kind), F.lit(name)) for name, kind in _CHECKED.items()])
-    reason = F.when(F.col("quote").isNull(), F.lit("not a list of quotes")).when(
-        misfits != "", F.concat(F.lit("wrong type: "), misfits)
+    any_misfit = reduce(Column.__or__, [_misfit(name, kind) for name, kind in _CHECKED.items()])
+    bad = _quotes(df, text, [*keep, text]).where(F.col("quote").isNull() | any_misfit)
+    reason = F.when(F.col("quote").isNull(), F.lit("not a list of quotes")).otherwise(
+        F.concat(F.lit("wrong type: "), F.array_join(_misfit_names(), ","))
     )
-    return quotes.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(*keep, "quote_no", text, "reason")
+    return bad.select(*keep, "quote_no", text, reason.alias("reason"))

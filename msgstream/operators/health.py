@@ -70,7 +70,8 @@ def queue_status(log: DataFrame, queues: list[str]) -> DataFrame:
 
 
 def _queue_rows(spark: SparkSession, queues: list[str]) -> DataFrame:
-    return spark.createDataFrame([(q,) for q in dict.fromkeys(queues)], "queue string")
+    names = F.array(*[F.lit(q) for q in dict.fromkeys(queues)]).cast("array<string>")
+    return spark.range(1).select(F.explode(names).alias("queue"))
 
 
 def queue_backlog(log: DataFrame, queues: list[str]) -> DataFrame:
@@ -90,14 +91,7 @@ def delivery_conservation(published: DataFrame, received: DataFrame, left: DataF
 
     The inputs need ``queue`` and ``message_id``. Repeats of a message collapse before the shuffle.
     """
-    sides = {"published": published, "received": received, "left": left}
-    marked = [
-        df.select("queue", "message_id", *[F.lit(int(name == side)).alias(name) for name in sides])
-        for side, df in sides.items()
-    ]
-    per_message = reduce(DataFrame.unionByName, marked).groupBy("queue", "message_id").agg(
-        *[F.max(name).alias(name) for name in sides]
-    )
+    per_message = _seen_on(published=published, received=received, left=left)
     both = F.col("received") * F.col("left")
     totals = per_message.groupBy("queue").agg(
         F.sum("published").alias("published"),
@@ -108,6 +102,22 @@ def delivery_conservation(published: DataFrame, received: DataFrame, left: DataF
     return totals.withColumn("conserved", F.col("published") == F.col("left") + F.col("received") - F.col("in_both"))
 
 
+def not_received(published: DataFrame, received: DataFrame) -> DataFrame:
+    """Messages published but not among those received, once each."""
+    return _seen_on(published=published, received=received).where("published = 1 and received = 0").select("queue", "message_id")
+
+
+def _seen_on(**sides: DataFrame) -> DataFrame:
+    """One row per message with a 0/1 column per side. Takes the place of full and anti joins: copies
+    collapse before the shuffle, so no key is hot on either side."""
+    marked = [
+        df.select("queue", "message_id", *[F.lit(int(name == side)).alias(name) for name in sides])
+        for side, df in sides.items()
+    ]
+    merged = reduce(DataFrame.unionByName, marked)
+    return merged.groupBy("queue", "message_id").agg(*[F.max(name).alias(name) for name in sides])
+
+
 def drain_queues(df: DataFrame, queues: list[str]) -> DataFrame:
     """The messages that stay when the listed queues are emptied."""
     return df.where(~F.col("queue").isin(*dict.fromkeys(queues)))

@@ -804,5 +804,4 @@ def job_drain(spark, sf_dir):
     path = _drained(event_stream(spark, sf_dir).select("queue", "message_id", "text"), "drain")
     received = spark.read.schema("queue string, message_id long, text string").parquet(path)
     published = events(spark, sf_dir)
-    left = published.select("queue", "message_id").join(received, ["queue", "message_id"], "left_anti")
-    return health.delivery_conservation(published, received, left)
+    return health.delivery_conservation(published, received, health.not_received(published, received))

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="msgstream-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -20,6 +26,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that all machines share")
-        base = tempfile.mkdtemp(prefix="msgstream-")
-        spark.conf.set(SETTING, base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
 
@@ -16,15 +17,24 @@ _SLICES = 4096
 _ORDERED_ROWS = 100_000
 
 
-def read_queues(spark: SparkSession, path: str, config: ReadConfig, fmt: str = "parquet", schema=ENVELOPE) -> DataFrame:
-    """Messages of the listed queues: a batch if the config sets a limit, else a stream.
+def read_queues(
+    spark: SparkSession,
+    path: str,
+    config: ReadConfig,
+    mapper: Callable[[DataFrame], DataFrame] = lambda df: df,
+    fmt: str = "parquet",
+    schema=ENVELOPE,
+) -> DataFrame:
+    """Messages of the listed queues, mapped: a batch if the config sets a limit, else a stream.
 
     Each message comes once, however often its queue is listed. Tasks follow the files and their
-    splits, so one long queue is read by many of them.
+    splits, so one long queue is read by many of them. ``mapper`` turns envelope rows into records.
     """
     if config.bounded:
-        return limited(select_queues(_reader(spark.read, config, fmt, schema).load(path), config.queues), config)
-    return stream_queues(spark, path, config, fmt, schema)
+        rows = limited(select_queues(_reader(spark.read, config, fmt, schema).load(path), config.queues), config)
+    else:
+        rows = stream_queues(spark, path, config, fmt, schema)
+    return rows.transform(mapper)
 
 
 def stream_queues(spark: SparkSession, path: str, config: ReadConfig, fmt: str = "parquet", schema=ENVELOPE) -> DataFrame:

@@ -96,3 +96,8 @@ def dropped_as_late(query: StreamingQuery) -> int:
     return sum(
         op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"]
     )
+
+
+def empty_polls(query: StreamingQuery) -> int:
+    """Recent triggers that found no new messages."""
+    return sum(progress["numInputRows"] == 0 for progress in query.recentProgress)
