@@ -65,7 +65,9 @@ def trade_quarantine(df: DataFrame, text: str = "text", keep=("queue", "message_
     """Payloads that are not JSON objects, and quotes with a value of the wrong type, with the reason."""
     keep = [c for c in keep if c != text]
     any_misfit = reduce(Column.__or__, [_misfit(name, kind) for name, kind in _CHECKED.items()])
-    bad = _quotes(df, text, [*keep, text]).where(F.col("quote").isNull() | any_misfit)
+    # An empty list has no quote either, but is well formed; only such rows are parsed once more to tell.
+    unparsed = F.col("quote_no").isNotNull() | F.from_json(text, _AS_WRITTEN).isNull()
+    bad = _quotes(df, text, [*keep, text]).where((F.col("quote").isNull() & unparsed) | any_misfit)
     reason = F.when(F.col("quote").isNull(), F.lit("not a list of quotes")).otherwise(
         F.concat(F.lit("wrong type: "), F.array_join(_misfit_names(), ","))
     )

@@ -1,0 +1,85 @@
+import os
+
+import pytest
+from fixtures import messages
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from msgstream import sinks
+from msgstream.plans.flows import windowed, word_count_lines
+
+SCHEMA = StructType([StructField("word", StringType()), StructField("n", LongType())])
+
+
+def text_rows(spark):
+    return messages(spark, [("q", i, i // 2, f"line {i}") for i in range(40)])
+
+
+def written(spark, path):
+    return sorted((r.window_key, r.value) for r in spark.read.schema("value string, window_key string").text(path).collect())
+
+
+def test_one_folder_per_window(spark, folder):
+    path = folder()
+    sinks.write_window_files(windowed(text_rows(spark), "10 seconds"), path, line="text")
+    folders = sorted(f for f in os.listdir(path) if f.startswith("window_key="))
+    assert folders == ["window_key=20240101T000000-20240101T000010", "window_key=20240101T000010-20240101T000020"]
+    assert sorted(v for _, v in written(spark, path)) == sorted(f"line {i}" for i in range(40))
+
+
+def test_shards(spark, folder):
+    path = folder()
+    sinks.write_window_files(windowed(text_rows(spark), "10 seconds"), path, line="text", shards=3)
+    shards = {s for w in os.listdir(path) if w.startswith("window_key=") for s in os.listdir(f"{path}/{w}")}
+    assert shards == {"shard=0-of-3", "shard=1-of-3", "shard=2-of-3"}
+    for w in (w for w in os.listdir(path) if w.startswith("window_key=")):
+        for s in os.listdir(f"{path}/{w}"):
+            assert len([f for f in os.listdir(f"{path}/{w}/{s}") if f.endswith(".txt")]) == 1
+    assert len(written(spark, path)) == 40
+
+
+def test_writing_again_replaces_only_its_windows(spark, folder):
+    path, rows = folder(), windowed(text_rows(spark), "10 seconds")
+    sinks.write_window_files(rows, path, line="text")
+    before = written(spark, path)
+    sinks.write_window_files(rows.where("message_id >= 20"), path, line="text")
+    assert written(spark, path) == before
+
+
+def test_unwindowed_rows_are_refused(spark, folder):
+    with pytest.raises(ValueError, match="windowed"):
+        sinks.write_window_files(text_rows(spark), folder(), line="text")
+
+
+def test_word_count_files(spark, folder):
+    path = folder()
+    sinks.write_window_files(word_count_lines(text_rows(spark)), path, shards=1)
+    assert [v for _, v in written(spark, path)] == ["line: 20", "line: 20"]
+
+
+def test_log_lines(spark):
+    df = spark.createDataFrame([("a: 1",)], "line string")
+    assert [r.line for r in sinks.log_lines(df).collect()] == ["***a: 1"]
+
+
+def test_append_makes_the_table_once(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "n long, word string")
+    for _ in range(2):
+        sinks.append_rows(rows, "appended_words", SCHEMA)
+    found = spark.table("appended_words")
+    assert found.columns == ["word", "n"] and found.count() == 4
+
+
+def test_table_of_another_schema_is_refused(spark):
+    sinks.ensure_table(spark, "word_table", SCHEMA)
+    sinks.ensure_table(spark, "word_table", StructType([StructField("word", StringType(), False), SCHEMA["n"]]))
+    other = StructType([StructField("word", StringType()), StructField("n", StringType())])
+    with pytest.raises(ValueError, match=r"expecting: struct<word:string,n:string>, actual: struct<word:string,n:bigint>"):
+        sinks.ensure_table(spark, "word_table", other)
+
+
+def test_map_columns_do_not_hinder_sharding(spark, folder):
+    path = folder()
+    rows = windowed(text_rows(spark).withColumn("properties", F.create_map(F.lit("a"), F.lit("b"))), "10 seconds")
+    sinks.write_window_files(rows, path, line="text", shards=2)
+    assert len(written(spark, path)) == 40
