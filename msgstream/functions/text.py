@@ -75,6 +75,13 @@ def window_label(start, end) -> Column:
     return F.concat_ws("-", F.date_format(start, "HH.mm"), F.date_format(end, "HH.mm"))
 
 
+def window_file_name(prefix: str, start, end, shard, shards: int, suffix: str = "") -> Column:
+    """``prefix-HH.mm-HH.mm-shard-of-shards`` and the suffix. As the label, it may name several windows."""
+    shard = F.col(shard) if isinstance(shard, str) else shard
+    tail = F.concat(shard.cast("string"), F.lit(f"-of-{shards}{suffix}"))
+    return F.concat_ws("-", F.lit(prefix), window_label(start, end), tail)
+
+
 def window_key(start, end) -> Column:
     """Label unique to the window, safe in a path. The milliseconds appear for windows that need them."""
     def stamp(ts):

@@ -342,6 +342,18 @@ def window_labels(spark, sf_dir):
     return per_window.groupBy(label).agg(F.count("*").alias("windows"), F.sum("count").alias("messages"))
 
 
+@query(
+    "window_file_names",
+    f"""WITH {EVENT_MESSAGES}, timed AS (SELECT time_bucket(INTERVAL '10 seconds', receive_ts) AS w FROM event_messages)
+    SELECT DISTINCT w AS window_start, 'counts-' || strftime(w, '%H.%M') || '-' || strftime(w + INTERVAL '10 seconds', '%H.%M')
+      || '-0-of-1.txt' AS file_name FROM timed""",
+)
+def window_file_names(spark, sf_dir):
+    per_window = words.count_each(flows.windowed(event_texts(spark, sf_dir), "10 seconds"), ("window",))
+    name = tx.window_file_name("counts", "window.start", "window.end", F.lit(0), 1, ".txt").alias("file_name")
+    return per_window.select(ntz("window.start").alias("window_start"), name)
+
+
 @query(
     "freshness_by_queue",
     f"""WITH {EVENT_MESSAGES}, waits AS (

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgstream.config import UNBOUNDED, ReadConfig
+from msgstream.operators.dedup import comparable_map
+from msgstream.operators.eventtime import with_event_time
 from msgstream.schemas import ENVELOPE
 
 # Counts gathered per refinement step, and the most rows that are ordered in one place.
@@ -50,8 +52,6 @@ def stream_each_queue(
     Under ``spark.sql.streaming.multipleWatermarkPolicy`` = ``min`` (Spark's default) the slowest
     queue holds back all windows, and an idle one stops them; :func:`stream_queues` has no such stall.
     """
-    from msgstream.operators.eventtime import with_event_time
-
     streams = [
         with_event_time(
             stream_queues(spark, path, config.with_(queues=[queue]), fmt, schema), config.use_sender_timestamp, lateness
@@ -93,11 +93,11 @@ def first_records(df: DataFrame, n: int) -> DataFrame:
     last row is found by counting: each step counts the rows in equal slices of the range that still
     holds it and goes on with one slice, by time, then by id, then by a hash of the row. Rows before
     the last slice are kept by a plain filter, and only that slice is ordered. The counting steps are
-    small jobs that read the order columns alone. Rows that agree in every column may share the last
-    slice; as they are the same, any of them will do.
+    small jobs that read the order columns alone. Rows equal in every column may share a slice too
+    large to order; as they are the same, one of them is repeated as often as needed. Every message
+    must have a receive time and an id.
     """
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
-    time_us, row_hash = F.unix_micros("receive_ts"), F.shiftright(F.xxhash64(*plain), 1)
+    time_us, row_hash = F.unix_micros("receive_ts"), F.shiftright(F.xxhash64(*_comparable(df)), 1)
     kept, still_needed, ties = [], n, df
     for key in (time_us, F.col("message_id"), row_hash):
         size, known, low, high = ties.agg(F.count("*"), F.count(key), F.min(key), F.max(key)).first()
@@ -114,10 +114,30 @@ def first_records(df: DataFrame, n: int) -> DataFrame:
         ties = ties.where(~_below(key, time_us, low) & _below(key, time_us, high + 1))
         if size <= _ORDERED_ROWS:
             break
-    last = ties if size <= still_needed else ties.orderBy("receive_ts", "message_id", row_hash).limit(still_needed)
+    if size <= still_needed:
+        last = ties
+    elif size > _ORDERED_ROWS and ties.select(*_comparable(df)).distinct().limit(2).count() == 1:
+        last = _repeated(ties.limit(1), still_needed)
+    else:
+        last = ties.orderBy("receive_ts", "message_id", row_hash).limit(still_needed)
     return reduce(DataFrame.union, [*kept, last])
 
 
+def _comparable(df: DataFrame) -> list[Column]:
+    """All columns in a form that can be compared and hashed."""
+    return [
+        comparable_map(f.name).alias(f.name) if f.dataType.typeName() == "map" else F.col(f.name) for f in df.schema.fields
+    ]
+
+
+def _repeated(row: DataFrame, times: int) -> DataFrame:
+    """One row that many times, made by as many tasks as there are blocks of copies."""
+    blocks = row.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((times - 1) // _ORDERED_ROWS))))
+    copies = blocks.repartition("_block").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(_ORDERED_ROWS))))
+    wanted = F.col("_block").cast("long") * _ORDERED_ROWS + F.col("_copy") <= times
+    return copies.where(wanted).drop("_block", "_copy")
+
+
 def _below(key: Column, time_us: Column, bound: int) -> Column:
     """``key < bound``, on the time column itself where it can reach the scan."""
     if key is time_us:

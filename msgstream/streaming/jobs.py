@@ -29,6 +29,11 @@ def start_table_job(df: DataFrame, table: str, checkpoint: str, trigger: dict) -
     return df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).toTable(table)
 
 
+def start_log(df: DataFrame, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Prints the rows of each micro-batch; see :func:`msgstream.sinks.log_lines`."""
+    return df.writeStream.format("console").option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def start_batches(
     df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict
 ) -> StreamingQuery:

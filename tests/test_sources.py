@@ -33,9 +33,12 @@ def test_first_records_against_sorting(spark, monkeypatch, n):
 
 def test_first_records_of_equal_rows(spark, monkeypatch):
     monkeypatch.setattr(queues, "_ORDERED_ROWS", 3)
-    df = receipts(spark, [("q", 1, 5)] * 20 + [("q", 2, 9)])
-    assert queues.first_records(df, 8).count() == 8
-    assert queues.first_records(df, 21).count() == 21
+    df = receipts(spark, [("q", 0, 1)] + [("q", 1, 5)] * 20 + [("q", 2, 9)])
+    df = df.withColumn("properties", F.create_map(F.lit("a"), F.lit("b")))
+    for n in (1, 2, 4, 8, 9, 20, 21, 22):
+        found = queues.first_records(df, n)
+        assert found.columns == df.columns
+        assert sorted(r.message_id for r in found.collect()) == ([0] + [1] * 20 + [2])[:n]
 
 
 def test_first_records_needs_times(spark):

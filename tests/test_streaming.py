@@ -8,6 +8,7 @@ from fixtures import messages
 from msgstream.config import ReadConfig
 from msgstream.operators import dedup, eventtime, words
 from msgstream.plans.flows import deduplicated_word_count, windowed, word_count_lines
+from msgstream.sinks import log_lines
 from msgstream.sources.queues import read_queues, stream_each_queue
 from msgstream.streaming import jobs
 
@@ -264,3 +265,11 @@ def test_empty_polls(landing, folder):
     path, job = start(landing.add(("q", 1, 0, "a")), folder)
     jobs.drain_job(job)
     assert jobs.empty_polls(jobs.drain_job(job)) == len(jobs.drain_job(job).recentProgress)
+
+
+def test_log_job(landing, folder):
+    landing.add(("q", 1, 0, "hello"))
+    lines = log_lines(landing.stream(), "text")
+    query = jobs.drain_job(lambda trigger: jobs.start_log(lines, folder("checkpoint"), trigger))
+    progress = query.recentProgress[0]
+    assert "ConsoleTable" in progress["sink"]["description"] and progress["sink"]["numOutputRows"] == 1
