@@ -25,13 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Rows over all cores, for costly work on a table of fewer files than cores.
 
     A table at scale has many files and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:

@@ -112,11 +112,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.delivery_log(b.table(spark, sf_dir, "events"))
+    return b.delivery_log(b.spread(b.table(spark, sf_dir, "events"), "event_id"))
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.trade_messages(b.spread(b.table(spark, sf_dir, "lineitem")))
+    return b.trade_messages(b.spread(b.table(spark, sf_dir, "lineitem"), "l_orderkey"))
 
 
 # --- the end-to-end flows -------------------------------------------------------------------------
@@ -458,7 +458,7 @@ def payload_bag_difference(spark, sf_dir):
     SELECT word, count(*) AS count FROM words WHERE word <> '' GROUP BY word""",
 )
 def word_totals(spark, sf_dir):
-    return words.count_words(b.spread(b.table(spark, sf_dir, "documents")), keep=())
+    return words.count_words(b.spread(b.table(spark, sf_dir, "documents"), "doc_id"), keep=())
 
 
 LINE_STATS = r"""count(*) FILTER (regexp_full_match(text, '[\x00-\x20]*')) AS empty_lines, count(text) AS line_count,
