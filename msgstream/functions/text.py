@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # What separates two words, a blank line, and the log prefix.
 WORD_BREAK = r"[^\p{L}]+"
-BLANK_LINE = r"^[\x00-\x20]*$"
+BLANK_LINE = r"\A[\x00-\x20]*\z"
 LOG_PREFIX = "***"
 
 

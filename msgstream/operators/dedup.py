@@ -55,7 +55,10 @@ def comparable_map(column) -> Column:
 
 
 def distinct_content(df: DataFrame, within=(), order=SURVIVOR_ORDER) -> DataFrame:
-    """One row per distinct content: two messages are equal when all of ``CONTENT_FIELDS`` are."""
+    """One row per distinct content: two messages are equal when all of ``CONTENT_FIELDS`` are.
+
+    In a stream name the ``window`` in ``within``, or all contents ever seen are remembered.
+    """
     keyed = df.withColumn("_properties", comparable_map("properties"))
     keys = [*within, "_properties", *(c for c in CONTENT_FIELDS if c != "properties")]
     return first_by(keyed, keys, order).drop("_properties")

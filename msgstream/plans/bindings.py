@@ -35,8 +35,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
+    """The same table as a stream. The pattern names just that path, be it a file or a folder of files."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _sent_again(condition: Column) -> Column:

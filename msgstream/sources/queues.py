@@ -107,7 +107,8 @@ def first_records(df: DataFrame, n: int) -> DataFrame:
             break
         first = low
         while size > _ORDERED_ROWS and low < high:
-            low, high, size, before = _slice_with(ties, key, low, high, still_needed)
+            within = ties.where(~_below(key, time_us, low) & _below(key, time_us, high + 1))
+            low, high, size, before = _slice_with(within, key, low, high, still_needed)
             still_needed -= before
         if low > first:
             kept.append(ties.where(_below(key, time_us, low)))
@@ -146,10 +147,10 @@ def _below(key: Column, time_us: Column, bound: int) -> Column:
 
 
 def _slice_with(df: DataFrame, key: Column, low: int, high: int, rank: int):
-    """The slice of [low, high] holding the row of that rank: bounds, rows in it, rows before it."""
+    """Of the rows, all with keys in [low, high], the slice holding that rank: bounds, rows in it, rows before it."""
     width = (high - low) // _SLICES + 1
     number = F.call_function("div", key - F.lit(low), F.lit(width))
-    counts = df.where(key.between(low, high)).groupBy(number.alias("slice")).count().orderBy("slice").collect()
+    counts = df.groupBy(number.alias("slice")).count().orderBy("slice").collect()
     before = 0
     for row in counts:
         if before + row["count"] >= rank:

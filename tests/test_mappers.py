@@ -146,3 +146,20 @@ def test_log_prefix_and_payload(spark):
     df = spark.createDataFrame([("q", 3)], "queue string, n int")
     row = one(df.select(tx.log_line(F.lit("a: 1")).alias("log"), tx.numbered_payload("queue", "n").alias("p")))
     assert tuple(row) == ("***a: 1", "q - 3")
+
+
+def test_malformed_text_is_replaced_as_usual(spark):
+    """Against Python's decoder, which replaces each maximal malformed part by one U+FFFD."""
+    import random
+
+    rng = random.Random(7)
+    parts = ["é".encode(), "𝄞".encode(), b"a", b"\xff", b"\xe2\x82", b"\xf0\x9d", b"\x80", b"\xc0\xaf", b"\xed\xa0\x80", b"\xf4\x90"]
+    bodies = [b"".join(rng.choices(parts, k=rng.randint(1, 8))) for _ in range(500)]
+    df = spark.createDataFrame([(bytearray(b),) for b in bodies], "content binary").select("content", tx.utf8("content").alias("text"))
+    for row in df.collect():
+        assert row.text == bytes(row.content).decode("utf-8", "replace"), bytes(row.content)
+
+
+def test_line_separators_are_not_blank(spark):
+    df = spark.createDataFrame([("\u2028",), ("\u00a0",), ("\x00\r\n",)], "text string")
+    assert [r.b for r in df.select(tx.is_blank("text").alias("b")).collect()] == [False, False, True]
