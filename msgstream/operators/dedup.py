@@ -14,39 +14,53 @@ CONTENT_FIELDS = ("properties", "destination", "redelivered", "expiration", "pri
 SURVIVOR_ORDER = ("receive_ts", "redelivered", "message_id", "queue")
 
 
-def first_by(df: DataFrame, keys, order=SURVIVOR_ORDER) -> DataFrame:
+def first_by(df: DataFrame, keys, order=SURVIVOR_ORDER, salts: int = 0) -> DataFrame:
     """One whole row per key. NULL keys count as equal here.
 
     In batch the first in ``order`` survives; each task drops its own repeats before the shuffle, so
     a key that holds a large share of the rows sends one row per task. In a stream, or where no
-    order is known, any one survives.
+    order is known, any one survives. A stream shuffles all copies of a message to one task; if some
+    messages come very often, ``salts`` makes that many tasks drop most copies first, at the price
+    of a second set of keys to remember.
     """
     order = [c for c in order if c in df.columns and c not in keys]
-    if df.isStreaming or not order:
+    if df.isStreaming:
+        return _drop_repeats(df, keys, salts, DataFrame.dropDuplicates)
+    if not order:
         return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def distinct_in_window(df: DataFrame, key: str = "message_id", on_null: str = "equal", order=SURVIVOR_ORDER) -> DataFrame:
+def _drop_repeats(df: DataFrame, keys, salts: int, drop) -> DataFrame:
+    if salts:
+        # A row that gets another salt when a task is run again only passes on to the second step.
+        salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        df = drop(salted, [*keys, "_salt"]).drop("_salt")
+    return drop(df, list(keys))
+
+
+def distinct_in_window(
+    df: DataFrame, key: str = "message_id", on_null: str = "equal", order=SURVIVOR_ORDER, salts: int = 0
+) -> DataFrame:
     """One row per ``key`` within each ``window``; the same key in two windows stays twice.
 
     ``on_null`` says what a row without a key is: "equal" to other such rows, to be kept as it is
     ("keep", never shuffled), or an "error".
     """
     if on_null == "equal":
-        return first_by(df, ["window", key], order)
+        return first_by(df, ["window", key], order, salts)
     if on_null == "error":
         checked = F.when(F.col(key).isNotNull(), F.col(key)).otherwise(F.raise_error(F.lit(f"{key} is null")))
-        return first_by(df.withColumn(key, checked), ["window", key], order)
+        return first_by(df.withColumn(key, checked), ["window", key], order, salts)
     if on_null != "keep":
         raise ValueError(f"on_null must be 'equal', 'keep' or 'error', not {on_null!r}")
     missing = F.col(key).isNull()
-    return first_by(df.where(~missing), ["window", key], order).unionByName(df.where(missing))
+    return first_by(df.where(~missing), ["window", key], order, salts).unionByName(df.where(missing))
 
 
-def distinct_by_sequence(df: DataFrame, on_null: str = "keep") -> DataFrame:
-    return distinct_in_window(df, "sequence_number", on_null)
+def distinct_by_sequence(df: DataFrame, on_null: str = "keep", salts: int = 0) -> DataFrame:
+    return distinct_in_window(df, "sequence_number", on_null, salts=salts)
 
 
 def comparable_map(column) -> Column:
@@ -64,9 +78,11 @@ def distinct_content(df: DataFrame, within=(), order=SURVIVOR_ORDER) -> DataFram
     return first_by(keyed, keys, order).drop("_properties")
 
 
-def distinct_across_windows(df: DataFrame, key=("message_id",)) -> DataFrame:
+def distinct_across_windows(df: DataFrame, key=("message_id",), salts: int = 0) -> DataFrame:
     """One row per key for as long as the watermark remembers it; over a whole table, one row per key."""
-    return df.dropDuplicatesWithinWatermark(list(key)) if df.isStreaming else first_by(df, key)
+    if df.isStreaming:
+        return _drop_repeats(df, key, salts, DataFrame.dropDuplicatesWithinWatermark)
+    return first_by(df, key)
 
 
 def receipts(df: DataFrame, keys=("queue", "message_id")) -> DataFrame:

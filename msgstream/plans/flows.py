@@ -23,11 +23,12 @@ def deduplicated_word_count(
     by_sequence: bool = False,
     use_sender_timestamp: bool = False,
     lateness: str = "0 seconds",
+    salts: int = 0,
 ) -> DataFrame:
-    """Words per window, each message counted once in its window."""
+    """Words per window, each message counted once in its window; ``salts`` as in :func:`first_by`."""
     needed = ["message_id", "sequence_number", "sender_ts", "receive_ts", "redelivered", "queue", "text"]
     rows = windowed(df.select(*[c for c in needed if c in df.columns]), width, use_sender_timestamp, lateness)
-    return count_words(distinct_by_sequence(rows) if by_sequence else distinct_in_window(rows))
+    return count_words(distinct_by_sequence(rows, salts=salts) if by_sequence else distinct_in_window(rows, salts=salts))
 
 
 def word_count_lines(

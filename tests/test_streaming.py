@@ -1,14 +1,17 @@
 """Streams against batch, over files that arrive one per micro-batch."""
 
+from collections import Counter
 from datetime import timedelta
 
 import pytest
-from fixtures import messages
+from fixtures import at, envelope_rows, messages
 
 from msgstream.config import ReadConfig
 from msgstream.operators import dedup, eventtime, words
+from msgstream.operators.mappers import text_record
 from msgstream.plans.flows import deduplicated_word_count, windowed, word_count_lines
 from msgstream.sinks import log_lines
+from msgstream.sources.landing import publish
 from msgstream.sources.queues import read_queues, stream_each_queue
 from msgstream.streaming import jobs
 
@@ -128,10 +131,24 @@ def test_missing_sequence_numbers_in_a_stream(landing, drain, spark):
     assert sorted(r.message_id for r in result.collect()) == [1, 1, 9]
 
 
-def test_dedup_across_files(landing, drain):
+def test_salted_dedup_gives_the_same(landing, folder, spark):
+    landing.add(*[("q", 1, 0, "a b", i > 0) for i in range(200)], ("q", 2, 1, "b"))
+    in_order(landing)
+    counts = []
+    for salts in (0, 4):
+        rows = landing.stream().repartition(8)
+        counted = eventtime.window_bounds(deduplicated_word_count(rows, salts=salts))
+        path, checkpoint = folder("out"), folder("checkpoint")
+        jobs.drain_job(lambda trigger: jobs.start_job(counted, path, checkpoint, trigger))
+        counts.append(sorted(spark.read.schema(counted.schema).parquet(path).collect()))
+    assert counts[0] == counts[1] and [r["count"] for r in counts[0] if r.word == "a"][0] == 1
+
+
+@pytest.mark.parametrize("salts", [0, 3])
+def test_dedup_across_files(landing, drain, salts):
     landing.add(("q", 1, 0, "a")).add(("q", 1, 60, "a", True), ("q", 2, 61, "b")).add(("q", 2, 62, "b", True))
     timed = eventtime.with_event_time(landing.stream(), lateness="1 hour")
-    result, _ = drain(dedup.distinct_across_windows(timed).select("message_id"))
+    result, _ = drain(dedup.distinct_across_windows(timed, salts=salts).select("message_id"))
     assert sorted(r.message_id for r in result.collect()) == [1, 2]
 
 
@@ -273,3 +290,30 @@ def test_log_job(landing, folder):
     query = jobs.drain_job(lambda trigger: jobs.start_log(lines, folder("checkpoint"), trigger))
     progress = query.recentProgress[0]
     assert "ConsoleTable" in progress["sink"]["description"] and progress["sink"]["numOutputRows"] == 1
+
+
+def test_from_landing_folder_to_counts(spark, folder):
+    """The whole way as a user would go it: publish, read, map, count, write."""
+    source, path, checkpoint = folder("landing"), folder("out"), folder("checkpoint")
+    rows = [
+        {"queue": q, "message_id": i, "receive_ts": at(i), "sender_ts": at(i), "content": b"to be", "attachment": b" or not"}
+        for q in ("orders", "returns", "other")
+        for i in range(0, 21, 5)
+    ]
+    publish(envelope_rows(spark, rows), source)
+    config = ReadConfig(["orders", "returns", "orders"], use_sender_timestamp=True, advance_timeout_ms=100)
+    read_messages = read_queues(spark, source, config, mapper=text_record)
+    counts = deduplicated_word_count(read_messages, "10 seconds", use_sender_timestamp=config.use_sender_timestamp)
+    query = jobs.start_job(counts.selectExpr("window.start", "word", "count"), path, checkpoint, config.trigger)
+    query.processAllAvailable()
+    jobs.cancel_job(query)
+    found = spark.read.schema("start timestamp, word string, count long").parquet(path).collect()
+    assert Counter(r.word for r in found) == {"to": 2, "be": 2, "or": 2, "not": 2}
+    assert {r["count"] for r in found} == {2}
+
+
+def test_other_source_formats(spark, folder):
+    source = folder("json")
+    envelope_rows(spark, [{"queue": "a", "message_id": i, "content": b"x"} for i in range(3)]).write.json(source)
+    batch = read_queues(spark, source, ReadConfig(["a"], max_num_records=2), mapper=text_record, fmt="json")
+    assert [r.text for r in batch.collect()] == ["x", "x"]
