@@ -40,23 +40,24 @@ def _drop_repeats(df: DataFrame, keys, salts: int, drop) -> DataFrame:
     return drop(df, list(keys))
 
 
-def distinct_in_window(
-    df: DataFrame, key: str = "message_id", on_null: str = "equal", order=SURVIVOR_ORDER, salts: int = 0
-) -> DataFrame:
+def distinct_in_window(df: DataFrame, key="message_id", on_null: str = "equal", order=SURVIVOR_ORDER, salts: int = 0) -> DataFrame:
     """One row per ``key`` within each ``window``; the same key in two windows stays twice.
 
+    ``key`` is a column or several: ids alone do not tell queues apart, ``("queue", "message_id")`` does.
     ``on_null`` says what a row without a key is: "equal" to other such rows, to be kept as it is
     ("keep", never shuffled), or an "error".
     """
+    keys = [key] if isinstance(key, str) else list(key)
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     if on_null == "equal":
-        return first_by(df, ["window", key], order, salts)
+        return first_by(df, ["window", *keys], order, salts)
     if on_null == "error":
-        checked = F.when(F.col(key).isNotNull(), F.col(key)).otherwise(F.raise_error(F.lit(f"{key} is null")))
-        return first_by(df.withColumn(key, checked), ["window", key], order, salts)
+        complaint = F.raise_error(F.lit(f"{', '.join(keys)} is null"))
+        checked = df.withColumn(keys[0], F.when(~missing, F.col(keys[0])).otherwise(complaint))
+        return first_by(checked, ["window", *keys], order, salts)
     if on_null != "keep":
         raise ValueError(f"on_null must be 'equal', 'keep' or 'error', not {on_null!r}")
-    missing = F.col(key).isNull()
-    return first_by(df.where(~missing), ["window", key], order, salts).unionByName(df.where(missing))
+    return first_by(df.where(~missing), ["window", *keys], order, salts).unionByName(df.where(missing))
 
 
 def distinct_by_sequence(df: DataFrame, on_null: str = "keep", salts: int = 0) -> DataFrame:

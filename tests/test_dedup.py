@@ -17,6 +17,12 @@ def test_same_id_once_per_window(spark):
     assert [r.text for r in kept] == ["a", "c"]
 
 
+def test_ids_of_two_queues(spark):
+    df = windowed(messages(spark, [("p", 1, 0, "a"), ("q", 1, 1, "b"), ("q", 1, 2, "b", True)]), "4 seconds")
+    assert ids(dedup.distinct_in_window(df)) == [1]
+    assert ids(dedup.distinct_in_window(df, ("queue", "message_id"))) == [1, 1]
+
+
 def with_sequences(spark, numbers):
     df = messages(spark, [("q", i, 0, "x") for i in range(len(numbers))])
     lookup = F.create_map(*[F.lit(v) for i, n in enumerate(numbers) if n is not None for v in (i, n)])
