@@ -72,5 +72,10 @@ def property_value(name: str, properties: str = "properties") -> Column:
     return F.try_element_at(properties, F.lit(name))
 
 
+def typed_property(name: str, kind: str, properties: str = "properties") -> Column:
+    """The property as a number, boolean, date or the like; NULL where its value does not fit ``kind``."""
+    return F.try_variant_get(F.try_parse_json(property_value(name, properties)), "$", kind)
+
+
 def redelivered_only(df: DataFrame) -> DataFrame:
     return df.where("redelivered")

@@ -292,6 +292,22 @@ def bytes_mapper(spark, sf_dir):
     return records.select("message_id", "redelivered", F.hex("raw").alias("raw"))
 
 
+@query(
+    "property_lookup",
+    f"""WITH {EVENT_MESSAGES} SELECT message_id, redelivered, CASE WHEN event_type <> 'view' THEN k END AS k_text,
+      CASE WHEN event_type <> 'view' THEN CAST(k AS INTEGER) END AS k_number, CAST(NULL AS VARCHAR) AS no_such_property
+    FROM event_messages""",
+)
+def property_lookup(spark, sf_dir):
+    return events(spark, sf_dir).select(
+        "message_id",
+        "redelivered",
+        mappers.property_value("k").alias("k_text"),
+        mappers.typed_property("k", "int").alias("k_number"),
+        mappers.property_value("none").alias("no_such_property"),
+    )
+
+
 @query("redelivered_messages", f"WITH {EVENT_MESSAGES} SELECT queue, message_id, text FROM event_messages WHERE redelivered")
 def redelivered_messages(spark, sf_dir):
     return mappers.redelivered_only(event_texts(spark, sf_dir)).select("queue", "message_id", "text")

@@ -163,3 +163,17 @@ def test_malformed_text_is_replaced_as_usual(spark):
 def test_line_separators_are_not_blank(spark):
     df = spark.createDataFrame([("\u2028",), ("\u00a0",), ("\x00\r\n",)], "text string")
     assert [r.b for r in df.select(tx.is_blank("text").alias("b")).collect()] == [False, False, True]
+
+
+def test_typed_properties(spark):
+    df = envelope_rows(spark, [{"properties": {"n": "12", "b": "true", "f": "1.5", "t": "plain words"}}])
+    row = one(
+        df.select(
+            mappers.typed_property("n", "int").alias("n"),
+            mappers.typed_property("b", "boolean").alias("b"),
+            mappers.typed_property("f", "double").alias("f"),
+            mappers.typed_property("t", "int").alias("t"),
+            mappers.typed_property("none", "int").alias("none"),
+        )
+    )
+    assert tuple(row) == (12, True, 1.5, None, None)
