@@ -70,9 +70,14 @@ def object_path(url, scheme: str = "gs", on_bad: str = "error") -> Column:
     return found.otherwise(F.raise_error(F.concat(F.lit("not a bucket and object path: "), F.coalesce(url, F.lit("null")))))
 
 
+def utc_time(ts) -> Column:
+    """The instant as zone-free UTC time, whatever the session's zone; no two instants look alike."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01").cast("timestamp_ntz"))
+
+
 def window_label(start, end) -> Column:
-    """``HH.mm-HH.mm``. Not unique within a day for windows under a minute, nor across days."""
-    return F.concat_ws("-", F.date_format(start, "HH.mm"), F.date_format(end, "HH.mm"))
+    """``HH.mm-HH.mm`` in UTC. Not unique within a day for windows under a minute, nor across days."""
+    return F.concat_ws("-", *[F.date_format(utc_time(c), "HH.mm") for c in (start, end)])
 
 
 def window_file_name(prefix: str, start, end, shard, shards: int, suffix: str = "") -> Column:
@@ -83,10 +88,11 @@ def window_file_name(prefix: str, start, end, shard, shards: int, suffix: str =
 
 
 def window_key(start, end) -> Column:
-    """Label unique to the window, safe in a path. The milliseconds appear for windows that need them."""
-    def stamp(ts):
+    """Label in UTC, unique to the window and safe in a path. Milliseconds show for windows that need them."""
+
+    def stamp(column):
+        ts = utc_time(column)
         whole = F.date_format(ts, "yyyyMMdd'T'HHmmss")
         return F.when(F.date_trunc("second", ts) == ts, whole).otherwise(F.date_format(ts, "yyyyMMdd'T'HHmmss.SSS"))
 
-    start, end = (F.col(c) if isinstance(c, str) else c for c in (start, end))
     return F.concat_ws("-", stamp(start), stamp(end))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from msgstream.functions.text import utc_time
+
 
 def event_time(use_sender_timestamp: bool = False) -> Column:
     """When the message counts as having happened: as sent, else (or where unknown) as received."""
@@ -26,11 +28,11 @@ def fixed_window(df: DataFrame, width: str) -> DataFrame:
 
 
 def window_bounds(df: DataFrame) -> DataFrame:
-    """``window`` as two zone-free columns, ``window_start`` and ``window_end``."""
+    """``window`` as two zone-free columns in UTC, ``window_start`` and ``window_end``."""
     rest = [c for c in df.columns if c != "window"]
     return df.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        utc_time("window.start").alias("window_start"),
+        utc_time("window.end").alias("window_end"),
         *rest,
     )
 

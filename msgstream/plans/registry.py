@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgstream.config import ReadConfig, default_table_name
@@ -95,10 +95,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def ntz(column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("timestamp_ntz")
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.event_messages(b.table(spark, sf_dir, "events"))
 
@@ -201,11 +197,11 @@ def read_queues(spark, sf_dir):
     landing.publish(events(spark, sf_dir), path)
     config = ReadConfig(READ_QUEUES, max_read_time=timedelta(days=36500))
     records = mappers.text_record(queues.read_queues(spark, path, config), keep=("queue",))
-    return records.select("queue", "message_id", "redelivered", ntz("receive_ts").alias("receive_ts"), "text")
+    return records.select("queue", "message_id", "redelivered", tx.utc_time("receive_ts").alias("receive_ts"), "text")
 
 
 def _read_columns(df: DataFrame) -> DataFrame:
-    return df.select("queue", "message_id", "redelivered", ntz("receive_ts").alias("receive_ts"))
+    return df.select("queue", "message_id", "redelivered", tx.utc_time("receive_ts").alias("receive_ts"))
 
 
 READ_COLUMNS = "SELECT queue, message_id, redelivered, receive_ts FROM event_messages"
@@ -251,8 +247,8 @@ TEXT_COLUMNS = f"""'topic/' || event_type AS destination, CAST(0 AS BIGINT) AS e
 def _plain_record(df: DataFrame) -> DataFrame:
     shown = df.withColumns(
         {
-            "receive_ts": ntz("receive_ts"),
-            "sender_ts": ntz("sender_ts"),
+            "receive_ts": tx.utc_time("receive_ts"),
+            "sender_ts": tx.utc_time("sender_ts"),
             "property_k": mappers.property_value("k"),
             "property_user": mappers.property_value("user"),
         }
@@ -330,8 +326,8 @@ def event_time_policy(spark, sf_dir):
     return event_texts(spark, sf_dir).select(
         "message_id",
         "redelivered",
-        ntz(eventtime.event_time(False)).alias("by_receipt"),
-        ntz(eventtime.event_time(True)).alias("by_sender"),
+        tx.utc_time(eventtime.event_time(False)).alias("by_receipt"),
+        tx.utc_time(eventtime.event_time(True)).alias("by_sender"),
     )
 
 
@@ -367,7 +363,7 @@ def window_labels(spark, sf_dir):
 def window_file_names(spark, sf_dir):
     per_window = words.count_each(flows.windowed(event_texts(spark, sf_dir), "10 seconds"), ("window",))
     name = tx.window_file_name("counts", "window.start", "window.end", F.lit(0), 1, ".txt").alias("file_name")
-    return per_window.select(ntz("window.start").alias("window_start"), name)
+    return per_window.select(tx.utc_time("window.start").alias("window_start"), name)
 
 
 @query(
@@ -395,7 +391,7 @@ def freshness_by_queue(spark, sf_dir):
 def dedup_by_id(spark, sf_dir):
     rows = dedup.distinct_in_window(flows.windowed(event_texts(spark, sf_dir), "4 seconds"))
     return eventtime.window_bounds(rows).select(
-        "window_start", "message_id", ntz("receive_ts").alias("receive_ts"), "redelivered"
+        "window_start", "message_id", tx.utc_time("receive_ts").alias("receive_ts"), "redelivered"
     )
 
 
@@ -420,7 +416,7 @@ def dedup_by_sequence(spark, sf_dir):
 )
 def dedup_content(spark, sf_dir):
     rows = dedup.distinct_content(event_texts(spark, sf_dir))
-    return rows.select("message_id", "redelivered", ntz("receive_ts").alias("receive_ts"), "text")
+    return rows.select("message_id", "redelivered", tx.utc_time("receive_ts").alias("receive_ts"), "text")
 
 
 @query(
@@ -430,7 +426,7 @@ def dedup_content(spark, sf_dir):
 )
 def dedup_across_windows(spark, sf_dir):
     rows = dedup.distinct_across_windows(documents(spark, sf_dir))
-    return rows.select("message_id", ntz("receive_ts").alias("receive_ts"), "redelivered", "text")
+    return rows.select("message_id", tx.utc_time("receive_ts").alias("receive_ts"), "redelivered", "text")
 
 
 RECEIPTS = f"""WITH {EVENT_MESSAGES}, receipts AS (
@@ -722,7 +718,7 @@ START = "TIMESTAMP '2024-01-15 00:00:00'"
       max(event_time) FILTER (kind = 'acked') AS watermark FROM log GROUP BY queue""",
 )
 def queue_watermarks(spark, sf_dir):
-    return eventtime.queue_watermarks(log(spark, sf_dir)).withColumn("watermark", ntz("watermark"))
+    return eventtime.queue_watermarks(log(spark, sf_dir)).withColumn("watermark", tx.utc_time("watermark"))
 
 
 @query(
@@ -733,7 +729,7 @@ def queue_watermarks(spark, sf_dir):
 )
 def overall_watermark(spark, sf_dir):
     rows = log(spark, sf_dir)
-    return eventtime.overall_watermark(rows, F.expr(START)).select(ntz("watermark").alias("watermark"))
+    return eventtime.overall_watermark(rows, F.expr(START)).select(tx.utc_time("watermark").alias("watermark"))
 
 
 @query(
@@ -746,7 +742,7 @@ def overall_watermark(spark, sf_dir):
 )
 def commit_progress(spark, sf_dir):
     progress = eventtime.commit_progress(log(spark, sf_dir), "120 seconds", F.expr(START))
-    return eventtime.window_bounds(progress).drop("window_end").withColumn("watermark", ntz("watermark"))
+    return eventtime.window_bounds(progress).drop("window_end").withColumn("watermark", tx.utc_time("watermark"))
 
 
 # --- streams --------------------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from msgstream import sinks
+from msgstream.operators.eventtime import window_bounds
 from msgstream.plans.flows import windowed, word_count_lines
 
 SCHEMA = StructType([StructField("word", StringType()), StructField("n", LongType())])
@@ -83,3 +84,23 @@ def test_map_columns_do_not_hinder_sharding(spark, folder):
     rows = windowed(text_rows(spark).withColumn("properties", F.create_map(F.lit("a"), F.lit("b"))), "10 seconds")
     sinks.write_window_files(rows, path, line="text", shards=2)
     assert len(written(spark, path)) == 40
+
+
+def test_windows_of_a_repeated_hour_stay_apart(spark, folder):
+    """When clocks go back the local time comes twice; window names do not."""
+    from datetime import datetime, timezone
+
+    start = datetime(2024, 11, 3, 5, 30, tzinfo=timezone.utc)
+    rows = messages(spark, [("q", i, (start.timestamp() - 1_704_067_200) + 3600 * i, f"line {i}") for i in range(2)])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        path = folder()
+        for i in range(2):
+            sinks.write_window_files(windowed(rows.where(F.col("message_id") == i), "10 seconds"), path, line="text")
+        assert written(spark, path) == [
+            ("20241103T053000-20241103T053010", "line 0"), ("20241103T063000-20241103T063010", "line 1"),
+        ]
+        bounds = window_bounds(windowed(rows, "10 seconds")).orderBy("message_id").collect()
+        assert [r.window_start.hour for r in bounds] == [5, 6]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
