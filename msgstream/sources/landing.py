@@ -44,7 +44,7 @@ def numbered_messages(spark: SparkSession, queues: list[str], per_queue: int) ->
     names = F.array(*[F.lit(q) for q in queues])
     ids = spark.range(per_queue * len(queues)).select(
         F.element_at(names, (F.col("id") % len(queues) + 1).cast("int")).alias("queue"),
-        F.floor(F.col("id") / len(queues)).alias("number"),
+        F.call_function("div", "id", F.lit(len(queues))).alias("number"),
     )
     return envelope(
         ids,

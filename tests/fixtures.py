@@ -30,7 +30,3 @@ def messages(spark, rows):
         "*", F.col("receive_ts").alias("sender_ts"), F.col("message_id").alias("sequence_number")
     )
 
-
-def land(df, path, name, newest=None):
-    """Adds the rows to a folder as one file of their own."""
-    df.coalesce(1).write.mode("append").parquet(f"{path}/{name}")

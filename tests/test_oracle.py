@@ -27,3 +27,13 @@ def test_entry(spark):
     result = spark_entry.entry(spark)
     assert result.columns == ["window_start", "word", "count"]
     assert not result.isEmpty()
+
+
+@pytest.mark.parametrize("name", ["word_count_4s_dedup", "word_totals", "stream_word_count", "job_drain", "read_max_records"])
+def test_tables_of_many_files(spark, duck, folder, name):
+    """A table may be a folder of files; streams then take all of them in."""
+    path = folder("tables")
+    for table in ("events", "documents"):
+        spark.read.parquet(f"{SF}/{table}.parquet").repartition(9).write.parquet(f"{path}/{table}.parquet")
+    rows = oracle.spark_rows(spark_entry.queries()[name](spark, path))
+    assert rows == oracle.duck_rows(duck, spark_entry.oracle_sql()[name])

@@ -197,11 +197,8 @@ def two_queues(spark, folder):
     return path
 
 
-MESSAGE_BY_QUEUE = MESSAGE
-
-
 def read(spark, path, names, **settings):
-    return read_queues(spark, path, ReadConfig(names, **settings), schema=MESSAGE_BY_QUEUE)
+    return read_queues(spark, path, ReadConfig(names, **settings), schema=MESSAGE)
 
 
 def test_unlimited_read_is_a_stream(spark, two_queues):
@@ -218,7 +215,7 @@ def test_idle_queue_does_not_stall_one_stream(spark, two_queues, drain):
 def test_watermark_policy_over_queues(spark, two_queues, drain, policy, expected):
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
     try:
-        rows = stream_each_queue(spark, two_queues, ReadConfig(["a", "b", "a"]), "0 seconds", schema=MESSAGE_BY_QUEUE)
+        rows = stream_each_queue(spark, two_queues, ReadConfig(["a", "b", "a"]), "0 seconds", schema=MESSAGE)
         counted = words.count_words(eventtime.fixed_window(rows, "10 seconds"))
         assert drain(eventtime.window_bounds(counted))[0].count() == expected
     finally:
@@ -265,7 +262,9 @@ def test_cancel_leaves_the_rest_unread(spark, landing, folder):
 def test_run_for_a_while(landing, folder, spark):
     path, job = start(landing.add(("q", 1, 0, "a")), folder)
     query = job({"processingTime": "100 milliseconds"})
-    jobs.run_for(query, timedelta(seconds=6))
+    while not query.lastProgress:
+        query.awaitTermination(0.2)
+    jobs.run_for(query, timedelta(seconds=1))
     assert not query.isActive and received(spark, path) == [1]
 
 
