@@ -98,6 +98,14 @@ def first_records(df: DataFrame, n: int) -> DataFrame:
     must have a receive time and an id.
     """
     time_us, row_hash = F.unix_micros("receive_ts"), F.shiftright(F.xxhash64(*_comparable(df)), 1)
+
+    # Bounds are set on the time column itself, where they can reach the scan.
+    def plain(key: Column) -> Column:
+        return F.col("receive_ts") if key is time_us else key
+
+    def bound(key: Column, value: int) -> Column:
+        return F.timestamp_micros(F.lit(value)) if key is time_us else F.lit(value)
+
     kept, still_needed, ties = [], n, df
     for key in (time_us, F.col("message_id"), row_hash):
         size, known, low, high = ties.agg(F.count("*"), F.count(key), F.min(key), F.max(key)).first()
@@ -107,12 +115,12 @@ def first_records(df: DataFrame, n: int) -> DataFrame:
             break
         first = low
         while size > _ORDERED_ROWS and low < high:
-            within = ties.where(~_below(key, time_us, low) & _below(key, time_us, high + 1))
+            within = ties.where(plain(key).between(bound(key, low), bound(key, high)))
             low, high, size, before = _slice_with(within, key, low, high, still_needed)
             still_needed -= before
         if low > first:
-            kept.append(ties.where(_below(key, time_us, low)))
-        ties = ties.where(~_below(key, time_us, low) & _below(key, time_us, high + 1))
+            kept.append(ties.where(plain(key) < bound(key, low)))
+        ties = ties.where(plain(key).between(bound(key, low), bound(key, high)))
         if size <= _ORDERED_ROWS:
             break
     if size <= still_needed:
@@ -139,16 +147,11 @@ def _repeated(row: DataFrame, times: int) -> DataFrame:
     return copies.where(wanted).drop("_block", "_copy")
 
 
-def _below(key: Column, time_us: Column, bound: int) -> Column:
-    """``key < bound``, on the time column itself where it can reach the scan."""
-    if key is time_us:
-        return F.col("receive_ts") < F.timestamp_micros(F.lit(bound))
-    return key < F.lit(bound)
-
-
 def _slice_with(df: DataFrame, key: Column, low: int, high: int, rank: int):
     """Of the rows, all with keys in [low, high], the slice holding that rank: bounds, rows in it, rows before it."""
     width = (high - low) // _SLICES + 1
+    if high - low >= 2**63:
+        key = key.cast("decimal(20,0)")
     number = F.call_function("div", key - F.lit(low), F.lit(width))
     counts = df.groupBy(number.alias("slice")).count().orderBy("slice").collect()
     before = 0

@@ -31,6 +31,14 @@ def test_first_records_against_sorting(spark, monkeypatch, n):
     assert not set(found) - set(ordered(df))
 
 
+def test_first_records_over_all_ids(spark, monkeypatch):
+    monkeypatch.setattr(queues, "_ORDERED_ROWS", 2)
+    ids = [-(2**63), -5, 0, 7, 2**40, 2**62, 2**63 - 2, 2**63 - 1]
+    df = receipts(spark, [("q", i, 5) for i in ids])
+    for n in range(1, len(ids)):
+        assert sorted(r.message_id for r in queues.first_records(df, n).collect()) == ids[:n]
+
+
 def test_first_records_of_equal_rows(spark, monkeypatch):
     monkeypatch.setattr(queues, "_ORDERED_ROWS", 3)
     df = receipts(spark, [("q", 0, 1)] + [("q", 1, 5)] * 20 + [("q", 2, 9)])
