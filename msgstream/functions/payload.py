@@ -11,7 +11,7 @@ from msgstream.schemas import TRADE_FIELDS
 
 # Every value is first read as written, then cast by field, so that a value that does not fit its
 # type can be told from one that is missing.
-_AS_WRITTEN = "array<struct<" + ",".join(f"`{name}`:string" for name in TRADE_FIELDS) + ">>"
+_AS_WRITTEN = "array<array<struct<" + ",".join(f"`{name}`:string" for name in TRADE_FIELDS) + ">>>"
 
 
 def _typed(name: str, kind: str) -> Column:
@@ -32,7 +32,19 @@ _CHECKED = {name: kind for name, kind in TRADE_FIELDS.items() if kind != "string
 
 
 def _quotes(df: DataFrame, text: str, keep) -> DataFrame:
-    return df.select(*keep, F.posexplode_outer(F.from_json(text, _AS_WRITTEN)).alias("quote_no", "quote"))
+    """One row per quote; ``listed`` says whether the whole payload is a list of quotes, or one alone.
+
+    The JSON reader stops after the first value and would pass over what follows. So the payload is
+    read as part of a list that goes on with an empty one: only if that comes last was all of it read.
+    """
+    payload = F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(F.col(text))
+    lists = F.from_json(F.concat(F.lit("["), payload, F.lit(",[]]")), _AS_WRITTEN)
+    parsed = df.select(*keep, lists.alias("lists"))
+    listed = (F.size("lists") > 1) & (F.size(F.try_element_at("lists", F.lit(-1))) == 0)
+    quotes = F.when(listed, F.flatten("lists"))
+    return parsed.select(
+        *keep, quotes.isNotNull().alias("listed"), F.posexplode_outer(quotes).alias("quote_no", "quote")
+    )
 
 
 def trade_rows(df: DataFrame, text: str = "text", keep=()) -> DataFrame:
@@ -65,9 +77,9 @@ def trade_quarantine(df: DataFrame, text: str = "text", keep=("queue", "message_
     """Payloads that are not JSON objects, and quotes with a value of the wrong type, with the reason."""
     keep = [c for c in keep if c != text]
     any_misfit = reduce(Column.__or__, [_misfit(name, kind) for name, kind in _CHECKED.items()])
-    # An empty list has no quote either, but is well formed; only such rows are parsed once more to tell.
-    unparsed = F.col("quote_no").isNotNull() | F.from_json(text, _AS_WRITTEN).isNull()
-    bad = _quotes(df, text, [*keep, text]).where((F.col("quote").isNull() & unparsed) | any_misfit)
+    # An empty list has no quote either, but is well formed.
+    no_quote = F.col("quote").isNull() & (F.col("quote_no").isNotNull() | ~F.col("listed"))
+    bad = _quotes(df, text, [*keep, text]).where(no_quote | any_misfit)
     reason = F.when(F.col("quote").isNull(), F.lit("not a list of quotes")).otherwise(
         F.concat(F.lit("wrong type: "), F.array_join(_misfit_names(), ","))
     )

@@ -59,6 +59,16 @@ def test_blanks_after_colon(spark):
     assert good(spark, '[ { "lowAskSize" : 20 , "sym" : "A" } ]')[0]["lowAskSize"] == 20
 
 
+def test_lists_side_by_side_are_all_read(spark):
+    assert [r["sym"] for r in good(spark, '[{"sym":"A"}],[{"sym":"B"}]')] == ["A", "B"]
+    assert [r["sym"] for r in good(spark, ' {"sym":"A"},{"sym":"B"}')] == ["A", "B"]
+
+
+def test_null_in_a_list(spark):
+    assert [r["sym"] for r in good(spark, '[null,{"sym":"A"}]')] == ["A"]
+    assert bad(spark, '[null,{"sym":"A"}]') == [(0, 0, "not a list of quotes")]
+
+
 def test_missing_fields_are_null(spark):
     row = good(spark, '[{"sym":"A"}]')[0]
     assert set(row) == set(TRADE_FIELDS) and all(v is None for k, v in row.items() if k != "sym")
@@ -68,7 +78,13 @@ def test_no_quotes_no_rows(spark):
     assert good(spark, "[]") == [] and bad(spark, "[]") == []
 
 
-@pytest.mark.parametrize("text", ["not json", "", '[{"sym":"A"},{"sym":', None, "17"])
+@pytest.mark.parametrize(
+    "text",
+    [
+        "not json", "", '[{"sym":"A"},{"sym":', None, "17", "null", "[17]", '[{"sym":"A"},17]', '[[{"sym":"A"}]]',
+        '{"sym":"A"} tail', '{"sym":"A"}\n{"sym":"B"}', '[{"sym":"A"}] [{"sym":"B"}]', '[{"sym":"A"}]] x', "[]] x", "[] x",
+    ],
+)
 def test_not_quotes(spark, text):
     assert good(spark, text) == []
     assert [b[2] for b in bad(spark, text)] == ["not a list of quotes"]
