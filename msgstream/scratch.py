@@ -2,29 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
-@cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="msgstream-")
+def shared_base(spark: SparkSession) -> str:
+    """The folder that all machines share: the one named in ``spark.checkpoint.dir``.
 
+    A session that names none uses a folder below its warehouse, which is shared as well.
+    """
+    base = spark.conf.get(SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
+    return base.rstrip("/")
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a temporary folder; a cluster must name one that all
-    its machines share.
-    """
-    base = spark.conf.get(SETTING, None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that all machines share")
-        base = _local_base()
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new, empty folder below the shared one. It goes when the session's JVM ends."""
+    path = f"{shared_base(spark)}/{purpose}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop_path)
+    files.deleteOnExit(hadoop_path)
+    return path
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to a shared folder and read from it: a cut in the lineage that outlives executors."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
