@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgstream.llm import mixing, packing, topk, toxicity, warc
+from msgstream.llm import mixing, neardup, packing, topk, toxicity, warc
 from msgstream.llm.common import table
 from msgstream.scratch import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op3_b_bit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def op4_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op4_pivotal_mixing, op5_ball_tree_top_k, op6_cost_balanced_packing, op9_zip_warc, op10_toxicity_chain)
+    for f in (op3_b_bit_minhash, op4_pivotal_mixing, op5_ball_tree_top_k, op6_cost_balanced_packing, op9_zip_warc, op10_toxicity_chain)
 }
 
 ORACLES: dict[str, str] = {}
