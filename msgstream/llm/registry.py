@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgstream.llm import mixing, neardup, packing, topk, toxicity, warc
+from msgstream.llm import linededup, mixing, neardup, packing, topk, toxicity, warc
 from msgstream.llm.common import table
 from msgstream.scratch import shared_folder
 
@@ -37,6 +37,11 @@ def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op8_line_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linededup.without_boilerplate(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "text", "n_chars", "lines_removed")
+
+
 def op9_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archived(table(spark, sf_dir, "pages"), shared_folder(spark, "warc"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -49,7 +54,45 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_b_bit_minhash, op4_pivotal_mixing, op5_ball_tree_top_k, op6_cost_balanced_packing, op9_zip_warc, op10_toxicity_chain)
+    for f in (
+        op3_b_bit_minhash,
+        op4_pivotal_mixing,
+        op5_ball_tree_top_k,
+        op6_cost_balanced_packing,
+        op8_line_site_spread,
+        op9_zip_warc,
+        op10_toxicity_chain,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    # A line of 20 code points or more on five sources or more stays in the document of smallest id only, but
+    # for documents of which less than half would be left.
+    "op8_line_site_spread": """
+        WITH lines AS (
+            SELECT doc_id, source, n_chars, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS nr
+            FROM documents
+        ),
+        common AS (
+            SELECT line, min(doc_id) AS first_id FROM lines WHERE length(line) >= 20
+            GROUP BY line HAVING count(DISTINCT coalesce(source, chr(1))) >= 5
+        ),
+        marked AS (
+            SELECT l.*, c.line IS NOT NULL AND c.first_id <> l.doc_id AS common
+            FROM lines l LEFT JOIN common c ON l.line = c.line
+        ),
+        shares AS (
+            SELECT doc_id, sum(CASE WHEN common THEN 0 ELSE length(line) END) >= 0.5 * sum(length(line)) AS page
+            FROM marked GROUP BY doc_id
+        ),
+        texts AS (
+            SELECT m.doc_id, any_value(n_chars) AS n_chars, sum(CASE WHEN common AND page THEN 1 ELSE 0 END) AS lines_removed,
+                   array_to_string(list(line ORDER BY nr) FILTER (NOT (common AND page)), chr(10)) AS text
+            FROM marked m JOIN shares s ON m.doc_id = s.doc_id GROUP BY m.doc_id
+        )
+        SELECT doc_id, coalesce(text, '') AS text, CAST(lines_removed AS BIGINT) AS lines_removed,
+               CASE WHEN lines_removed = 0 THEN n_chars ELSE length(coalesce(text, '')) END AS n_chars
+        FROM texts
+    """,
+}
