@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgstream.llm import linededup, mixing, neardup, packing, topk, toxicity, warc
+from msgstream.llm import linededup, mixing, neardup, packing, phrases, topk, toxicity, warc
 from msgstream.llm.common import table
 from msgstream.scratch import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op2_locally_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_b_bit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
@@ -55,6 +59,7 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_locally_consistent_parsing,
         op3_b_bit_minhash,
         op4_pivotal_mixing,
         op5_ball_tree_top_k,
