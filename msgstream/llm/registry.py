@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgstream.llm import linededup, mixing, neardup, packing, phrases, topk, toxicity, warc
+from msgstream.llm import linededup, mixing, neardup, packing, phrases, topk, toxicity, urlrules, warc
 from msgstream.llm.common import table
 from msgstream.scratch import shared_folder
 
@@ -41,6 +41,10 @@ def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op7_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judged(table(spark, sf_dir, "pages"))
+
+
 def op8_line_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = linededup.without_boilerplate(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "text", "n_chars", "lines_removed")
@@ -64,6 +68,7 @@ QUERIES = {
         op4_pivotal_mixing,
         op5_ball_tree_top_k,
         op6_cost_balanced_packing,
+        op7_url_association_rules,
         op8_line_site_spread,
         op9_zip_warc,
         op10_toxicity_chain,
