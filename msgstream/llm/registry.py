@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgstream.llm import linededup, mixing, neardup, packing, phrases, topk, toxicity, urlrules, warc
+from msgstream.llm import linededup, mixing, neardup, packing, phrases, surrogates, topk, toxicity, urlrules, warc
 from msgstream.llm.common import table
 from msgstream.scratch import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_keyed_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(table(spark, sf_dir, "documents")).select("doc_id", "text", "entities")
+
+
 def op2_locally_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_keyed_surrogates,
         op2_locally_consistent_parsing,
         op3_b_bit_minhash,
         op4_pivotal_mixing,
