@@ -1,0 +1,64 @@
+from msgstream.llm import linededup
+
+LICENSE, OTHER = "Licensed under some public license, version 3", "Share this page with all of your friends"
+
+
+def brute(rows, least_sites=5, least_chars=20):
+    sites, first = {}, {}
+    for doc_id, text, source in rows:
+        for line in text.split("\n") if text is not None else []:
+            sites.setdefault(line, set()).add(source)
+            if doc_id is not None:
+                first[line] = min(first.get(line, doc_id), doc_id)
+    result = []
+    for doc_id, text, _ in rows:
+        if text is None:
+            result.append((doc_id, None, 0))
+            continue
+        lines = text.split("\n")
+        gone = [len(x) >= least_chars and len(sites[x]) >= least_sites and first.get(x) != doc_id for x in lines]
+        left = [x for x, g in zip(lines, gone, strict=True) if not g]
+        if sum(map(len, left)) < 0.5 * sum(map(len, lines)):
+            left = lines
+        result.append((doc_id, "\n".join(left), len(lines) - len(left)))
+    return sorted(result, key=str)
+
+
+def found(df):
+    return sorted(((r.doc_id, r.text, r.lines_removed) for r in df.collect()), key=str)
+
+
+def test_spread_decides(docs):
+    body = "own words of document number {0}, in no other document\nand {0} more that are longer than the rest\n"
+    rows = [(i, body.format(i) + LICENSE, f"s{i % 7}") for i in range(30)]  # seven sites
+    rows += [(100 + i, body.format(100 + i) + OTHER, f"s{i % 4}") for i in range(30)]  # four sites, many rows
+    rows += [(200 + i, f"{LICENSE}\n{OTHER[:5]}\n{LICENSE}", "s1") for i in range(3)]  # nothing else in it
+    rows += [(300 + i, body.format(300 + i) + "Of.", f"s{i}") for i in range(9)]  # too short to judge
+    result = found(linededup.without_boilerplate(docs(rows)))
+    assert result == brute(rows)
+    assert sum(n for _, _, n in result) == 29
+
+
+def test_estimates_near_the_threshold_are_counted(docs):
+    """Lines on 38 to 42 sites, a threshold of 40: sketches alone could not tell."""
+    rows, n = [], 0
+    for sites in range(36, 45):
+        for site in range(sites):
+            rows.append((n, f"{'own words here ' * 6}{n}\na line that stands on {sites} sites", f"site{site}"))
+            n += 1
+    result = found(linededup.without_boilerplate(docs(rows), least_sites=40))
+    assert result == brute(rows, least_sites=40)
+
+
+def test_odd_rows(docs):
+    line = "a line of more than twenty characters"
+    own = "words of its own that fill more than half of all of it {}"
+    rows = [(i, f"{own.format(i)}\n{line}", f"s{i}") for i in range(6)] + [(0, f"{own.format(0)}\n{line}", "s0")]
+    rows += [(7, None, "s"), (8, "", "s"), (9, "\n\n", None), (None, f"{own.format('x')}\n{line}", None), (10, "x" * 200_000, "s")]
+    rows += [(20 + i, f"{own.format(20 + i)}\n{line}\n{line}\n{own.format(-i)}", None) for i in range(3)]
+    given = docs(rows)
+    result = linededup.without_boilerplate(given)
+    assert result.columns == [*given.columns, "lines_removed"]
+    assert found(result) == brute(rows)
+    assert all(r.n_chars == len(r.text or "") for r in result.collect())
+    assert linededup.without_boilerplate(docs([])).collect() == []

@@ -1,0 +1,105 @@
+import re
+
+import pytest
+
+from msgstream.llm import registry, surrogates
+from msgstream.llm.common import table
+
+SF = "/root/testdata/sf0.01"
+PERSONAL = re.compile(
+    r"[\w.+-]+@[\w.]+|\d{1,3}(?:\.\d{1,3}){3}|\d{16}|AKIA[0-9A-Z]{16}|\+\d \(\d{3}\) \d{3}-\d{4}|(?<=token = \")[0-9a-f]+|(?<=password=)\w+"
+)
+
+
+def luhn(number):
+    digits = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def shape(text):
+    return re.sub(r"[A-Z]", "A", re.sub(r"[a-z]", "a", re.sub(r"\d", "9", text)))
+
+
+def test_query(spark):
+    texts = dict(table(spark, SF, "documents").select("doc_id", "text").collect())
+    rows = registry.op1_keyed_surrogates(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    known, shown = set(), {}
+    for r in rows:
+        before, after = PERSONAL.findall(texts[r.doc_id]), PERSONAL.findall(r.text)
+        assert PERSONAL.sub("*", texts[r.doc_id]) == PERSONAL.sub("*", r.text)  # nothing else is touched
+        assert r.entities == len(before) == len(after)
+        for a, b in zip(before, after, strict=True):
+            assert a != b and shown.setdefault(a, b) == b
+            known.add(a)
+            if re.fullmatch(r"\d{16}", a):
+                assert luhn(a) == luhn(b) and a[0] == b[0]
+            elif "@" in a:
+                assert shape(a) == shape(b) and a.rsplit(".", 1)[1] == b.rsplit(".", 1)[1]
+            elif a.count(".") == 3:
+                assert [len(x) for x in a.split(".")] == [len(x) for x in b.split(".")] and all(int(x) < 256 for x in b.split("."))
+    assert len(shown) == len(set(shown.values())) and not known & set(shown.values())
+
+
+def replaced(spark, texts, **settings):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(surrogates.replaced(df, **settings).collect(), key=lambda r: r.doc_id)]
+
+
+def test_names_keep_gender_script_and_coreference(spark):
+    texts = ["Mr. John Smith met Frau Anna Keller. Then Mr Smith paid, Smith or not.", "Frau Keller and Miss Anna Smith",
+             "Господин Иван Петров и Госпожа Анна Петрова"]
+    one, two, three = replaced(spark, texts)
+    name = r"(\w+)"
+    a = re.fullmatch(rf"Mr\. {name} {name} met Frau {name} {name}\. Then Mr {name} paid, Smith or not\.", one)
+    b = re.fullmatch(rf"Frau {name} and Miss {name} {name}", two)
+    assert a and b and a[2] == a[5] == b[3] and a[3] == b[2] and a[4] == b[1] and len({a[1], a[2], a[3], a[4]}) == 4
+    assert a[1].endswith(surrogates.ENDINGS["m"]) and a[3].endswith(surrogates.ENDINGS["f"])
+    c = re.fullmatch(rf"Господин {name} {name} и Госпожа {name} {name}", three)
+    assert c and all(re.fullmatch("[А-я]+", x) for x in c.groups())
+    assert c[1].endswith(surrogates.CYRILLIC_ENDINGS["m"]) and c[3].endswith(surrogates.CYRILLIC_ENDINGS["f"])
+
+
+def test_spellings_of_one_entity(spark):
+    (text,) = replaced(spark, ["JOE@X.COM joe@x.com | 743-555-3824 +1 (743) 555-3824 | 4111 1111 1111 1111 4111111111111111"])
+    mails, phones, cards = text.split(" | ")
+    upper, lower = mails.split(" ")
+    assert upper == lower.upper() and lower.islower() and lower != "joe@x.com" and lower.endswith(".com")
+    digits = re.sub(r"\D", "", phones)
+    assert re.fullmatch(r"\d{3}-\d{3}-\d{4} \+1 \(\d{3}\) \d{3}-\d{4}", phones) and digits[:10] == digits[11:]
+    assert re.fullmatch(r"4\d{3}( \d{4}){3} 4\d{15}", cards) and luhn(cards[-16:]) and cards[:19].replace(" ", "") == cards[-16:]
+
+
+def test_clean_texts_stay(spark):
+    clean = ["Version 2.0. of 1.2.3.4.5 on 2024-01-31", "room 12 at 10:30, 555-1234 and 300.1.2.3", "a @ b.c", "password: unknown-to-everyone",
+             "Mr. x and Mrs", "", None, "deadbeef 0x1234 12345678901"]
+    assert replaced(spark, clean) == clean
+
+
+def test_crowded_kinds_still_differ(spark):
+    """All 90 addresses with octets of one, one, one and two digits, in a space where draws collide."""
+    texts = [" ".join(f"{a}.{b}.1.10" for a in range(1, 10) for b in range(1, 10))]
+    found = replaced(spark, texts)[0].split(" ")
+    assert len(set(found)) == 81 and not set(found) & set(texts[0].split(" "))
+    assert all(re.fullmatch(r"\d\.\d\.\d\.\d\d", x) for x in found)
+
+
+def test_keys_and_odd_rows(spark, docs):
+    text = "call 743-555-3824"
+    assert replaced(spark, [text]) == replaced(spark, [text]) != replaced(spark, [text], key="another")
+    given = docs([(1, text), (1, text), (None, text), (2, None), (3, "x" * 300_000 + " a1@b.co")])
+    result = surrogates.replaced(given)
+    assert result.columns == [*given.columns, "entities"]
+    assert sorted(r.entities for r in result.collect()) == [0, 1, 1, 1, 1]
+    assert surrogates.replaced(docs([])).collect() == []
+
+
+def test_surrogates_that_cannot_differ_are_an_error(spark):
+    known = spark.createDataFrame([("hex", f"{i:x}") for i in range(16)], "kind string, canonical string")
+    with pytest.raises(ValueError, match="collide"):
+        surrogates.surrogates(known, rounds=3)
+
+
+def test_no_python_in_the_plan(spark):
+    plan = registry.op1_keyed_surrogates(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)

@@ -1,0 +1,94 @@
+import re
+
+import pytest
+
+from msgstream.llm import registry, urlrules
+from msgstream.llm.common import table
+
+SF = "/root/testdata/sf0.01"
+
+
+def parts(url):
+    match = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    if not match:
+        return "", ""
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in match[1]), match[2]
+
+
+def listed(host, path):
+    best = None
+    for name, start, verdict in urlrules.LISTED:
+        if (host == name or host.endswith("." + name)) and path.startswith(start) and (best is None or len(name + start) > len(best[0])):
+            best = name + start, verdict
+    return best or (None, None)
+
+
+def check(rows, urls):
+    assert len(rows) == len(urls)
+    for r in rows:
+        host, path = parts(urls[r.page_id])
+        rule, verdict = listed(host, path)
+        assert (r.host, r.path, r.rule) == (host, path, rule), urls[r.page_id]
+        assert r.verdict == verdict if rule else r.verdict in ("allow", "block")
+
+
+def test_query(spark):
+    urls = dict(table(spark, SF, "pages").select("page_id", "url").collect())
+    check(registry.op7_url_association_rules(spark, SF).collect(), urls)
+
+
+def frame(spark, urls):
+    return spark.createDataFrame([(i, u, "x") for i, u in urls.items()], "page_id long, url string, rule string")
+
+
+def test_odd_urls(spark):
+    odd = [None, "", "no scheme", "http://", "http://net", "http://net/", "http://NET/a", "http://planet/x", "a://b://c.net/d",
+           "http://Éa.NET/x", "http://example.net:80/en/", "http://example.net/en", "http://example.net/en/?x#y", "http://org?/fr/",
+           "http://x.org/fr/#", "http://a.example.com/de/1", "http://a.example.com/DE/1", "http://a.net#f", "http://a\nb.net/c\nd?e",
+           "http://x.net/" + "y/" * 50_000, "://.net/", "http://u@example.net/en/z"]
+    check(urlrules.judged(frame(spark, dict(enumerate(odd)))).collect(), dict(enumerate(odd)))
+    assert urlrules.judged(frame(spark, {})).collect() == []
+
+
+def test_rows_may_repeat(spark):
+    df = frame(spark, {1: "http://a.net/x"})
+    assert [r.verdict for r in urlrules.judged(df.union(df)).collect()] == ["block", "block"]
+
+
+def test_mined_rules_decide_what_no_listed_rule_fits(spark):
+    """Listed rules block shop folders of one domain and allow the rest of it; another domain follows."""
+    rules = (("a.net", "/", "allow"), ("a.net", "/shop/", "block"), ("a.net", "/shop/help/", "allow"))
+    urls = {i: f"http://w{i % 9}.a.net/{'shop' if i % 2 else 'news'}/{i}?s={i}" for i in range(200)}
+    urls |= {300 + i: f"http://b.org/{'shop' if i % 2 else 'news'}/{1000 + i}" for i in range(20)}
+    rows = urlrules.judged(frame(spark, urls), rules=rules).collect()
+    for r in rows:
+        assert r.verdict == ("block" if "/shop/" in urls[r.page_id] else "allow")
+        assert (r.rule is None) == (r.page_id >= 300)
+
+
+def test_rules_against_counting(spark):
+    """Support, confidence and pruning of every rule, by counting all subsets."""
+    from itertools import combinations
+
+    baskets = [({"a", "b"}, "block")] * 6 + [({"a"}, "allow")] * 4 + [({"b", "c"}, "block")] * 5 + [({"c"}, "allow")] * 5
+    df = spark.createDataFrame([(sorted(s), v) for s, v in baskets], "tokens array<string>, label string")
+    rules = {}
+    for n in (1, 2, 3):
+        for items in combinations("abc", n):
+            held = [v for s, v in baskets if set(items) <= s]
+            for verdict in ("allow", "block"):
+                hits = held.count(verdict)
+                if hits / len(baskets) >= 0.2 and hits / len(held) >= 0.4:
+                    rules[items, verdict] = (hits / len(held), hits / len(baskets))
+    kept = {
+        k: v for k, v in rules.items()
+        if not any((tuple(x for x in k[0] if x != less), k[1]) in rules and rules[tuple(x for x in k[0] if x != less), k[1]][0] >= v[0] for less in k[0])
+    }
+    found = {(tuple(r["items"]), r.verdict): (r.confidence, r.support) for r in urlrules.mined_rules(df, 0.2, 0.4).collect()}
+    assert found.keys() == kept.keys() and len(kept) < len(rules)
+    assert all(found[k] == pytest.approx(kept[k]) for k in kept)
+
+
+def test_no_python_in_the_plan(spark):
+    plan = registry.op7_url_association_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
