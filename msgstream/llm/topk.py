@@ -155,7 +155,7 @@ def top_k(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
         "dims", "row", "vec_id", "vector",
     )
-    queries = rows.where(F.col("vec_id") % query_every == 0).select(
+    queries = stored(rows.where(F.col("vec_id") % query_every == 0), "topk-queries").select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.pmod(F.xxhash64("row", F.lit(7)), F.lit(blocks)).cast("int").alias("block"),
         "dims", "row", "vec_id", "vector",
@@ -203,9 +203,8 @@ def top_k(
         return candidates.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(hits(first), HITS)
 
     if shards > 1:
-        kth = best_of(searched(queries, True)).where(F.col("rank") == k).select(
-            F.col("query_row").alias("row"), F.col("score").alias("floor")
-        )
+        kth = best_of(searched(queries, True)).where(F.col("rank") == k)
+        kth = stored(kth.select(F.col("query_row").alias("row"), F.col("score").alias("floor")), "topk-floors")
         queries = queries.join(kth, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE)))
     else:
         queries = queries.withColumn("floor", F.lit(NONE))
