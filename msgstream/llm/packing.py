@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,44 +19,72 @@ PIECES = (
 # Documents that share a set of open sequences, and the token bytes after which a set is closed early.
 BLOCK_DOCS = 4096
 BLOCK_BYTES = 32 << 20
-# Chunks whose ids a worker remembers; beyond it starts anew.
+# Chunks, and words in them, whose ids a worker remembers; beyond it starts anew.
 CHUNKS_KEPT = 400_000
+WORDS_KEPT = 1_200_000
+# Words encoded in one call.
+CALL_WORDS = 512
+# A word of Latin letters at the start of a chunk, up to an ASCII character or the end, which nothing joins or
+# composes it with; then whatever else is in the chunk.
+FIRST_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[\x00-\x7F]|\Z)")
 # Sequence ids: the partition above, the running number of the sequence in it below.
 SEQUENCES_BITS = 40
 
 
-class ChunkIds(dict):
-    """Token ids, as little-endian 32-bit bytes, of text chunks that hold no space.
+class ChunkIds:
+    """Token ids, as little-endian 32-bit bytes, of texts.
 
-    The tokenizer drops white space and never joins what stands on both sides of it, so the ids of a text
-    are those of its chunks one after the other; each distinct chunk is encoded once a worker.
+    The tokenizer drops white space and never joins what stands on both sides of it, nor a word with what is
+    not a letter after it, and it sees words in lower case. So the ids of a text are those of its chunks
+    between spaces one after the other, and those of a chunk are its first word's and the rest's. Each
+    distinct chunk and word is encoded once a worker; words go to the tokenizer many at a time, as the last
+    token of each is marked as such.
     """
 
     def __init__(self, path: str):
-        import os
-
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self) > CHUNKS_KEPT:
-            self.clear()
-        new = [chunk for chunk in chunks if chunk not in self]
-        for chunk, encoding in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self[chunk] = np.asarray(encoding.ids, "<u4").tobytes()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_words(self, new: list[str]) -> None:
+        groups = [new[at : at + CALL_WORDS] for at in range(0, len(new), CALL_WORDS)]
+        for group, ids in zip(groups, self._ids([" ".join(group) for group in groups]), strict=True):
+            parts = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1) if len(ids) else []
+            if len(parts) != len(group):  # a vocabulary without marks
+                parts = self._ids(group)
+            self.words.update((word, part.tobytes()) for word, part in zip(group, parts, strict=True))
+
+    def _learn(self, chunks: set[str]) -> None:
+        if len(self.chunks) > CHUNKS_KEPT:
+            self.chunks.clear()
+        if len(self.words) > WORDS_KEPT:
+            self.words.clear()
+        latin, others = [], set()
+        for chunk in (chunk for chunk in chunks if chunk not in self.chunks):
+            first = FIRST_WORD.match(chunk)
+            if first:
+                latin.append((chunk, first[0].lower(), chunk[first.end() :]))
+                others.add(chunk[first.end() :])
+            else:
+                others.add(chunk)
+        self._learn_words(list({word for _, word, _ in latin if word not in self.words}))
+        new = [chunk for chunk in others if chunk not in self.chunks]
+        self.chunks.update((text, ids.tobytes()) for text, ids in zip(new, self._ids(new), strict=True))
+        self.chunks.update((chunk, self.words[word] + self.chunks[rest]) for chunk, word, rest in latin)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunked = [text.replace("\n", " ").split(" ") for text in texts]
-        self.learn(set().union(*chunked))
-        try:
-            return [b"".join(map(self.__getitem__, chunks)) for chunks in chunked]
-        except KeyError:  # learning made room and dropped chunks of this batch
-            self.clear()
-            self.learn(set().union(*chunked))
-            return [b"".join(map(self.__getitem__, chunks)) for chunks in chunked]
+        self._learn(set().union(*chunked))
+        return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in chunked]
 
 
 @lru_cache(maxsize=2)
