@@ -3,19 +3,12 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 from datetime import timedelta
 
-UNBOUNDED = 2**63 - 1
-
-# Connection options that must be given, and those never shown.
-REQUIRED_OPTIONS = ("host", "username", "password", "vpn_name")
-SECRET_OPTIONS = (
-    "password",
-    "ssl_key_store_password",
-    "ssl_private_key_password",
-    "ssl_trust_store_password",
-)
+# What a job name may not hold, what it may not start with, and what stands in their place.
+NOT_IN_NAMES, NAME_DASH = r"[^a-zA-Z0-9_]", "-"
+NOT_FIRST, NAME_FIRST = r"\A[^a-zA-Z]", "a"
 
 
 def queue_list(text: str) -> list[str]:
@@ -23,44 +16,42 @@ def queue_list(text: str) -> list[str]:
     return [name.strip() for name in text.split(",") if name.strip()]
 
 
-def _require(condition, message: str) -> None:
-    if not condition:
-        raise ValueError(message)
+def _above(least, **kwargs):
+    """A field whose value, if it has one, must lie above ``least``."""
+    return field(metadata={"above": least}, **kwargs)
 
 
 @dataclass(frozen=True)
 class ReadConfig:
     """What to read and how far.
 
-    ``connection`` holds the options of the Spark source that delivers the envelope rows. Leave it
-    ``None`` for file sources; when it is given, it must name a host, a user, a password and a
-    virtual network, and must not fix the client name, since every task opens its own client.
+    Without a limit the read is a stream, unless ``batch`` asks for all there is. ``options`` go to the Spark
+    source as they are and may hold secrets, so they are never shown; which of them a source needs is for the
+    source to say.
     """
 
     queues: list[str]
     use_sender_timestamp: bool = False
-    advance_timeout_ms: int = 500
-    max_num_records: int = UNBOUNDED
-    max_read_time: timedelta | None = None
-    connection: dict | None = field(default=None, repr=False)
-    max_files_per_trigger: int | None = None
+    poll_ms: int = _above(0, default=500)
+    max_records: int | None = _above(0, default=None)
+    max_read_time: timedelta | None = _above(timedelta(0), default=None)
+    batch: bool = False
+    max_files_per_trigger: int | None = _above(0, default=None)
     max_bytes_per_trigger: str | None = None
+    options: dict | None = field(default=None, repr=False)
 
     def __post_init__(self):
-        if self.connection is not None:
-            _require(self.connection.get("client_name") is None, "connection option client_name must be null")
-            for name in REQUIRED_OPTIONS:
-                _require(self.connection.get(name), f"connection option {name} cannot be null")
-        _require(self.queues, "queues cannot be null or empty")
-        _require(not isinstance(self.queues, str), "queues must be a list of names")
-        _require(self.advance_timeout_ms > 0, "advance_timeout_ms must be greater than 0")
-        _require(self.max_num_records > 0, "max_num_records must be greater than 0")
-        if self.max_read_time is not None:
-            _require(self.max_read_time > timedelta(0), "max_read_time must be greater than 0")
+        names = self.queues
+        if isinstance(names, str) or not names or not all(isinstance(n, str) and n for n in names):
+            raise ValueError(f"queues: expected a list of one name or more, got {names!r}")
+        for setting in fields(self):
+            value, least = getattr(self, setting.name), setting.metadata.get("above")
+            if least is not None and value is not None and not value > least:
+                raise ValueError(f"{setting.name}: expected more than {least}, got {value}")
 
     @property
     def bounded(self) -> bool:
-        return self.max_num_records < UNBOUNDED or self.max_read_time is not None
+        return self.batch or self.max_records is not None or self.max_read_time is not None
 
     @property
     def unique_queues(self) -> list[str]:
@@ -69,7 +60,7 @@ class ReadConfig:
 
     @property
     def trigger(self) -> dict:
-        return {"processingTime": f"{self.advance_timeout_ms} milliseconds"}
+        return {"processingTime": f"{self.poll_ms} milliseconds"}
 
     @property
     def rate_options(self) -> dict:
@@ -80,21 +71,12 @@ class ReadConfig:
     def with_(self, **changes) -> ReadConfig:
         return replace(self, **changes)
 
-    def describe(self) -> dict:
-        """Settings safe to print: secrets left out, limits only where set."""
-        shown = {
-            "queues": "\n".join(self.queues),
-            "use_sender_timestamp": self.use_sender_timestamp,
-            "advance_timeout_ms": self.advance_timeout_ms,
-        }
-        if self.max_num_records != UNBOUNDED:
-            shown["max_num_records"] = self.max_num_records
-        if self.max_read_time is not None:
-            shown["max_read_time"] = self.max_read_time
-        for name, value in (self.connection or {}).items():
-            if value is not None and name not in SECRET_OPTIONS and "password" not in name.lower():
-                shown[f"connection.{name}"] = value
-        return shown
+    def summary(self) -> str:
+        """The settings that were made, on one line, fit for a log: no source option shows."""
+        made = {f.name: getattr(self, f.name) for f in fields(self) if f.name != "options"}
+        changed = {f.name: made[f.name] for f in fields(self) if f.name in made and made[f.name] != f.default}
+        changed["queues"] = ",".join(self.unique_queues)
+        return "read " + " ".join(f"{name}={value}" for name, value in changed.items())
 
 
 def default_table_name(job_name: str) -> str:
@@ -103,4 +85,4 @@ def default_table_name(job_name: str) -> str:
 
 def normalize_job_name(name: str) -> str:
     """Job name safe for cluster managers: word characters and dashes, starting with a letter, lower case."""
-    return re.sub(r"\A[^a-zA-Z]", "a", re.sub(r"[^\w]", "-", name, flags=re.ASCII)).lower()
+    return re.sub(NOT_FIRST, NAME_FIRST, re.sub(NOT_IN_NAMES, NAME_DASH, name)).lower()

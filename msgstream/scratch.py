@@ -19,14 +19,13 @@ def shared_base(spark: SparkSession) -> str:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, empty folder below the shared one. It goes when the session's JVM ends."""
-    path = f"{shared_base(spark)}/{purpose}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(hadoop_path)
-    files.deleteOnExit(hadoop_path)
-    return path
+    """The name of a new folder below the shared one. All of a session's go when its JVM ends."""
+    root = f"{shared_base(spark)}/msgstream-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
