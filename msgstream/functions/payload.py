@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,74 +11,86 @@ from msgstream.schemas import TRADE_FIELDS
 # type can be told from one that is missing.
 _AS_WRITTEN = "array<array<struct<" + ",".join(f"`{name}`:string" for name in TRADE_FIELDS) + ">>>"
 
+# How a date is written, and how a value begins that is not a plain one.
+DATE = r"\A\d{4}-\d{2}-\d{2}\z"
+NESTED = r"\A\s*[\[{]"
+
+NO_LIST = "not a list of quotes"
+
 
-def _typed(name: str, kind: str) -> Column:
-    raw = F.col(f"quote.{name}")
+def _typed(raw: Column, kind: str) -> Column:
+    """The value as its type, NULL where it is none: dates are ``yyyy-MM-dd``, numbers finite, text not nested.
+
+    Numbers may stand in quotes. Text that begins with a bracket cannot be told from a nested value.
+    """
     if kind == "string":
-        return raw
+        return F.when(~raw.rlike(NESTED), raw)
+    if kind == "date":
+        return F.when(raw.rlike(DATE), raw.try_cast("date"))
     value = raw.try_cast(kind)
-    return value.cast("double") if kind == "float" else value
+    return F.when(F.abs(value) < float("inf"), value).cast("double") if kind == "float" else value
 
 
-def _misfit(name: str, kind: str) -> Column:
-    """Whether the field holds a value its type cannot take. Never NULL."""
-    raw = F.col(f"quote.{name}")
-    return raw.isNotNull() & raw.try_cast(kind).isNull()
+def _read(quote: Column) -> Column:
+    """STRUCT<raw, value>: the quote as written and with its types."""
+    value = F.struct(*[_typed(quote[name], kind).alias(name) for name, kind in TRADE_FIELDS.items()])
+    return F.struct(quote.alias("raw"), value.alias("value"))
 
 
-_CHECKED = {name: kind for name, kind in TRADE_FIELDS.items() if kind != "string"}
+def _misfit(read: Column, name: str) -> Column:
+    return read["raw"][name].isNotNull() & read["value"][name].isNull()
 
 
-def _quotes(df: DataFrame, text: str, keep) -> DataFrame:
-    """One row per quote; ``listed`` says whether the whole payload is a list of quotes, or one alone.
+def _quotes(text: str) -> Column:
+    """The quotes of a payload, as written; NULL unless all of it is a list of quotes, or one alone.
 
     The JSON reader stops after the first value and would pass over what follows. So the payload is
     read as part of a list that goes on with an empty one: only if that comes last was all of it read.
     """
     payload = F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(F.col(text))
-    lists = F.from_json(F.concat(F.lit("["), payload, F.lit(",[]]")), _AS_WRITTEN)
-    parsed = df.select(*keep, lists.alias("lists"))
-    listed = (F.size("lists") > 1) & (F.size(F.try_element_at("lists", F.lit(-1))) == 0)
-    quotes = F.when(listed, F.flatten("lists"))
-    return parsed.select(
-        *keep, quotes.isNotNull().alias("listed"), F.posexplode_outer(quotes).alias("quote_no", "quote")
-    )
+    return F.from_json(F.concat(F.lit("["), payload, F.lit(",[]]")), _AS_WRITTEN)
 
 
-def trade_rows(df: DataFrame, text: str = "text", keep=()) -> DataFrame:
-    """One row per quote; a field left out is NULL. Quotes that do not parse are in :func:`trade_quarantine`."""
-    quotes = _quotes(df, text, keep).where(F.col("quote").isNotNull())
-    for name, kind in _CHECKED.items():
-        quotes = quotes.where(~_misfit(name, kind))
-    return quotes.select(*keep, *[_typed(name, kind).alias(name) for name, kind in TRADE_FIELDS.items()])
+def _with_quotes(df: DataFrame, text: str, keep) -> DataFrame:
+    """``keep``, ``text`` and ``read``: each quote as written and typed, before any row is made of it."""
+    parsed = df.select(*keep, text, _quotes(text).alias("lists"))
+    whole = (F.size("lists") > 1) & (F.size(F.try_element_at("lists", F.lit(-1))) == 0)
+    return parsed.select(*keep, text, F.when(whole, F.transform(F.flatten("lists"), _read)).alias("read"))
 
 
-def _misfit_names() -> Column:
-    """Names of the misfits. Slower than asking about one field, so only for rows known to have some."""
-    fields = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.col(f"quote.{name}").alias("raw"))
-            for name, kind in _CHECKED.items()
-        ]
-    )
+def trade_rows(df: DataFrame, text: str = "text", keep=()) -> DataFrame:
+    """One row per quote; a field left out is NULL. Quotes that do not parse are in :func:`trade_quarantine`."""
+    good = lambda read: read.isNotNull() & read["raw"].isNotNull() & ~_any_misfit(read)
+    quotes = _with_quotes(df, text, keep).select(*keep, F.explode(F.filter("read", good)).alias("quote"))
+    return quotes.select(*keep, *[F.col(f"quote.value.{name}").alias(name) for name in TRADE_FIELDS])
 
-    def is_misfit(field: Column) -> Column:
-        unfit = F.lit(False)
-        for kind in dict.fromkeys(_CHECKED.values()):
-            unfit = unfit | ((field.kind == kind) & field.raw.try_cast(kind).isNull())
-        return field.raw.isNotNull() & unfit
 
-    return F.transform(F.filter(fields, is_misfit), lambda field: field.getField("name"))
+def _any_misfit(read: Column) -> Column:
+    found = F.lit(False)
+    for name in TRADE_FIELDS:
+        found = found | _misfit(read, name)
+    return found
 
 
 def trade_quarantine(df: DataFrame, text: str = "text", keep=("queue", "message_id")) -> DataFrame:
-    """Payloads that are not JSON objects, and quotes with a value of the wrong type, with the reason."""
+    """What did not parse: ``keep``, ``quote_no``, ``reason``, ``value``.
+
+    A quote with values of the wrong type is told by its place in the payload, the fields and their values;
+    a payload that is no list of quotes by its text, once; a NULL in a list by its place. Quotes that fit are dropped before rows are made,
+    and no text is repeated by quote.
+    """
     keep = [c for c in keep if c != text]
-    any_misfit = reduce(Column.__or__, [_misfit(name, kind) for name, kind in _CHECKED.items()])
-    # An empty list has no quote either, but is well formed.
-    no_quote = F.col("quote").isNull() & (F.col("quote_no").isNotNull() | ~F.col("listed"))
-    bad = _quotes(df, text, [*keep, text]).where(no_quote | any_misfit)
-    reason = F.when(F.col("quote").isNull(), F.lit("not a list of quotes")).otherwise(
-        F.concat(F.lit("wrong type: "), F.array_join(_misfit_names(), ","))
-    )
-    return bad.select(*keep, "quote_no", text, reason.alias("reason"))
+
+    def complaint(read: Column, at: Column) -> Column:
+        names = F.array_compact(F.array(*[F.when(_misfit(read, n), F.lit(n)) for n in TRADE_FIELDS]))
+        values = F.array_compact(F.array(*[F.when(_misfit(read, n), read["raw"][n]) for n in TRADE_FIELDS]))
+        nothing = read["raw"].isNull()
+        reason = F.when(nothing, F.lit(NO_LIST)).otherwise(
+            F.concat(F.lit("wrong type: "), F.array_join(names, ","))
+        )
+        value = F.when(~nothing, F.array_join(values, ","))
+        return F.when(nothing | (F.size(names) > 0), F.struct(at.alias("quote_no"), reason.alias("reason"), value.alias("value")))
+
+    whole = F.struct(F.lit(None).cast("int").alias("quote_no"), F.lit(NO_LIST).alias("reason"), F.col(text).alias("value"))
+    bad = F.when(F.col("read").isNull(), F.array(whole)).otherwise(F.array_compact(F.transform("read", complaint)))
+    return _with_quotes(df, text, keep).select(*keep, F.explode(bad).alias("bad")).select(*keep, "bad.*")
