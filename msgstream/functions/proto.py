@@ -1,117 +1,122 @@
-"""Protobuf bodies holding one required string, as columns.
+"""Protobuf bodies holding one required string, ``Test { required string test = 1 }``, as SQL expressions.
 
-Uses Spark's own protobuf functions where their package is on the classpath, else an Arrow-batched
-UDF over the ``google.protobuf`` runtime.
+A body is a sequence of fields: a varint of field number and wire type, then a varint, eight bytes, four bytes,
+or a varint length and as many bytes. The string is field 1 of the last kind; other fields are passed over.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Callable
 
-# The message is ``Test { required string test = 1 }`` in proto2.
-MESSAGE, FIELD, FIELD_NUMBER = "Test", "test", 1
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
+from msgstream.functions.text import utf8
 
-def _descriptor_file():
-    from google.protobuf import descriptor_pb2
+# The mark before the string, wire types, and the most bytes of a varint.
+STRING_MARK = "0A"
+VARINT, EIGHT_BYTES, SIZED, FOUR_BYTES = 0, 1, 2, 5
+LONGEST_VARINT = 10
 
-    file = descriptor_pb2.FileDescriptorProto(name="msgstream_test.proto", package="msgstream", syntax="proto2")
-    entry = file.message_type.add(name=MESSAGE)
-    entry.field.add(
-        name=FIELD,
-        number=FIELD_NUMBER,
-        type=descriptor_pb2.FieldDescriptorProto.TYPE_STRING,
-        label=descriptor_pb2.FieldDescriptorProto.LABEL_REQUIRED,
-    )
-    return file
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """The expression of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def descriptor_set() -> bytes:
-    from google.protobuf import descriptor_pb2
 
-    return descriptor_pb2.FileDescriptorSet(file=[_descriptor_file()]).SerializeToString()
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
 
 
-def has_native_protobuf(spark: SparkSession) -> bool:
-    """Whether Spark's protobuf functions can be used; asks the analyzer and runs nothing."""
-    from pyspark.sql.protobuf.functions import from_protobuf
+def _varint(number: Column) -> Column:
+    """A number below 2 ** 35 as bytes, seven bits each, low ones first; all but the last have the high bit set."""
+    pieces = []
+    for i in range(5):
+        rest = F.shiftright(number, 7 * i)
+        byte = rest.bitwiseAND(127) + F.when(rest > 127, 128).otherwise(0)
+        pieces.append(F.when((rest > 0) | F.lit(i == 0), F.lpad(F.hex(byte), 2, "0")).otherwise(""))
+    return F.unhex(F.concat(*pieces))
 
-    probe = from_protobuf(F.lit(b""), f"msgstream.{MESSAGE}", binaryDescriptorSet=descriptor_set())
-    try:
-        spark.range(0).select(probe)
-        return True
-    except AnalysisException:
-        return False
 
+def _byte(body: Column, at: Column) -> Column:
+    """The byte at a place counted from 0; NULL beyond the end."""
+    return F.when(at < F.octet_length(body), F.conv(F.hex(F.substr(body, (at + 1).cast("int"), F.lit(1))), 16, 10).cast("long"))
 
-def _message_class():
-    """A function that makes the message class. Being local, it travels to the executors by value."""
-    descriptor_bytes = descriptor_set()
 
-    def build():
-        from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
+def _read_varint(body: Column, at: Column) -> Column:
+    """STRUCT<value, after> of the varint at a place; NULL if it does not end."""
 
-        pool = descriptor_pool.DescriptorPool()
-        for file in descriptor_pb2.FileDescriptorSet.FromString(descriptor_bytes).file:
-            pool.Add(file)
-        return message_factory.GetMessageClass(pool.FindMessageTypeByName("msgstream.Test"))
+    def read(start: Column) -> Column:
+        found, value = F.lit(None).cast("struct<value:bigint,after:bigint>"), _long(0)
+        ends = []
+        for i in range(LONGEST_VARINT):
+            byte = _byte(body, start + i)
+            value = value + F.shiftleft(byte.bitwiseAND(127), 7 * i)
+            ends.append((byte < 128, F.struct(value.alias("value"), (start + i + 1).alias("after"))))
+        for end, result in reversed(ends):
+            found = F.when(end, result).otherwise(found)
+        return found
 
-    return build
+    return _let(at, read)
 
 
-def encode_test(spark: SparkSession, text) -> Column:
+def encode_test(text) -> Column:
     """Text to message bytes. NULL text gives NULL, as a required field cannot be absent."""
-    text = F.col(text) if isinstance(text, str) else text
-    if has_native_protobuf(spark):
-        from pyspark.sql.protobuf.functions import to_protobuf
+    body = F.encode(F.col(text) if isinstance(text, str) else text, "UTF-8")
+    return F.concat(F.unhex(F.lit(STRING_MARK)), _varint(F.octet_length(body).cast("long")), body)
+
+
+def _fields(body: Column) -> Column:
+    """The string of a body of any fields; NULL if it does not parse or has none. One step a field."""
+    size = F.octet_length(body).cast("long")
+    start = F.struct(_long(0).alias("at"), F.lit(None).cast("binary").alias("found"), F.lit(False).alias("bad"))
 
-        body = to_protobuf(F.struct(text.alias(FIELD)), f"msgstream.{MESSAGE}", binaryDescriptorSet=descriptor_set())
-        return F.when(text.isNotNull(), body)
-    build = _message_class()
+    def moved(state: Column, tag: Column, inner: Column) -> Column:
+        wire, number = tag["value"].bitwiseAND(7), F.shiftright(tag["value"], 3)
+        after = (
+            F.when(wire == VARINT, inner["after"])
+            .when(wire == EIGHT_BYTES, tag["after"] + 8)
+            .when(wire == FOUR_BYTES, tag["after"] + 4)
+            .when((wire == SIZED) & (inner["value"] >= 0), inner["after"] + inner["value"])
+        )
 
-    @F.pandas_udf("binary")
-    def encode(values: pd.Series) -> pd.Series:
-        message = build()
-        return values.map(lambda v: None if v is None else message(test=v).SerializeToString())
+        def to(end: Column) -> Column:
+            bad = end.isNull() | (end > size) | (number == 0)
+            string = F.substr(body, (inner["after"] + 1).cast("int"), inner["value"].cast("int"))
+            found = F.when(~bad & (number == 1) & (wire == SIZED), string).otherwise(state["found"])
+            return F.struct(F.coalesce(end, size).alias("at"), found.alias("found"), bad.alias("bad"))
 
-    return encode(text)
+        return _let(after, to)
 
+    def step(state: Column, _: Column) -> Column:
+        following = _let(
+            _read_varint(body, state["at"]),
+            lambda tag: _let(_read_varint(body, tag["after"]), lambda inner: moved(state, tag, inner)),
+        )
+        return F.when(state["bad"] | (state["at"] >= size), state).otherwise(following)
 
-def decode_test(spark: SparkSession, body, on_bad: str = "error") -> Column:
+    # A field has two bytes at least.
+    steps = F.sequence(_long(0), F.call_function("div", size, F.lit(2)))
+    return F.aggregate(steps, start, step, lambda state: F.when(~state["bad"], state["found"]))
+
+
+def decode_test(body, on_bad: str = "error") -> Column:
     """Message bytes to STRUCT<test>. A body that does not parse, or lacks the field, fails the
-    query, or gives NULL with ``on_bad="null"``."""
+    query, or gives NULL with ``on_bad="null"``. One that is just the string is cut without a loop."""
     body = F.col(body) if isinstance(body, str) else body
-    if has_native_protobuf(spark):
-        from pyspark.sql.protobuf.functions import from_protobuf
-
-        mode = "PERMISSIVE" if on_bad == "null" else "FAILFAST"
-        return from_protobuf(body, f"msgstream.{MESSAGE}", options={"mode": mode}, binaryDescriptorSet=descriptor_set())
-    build = _message_class()
-
-    @F.pandas_udf("string")
-    def decode(values: pd.Series) -> pd.Series:
-        from google.protobuf.message import DecodeError
-
-        message = build()
-
-        def one(data):
-            if data is None:
-                return None
-            parsed = message()
-            try:
-                parsed.ParseFromString(bytes(data))
-                if not parsed.IsInitialized():
-                    raise DecodeError("required field test is missing")
-            except DecodeError:
-                if on_bad == "null":
-                    return None
-                raise
-            return parsed.test
-
-        return values.map(one)
-
-    text = decode(body)
-    return F.when(text.isNotNull(), F.struct(text.alias(FIELD)))
+
+    def cut(size: Column) -> Column:
+        plain = (F.hex(F.substr(body, F.lit(1), F.lit(1))) == STRING_MARK) & (
+            size["after"] + size["value"] == F.octet_length(body)
+        )
+        rest = F.substr(body, (size["after"] + 1).cast("int"), size["value"].cast("int"))
+        return F.when(F.coalesce(plain, F.lit(False)), rest).otherwise(_fields(body))
+
+    def result(found: Column) -> Column:
+        read = F.when(found.isNotNull(), F.struct(utf8(found).alias("test")))
+        if on_bad == "null":
+            return read
+        complaint = F.raise_error(F.lit("protobuf body does not parse or lacks its required field"))
+        return F.when(body.isNull() | found.isNotNull(), read).otherwise(complaint)
+
+    return _let(_let(_read_varint(body, _long(1)), cut), result)

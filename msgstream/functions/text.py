@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from msgstream.config import NAME_DASH, NAME_FIRST, NOT_FIRST, NOT_IN_NAMES
+
 # What separates two words, a blank line, and the log prefix.
 WORD_BREAK = r"[^\p{L}]+"
 BLANK_LINE = r"\A[\x00-\x20]*\z"
@@ -46,8 +48,8 @@ def numbered_payload(queue, number) -> Column:
 
 def normalized_name(name) -> Column:
     """Column form of :func:`msgstream.config.normalize_job_name`."""
-    dashed = F.regexp_replace(name, r"[^\w]", "-")
-    return F.lower(F.regexp_replace(dashed, r"\A[^a-zA-Z]", "a"))
+    dashed = F.regexp_replace(name, NOT_IN_NAMES, NAME_DASH)
+    return F.lower(F.regexp_replace(dashed, NOT_FIRST, NAME_FIRST))
 
 
 def table_name(job_name) -> Column:
@@ -70,6 +72,12 @@ def object_path(url, scheme: str = "gs", on_bad: str = "error") -> Column:
     return found.otherwise(F.raise_error(F.concat(F.lit("not a bucket and object path: "), F.coalesce(url, F.lit("null")))))
 
 
+def from_utc(ts) -> Column:
+    """The instant of a zone-free time that is in UTC, whatever the session's zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
+
+
 def utc_time(ts) -> Column:
     """The instant as zone-free UTC time, whatever the session's zone; no two instants look alike."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01").cast("timestamp_ntz"))
