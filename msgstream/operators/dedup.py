@@ -46,6 +46,9 @@ def distinct_in_window(df: DataFrame, key="message_id", on_null: str = "equal",
     ``key`` is a column or several: ids alone do not tell queues apart, ``("queue", "message_id")`` does.
     ``on_null`` says what a row without a key is: "equal" to other such rows, to be kept as it is
     ("keep", never shuffled), or an "error".
+
+    "keep" reads its input twice, once for rows with a key and once for those without: the second reading
+    spares rows without a key the shuffle and, in a stream, the state. Give it rows that are cheap to read.
     """
     keys = [key] if isinstance(key, str) else list(key)
     missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
@@ -89,17 +92,14 @@ def distinct_across_windows(df: DataFrame, key=("message_id",), salts: int = 0)
 def receipts(df: DataFrame, keys=("queue", "message_id")) -> DataFrame:
     """Per message: how often it came, first sent or sent again, and whether its text was always the same.
 
-    Copies are counted by text before they meet, so a message repeated very often stays cheap and
-    no pairs of copies are built.
+    One aggregate, combined before the shuffle, so a message repeated very often stays cheap and no pairs of
+    copies are built. Texts are compared by their SHA-256 and never move; a missing text differs from others.
     """
-    by_text = df.groupBy(*keys, "text").agg(
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    return df.groupBy(*keys).agg(
         F.count_if(~F.col("redelivered")).alias("first_copies"),
         F.count_if(F.col("redelivered")).alias("redelivered_copies"),
-    )
-    return by_text.groupBy(*keys).agg(
-        F.sum("first_copies").alias("first_copies"),
-        F.sum("redelivered_copies").alias("redelivered_copies"),
-        (F.count("*") == 1).alias("same_text"),
+        (F.min(digest) == F.max(digest)).alias("same_text"),
     )
 
 
@@ -111,9 +111,9 @@ def redelivery_pairs(df: DataFrame) -> DataFrame:
 def duplicate_totals(df: DataFrame) -> DataFrame:
     """Per queue: messages, receipts and surplus receipts. A reconnect that re-sends all but one of
     n messages shows 2n - 1 receipts."""
-    total = F.col("first_copies") + F.col("redelivered_copies")
-    return receipts(df).groupBy("queue").agg(
-        F.count("*").alias("messages"), F.sum(total).alias("receipts"), F.sum(total - 1).alias("surplus")
+    per_message = df.groupBy("queue", "message_id").agg(F.count("*").alias("copies"))
+    return per_message.groupBy("queue").agg(
+        F.count("*").alias("messages"), F.sum("copies").alias("receipts"), F.sum(F.col("copies") - 1).alias("surplus")
     )
 
 

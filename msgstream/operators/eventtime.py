@@ -42,7 +42,10 @@ def latency_ms() -> Column:
 
 
 def freshness(df: DataFrame, by=("queue",)) -> DataFrame:
-    """Time from sending to receipt, per queue. Messages without a sender time are counted apart."""
+    """Time from sending to receipt, per queue. Messages without a sender time are counted apart.
+
+    Percentiles are exact; what they gather is one count per distinct number of milliseconds.
+    """
     wait = latency_ms()
     return df.groupBy(*by).agg(
         F.count("sender_ts").alias("timed_messages"),
@@ -51,6 +54,8 @@ def freshness(df: DataFrame, by=("queue",)) -> DataFrame:
         F.max(wait).alias("max_latency_ms"),
         F.sum(wait).alias("total_latency_ms"),
         F.avg(wait).alias("avg_latency_ms"),
+        F.percentile(wait, 0.5).alias("median_latency_ms"),
+        F.percentile(wait, 0.95).alias("p95_latency_ms"),
     )
 
 

@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from msgstream.functions.text import from_utc
 from msgstream.sources.landing import envelope
 
-EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
-
 # The queues of the events, and one that never holds a message.
 EVENT_QUEUES = ["Q/click", "Q/error", "Q/purchase", "Q/signup", "Q/view"]
 IDLE_QUEUE = "Q/idle"
@@ -21,25 +19,9 @@ IDLE_QUEUE = "Q/idle"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A provided table. Its timestamps carry no zone and are taken as UTC throughout."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores, for costly work on a table of fewer files than cores.
-
-    A table at scale has many files and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
-def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
-    """The same table as a stream. The pattern names just that path, be it a file or a folder of files."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
-
-
 def _sent_again(condition: Column) -> Column:
     """First copies, and one more of the messages for which the condition holds."""
     once, twice = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
@@ -53,7 +35,7 @@ def _later(ts: Column, microseconds: Column) -> Column:
 def event_messages(events: DataFrame) -> DataFrame:
     """Envelope rows with ``text``. Events of value 100 and over were sent again two seconds later."""
     rows = events.select("*", _sent_again(F.col("value") >= 100))
-    kind, sent = F.col("event_type"), F.col("ts").cast("timestamp")
+    kind, sent = F.col("event_type"), from_utc("ts")
     wait = F.col("user_id") * 100_000 + F.when(F.col("redelivered"), 2_000_000).otherwise(0)
     k = F.get_json_object("props", "$.k")
     content = F.concat(kind, F.lit(" "))
@@ -108,7 +90,7 @@ def delivery_log(events: DataFrame) -> DataFrame:
     Events under value 10 were not delivered yet, those of type error are not acknowledged. Events of
     value 100 and over were removed from their reader, which re-opened its queue, and delivered again.
     """
-    sent = F.col("ts").cast("timestamp")
+    sent = from_utc("ts")
     received = _later(sent, F.col("user_id") * 100_000)
     size = F.octet_length("props").cast("long")
     again, delivered = F.col("value") >= 100, F.col("value") >= 10
@@ -137,8 +119,10 @@ def delivery_log(events: DataFrame) -> DataFrame:
 def trade_messages(lineitem: DataFrame) -> DataFrame:
     """Each line item as a payload of two quotes, the second with few fields, other spacing and a comma
     in its symbol. Payloads of flag R and status F are cut short; those of flag N and status F hold a
-    size that is no number."""
+    size that is no number. Of flag A, the first quote of line 5 has a year for a date, that of line 6 a
+    price that is no number, and that of line 7 an object for a symbol."""
     date = F.date_format("l_shipdate", "yyyy-MM-dd")
+    odd = F.when(F.col("l_returnflag") == "A", F.col("l_linenumber")).otherwise(0)
     minute = F.concat(F.lit("09:"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0"))
     quantity = F.col("l_quantity").cast("int").cast("string")
     price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
@@ -147,13 +131,15 @@ def trade_messages(lineitem: DataFrame) -> DataFrame:
     flags = F.concat("l_returnflag", "l_linestatus")
     low_ask = F.when(flags == "NF", F.lit('"many"')).otherwise(quantity)
     text = F.concat(
-        F.lit('[{"date":"'), date, F.lit('","sym":"S'), part, F.lit('","time":"'), minute,
+        F.lit('[{"date":"'), F.when(odd == 5, F.substring(date, 1, 4)).otherwise(date), F.lit('","sym":'),
+        F.when(odd == 7, F.lit('{"s":1}')).otherwise(F.concat(F.lit('"S'), part, F.lit('"'))), F.lit(',"time":"'), minute,
         F.lit('","lowAskSize":'), low_ask, F.lit(',"highAskSize":'), quantity, F.lit("0"),
         F.lit(',"lowBidPrice":'), price, F.lit(',"highBidPrice":'), price, F.lit("5"),
         F.lit(',"lowBidSize":'), quantity, F.lit(',"highBidSize":'), quantity,
         F.lit(',"lowTradePrice":'), price, F.lit(',"highTradePrice":'), price,
         F.lit(',"lowTradeSize":0,"highTradeSize":'), quantity,
-        F.lit(',"lowAskPrice":'), price, F.lit(',"highAskPrice":'), price, F.lit(',"vwap":'), tax,
+        F.lit(',"lowAskPrice":'), price, F.lit(',"highAskPrice":'), price, F.lit(',"vwap":'),
+        F.when(odd == 6, F.lit('"NaN"')).otherwise(tax),
         F.lit('},{"date" : "'), date, F.lit('", "sym" : "S'), part, F.lit(',X", "lowAskSize" : '), quantity, F.lit("}]"),
     )
     whole = F.when(flags == "RF", F.substring(text, F.lit(1), F.length(text) - 5)).otherwise(text)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgstream.functions.payload import trade_rows
 from msgstream.functions.proto import decode_test
 from msgstream.operators.dedup import distinct_by_sequence, distinct_in_window
 from msgstream.operators.eventtime import fixed_window, with_event_time
@@ -38,17 +37,12 @@ def word_count_lines(
     return format_counts(count_words(windowed(df, width, use_sender_timestamp, lateness)))
 
 
-def trade_table_rows(df: DataFrame) -> DataFrame:
-    """Trade rows ready to append. No shuffle."""
-    return trade_rows(df)
-
-
 def decoded_messages(
     df: DataFrame, width: str = "4 seconds", use_sender_timestamp: bool = False, lateness: str = "0 seconds"
 ) -> DataFrame:
     """Encoded bodies, once per message id and window, decoded."""
     rows = distinct_in_window(windowed(df, width, use_sender_timestamp, lateness))
-    decoded = decode_test(df.sparkSession, "content")
+    decoded = decode_test("content")
     return rows.select("window", "message_id", decoded.alias("message")).select(
         "window", "message_id", F.col("message.test").alias("test")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from msgstream.config import ReadConfig, default_table_name
 from msgstream.functions import text as tx
 from msgstream.functions.payload import trade_quarantine, trade_rows
-from msgstream.functions.proto import encode_test
+from msgstream.functions.proto import decode_test, encode_test
 from msgstream.operators import dedup, eventtime, health, mappers, words
 from msgstream.plans import bindings as b
 from msgstream.plans import flows
@@ -65,21 +65,30 @@ trade_payloads AS (
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS p, CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR) AS t
   FROM lineitem),
 trade_texts AS (
-  SELECT *, '[{"date":"' || d || '","sym":"S' || l_partkey || '","time":"09:' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0')
+  SELECT *, CASE WHEN l_returnflag = 'A' THEN l_linenumber ELSE 0 END AS odd,
+    '[{"date":"' || CASE WHEN odd = 5 THEN substring(d, 1, 4) ELSE d END || '","sym":'
+    || CASE WHEN odd = 7 THEN '{"s":1}' ELSE '"S' || l_partkey || '"' END || ',"time":"09:' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0')
     || '","lowAskSize":' || CASE WHEN flags = 'NF' THEN '"many"' ELSE q END || ',"highAskSize":' || q || '0'
     || ',"lowBidPrice":' || p || ',"highBidPrice":' || p || '5,"lowBidSize":' || q || ',"highBidSize":' || q
     || ',"lowTradePrice":' || p || ',"highTradePrice":' || p || ',"lowTradeSize":0,"highTradeSize":' || q
-    || ',"lowAskPrice":' || p || ',"highAskPrice":' || p || ',"vwap":' || t
+    || ',"lowAskPrice":' || p || ',"highAskPrice":' || p || ',"vwap":' || CASE WHEN odd = 6 THEN '"NaN"' ELSE t END
     || '},{"date" : "' || d || '", "sym" : "S' || l_partkey || ',X", "lowAskSize" : ' || q || '}]' AS whole
   FROM trade_payloads),
 trade_messages AS (
   SELECT 'Q/' || l_returnflag AS queue, l_orderkey AS message_id, l_linenumber AS priority,
     CASE WHEN flags = 'RF' THEN substring(whole, 1, length(whole) - 5) ELSE whole END AS text
   FROM trade_texts),
-trade_quotes AS (
+parsed_quotes AS (
   SELECT queue, message_id, priority, text, unnest(range(CAST(json_array_length(text) AS BIGINT))) AS quote_no,
     unnest(from_json(text, '["JSON"]')) AS q
-  FROM trade_messages WHERE json_valid(text))
+  FROM trade_messages WHERE json_valid(text)),
+trade_quotes AS (
+  SELECT *, CASE
+    WHEN NOT regexp_full_match(json_extract_string(q, '$.date'), '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN 'date'
+    WHEN json_type(q, '$.sym') = 'OBJECT' THEN 'sym'
+    WHEN json_extract_string(q, '$.vwap') = 'NaN' THEN 'vwap'
+    WHEN TRY_CAST(json_extract_string(q, '$.lowAskSize') AS INT) IS NULL THEN 'lowAskSize' END AS misfit
+  FROM parsed_quotes)
 """
 SENT_TIME = "coalesce(sender_ts, receive_ts)"
 WORD_ROWS = "unnest(regexp_split_to_array(text, '[^\\p{L}]+')) AS word"
@@ -108,11 +117,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.delivery_log(b.spread(b.table(spark, sf_dir, "events"), "event_id"))
+    return b.delivery_log(b.table(spark, sf_dir, "events"))
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.trade_messages(b.spread(b.table(spark, sf_dir, "lineitem"), "l_orderkey"))
+    return b.trade_messages(b.table(spark, sf_dir, "lineitem"))
 
 
 # --- the end-to-end flows -------------------------------------------------------------------------
@@ -176,6 +185,35 @@ def window_files(spark, sf_dir):
     return _window_lines(spark, path)
 
 
+# Windows of the reference width, an hour of them to a folder.
+SHORT_LINES = f"""{WORD_LINES} SELECT strftime(window_start, '%Y%m%dT%H%M%S') || '-' ||
+      strftime(window_start + INTERVAL '10 seconds', '%Y%m%dT%H%M%S') AS window_key, line FROM lines"""
+
+
+@query("window_files_10s", SHORT_LINES)
+def window_files_10s(spark, sf_dir):
+    path = shared_folder(spark, "short-window-files")
+    lines = flows.word_count_lines(event_texts(spark, sf_dir), "10 seconds", use_sender_timestamp=True)
+    write_window_files(lines, path, folders="hour")
+    found = spark.read.schema("value string, window_key string").text(path)
+    return found.select(F.split("value", "\t")[0].alias("window_key"), F.split("value", "\t", 2)[1].alias("line"))
+
+
+@query(
+    "window_file_shards",
+    f"""WITH files AS ({FILE_LINES})
+    SELECT window_key, count(*) AS lines, true AS at_most_three_files FROM files GROUP BY window_key""",
+)
+def window_file_shards(spark, sf_dir):
+    """Window files of three shards at most, counted per window."""
+    path = shared_folder(spark, "sharded-window-files")
+    lines = flows.word_count_lines(event_texts(spark, sf_dir), FILE_WIDTH, use_sender_timestamp=True)
+    write_window_files(lines, path, shards=3)
+    rows = spark.read.schema("value string, window_key string, shard string").text(path)
+    per_file = rows.groupBy("window_key", F.input_file_name().alias("file")).agg(F.count("*").alias("lines"))
+    return per_file.groupBy("window_key").agg(F.sum("lines").alias("lines"), (F.count("*") <= 3).alias("at_most_three_files"))
+
+
 def _window_lines(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema("value string, window_key string").text(path)
     return rows.select("window_key", F.col("value").alias("line"))
@@ -195,11 +233,46 @@ def read_queues(spark, sf_dir):
     """Publishes every message to a landing folder and reads two queues of it, one of them listed twice."""
     path = shared_folder(spark, "landing")
     landing.publish(events(spark, sf_dir), path)
-    config = ReadConfig(READ_QUEUES, max_read_time=timedelta(days=36500))
-    records = mappers.text_record(queues.read_queues(spark, path, config), keep=("queue",))
+    config = ReadConfig(READ_QUEUES, batch=True)
+    records = queues.read_queues(spark, path, config, mapper=lambda rows: mappers.text_record(rows, keep=("queue",)))
     return records.select("queue", "message_id", "redelivered", tx.utc_time("receive_ts").alias("receive_ts"), "text")
 
 
+COPIES = "(SELECT count(*) // 10 FROM events)"
+
+
+def _copies(spark: SparkSession, sf_dir: str) -> int:
+    return b.table(spark, sf_dir, "events").count() // 10
+
+
+@query(
+    "published_copies",
+    f"""SELECT DISTINCT 'Q/' || event_type AS queue, {COPIES} AS messages, 1 AS bodies, 'Test Message' AS test FROM events""",
+)
+def published_copies(spark, sf_dir):
+    """The same encoded message a tenth as often as there are events, for each queue, published and read back."""
+    path = shared_folder(spark, "copies")
+    body = encode_test(F.lit("Test Message"))
+    landing.publish(landing.copies_per_queue(spark, b.EVENT_QUEUES, _copies(spark, sf_dir), body), path)
+    rows = queues.read_queues(spark, path, ReadConfig(b.EVENT_QUEUES, batch=True))
+    test = F.max(decode_test("content")["test"]).alias("test")
+    return rows.groupBy("queue").agg(
+        F.count("*").alias("messages"), F.countDistinct("content").cast("int").alias("bodies"), test
+    )
+
+
+@query(
+    "published_numbered",
+    f"""SELECT 'Q/' || event_type || ' - ' || i AS text
+    FROM (SELECT DISTINCT event_type FROM events), (SELECT unnest(range({COPIES})) AS i)""",
+)
+def published_numbered(spark, sf_dir):
+    path = shared_folder(spark, "numbered")
+    landing.publish(landing.numbered_messages(spark, b.EVENT_QUEUES, _copies(spark, sf_dir)), path)
+    config = ReadConfig(b.EVENT_QUEUES, batch=True)
+    return queues.read_queues(spark, path, config, mapper=lambda rows: mappers.payload(mappers.text_record(rows)))
+
+
 def _read_columns(df: DataFrame) -> DataFrame:
     return df.select("queue", "message_id", "redelivered", tx.utc_time("receive_ts").alias("receive_ts"))
 
@@ -209,7 +282,7 @@ READ_COLUMNS = "SELECT queue, message_id, redelivered, receive_ts FROM event_mes
 
 @query("read_max_records", f"WITH {EVENT_MESSAGES} {READ_COLUMNS} ORDER BY receive_ts, message_id LIMIT 5000")
 def read_max_records(spark, sf_dir):
-    return _read_columns(queues.limited(events(spark, sf_dir), ReadConfig(ALL_QUEUES, max_num_records=5000)))
+    return _read_columns(queues.limited(events(spark, sf_dir), ReadConfig(ALL_QUEUES, max_records=5000)))
 
 
 @query(
@@ -230,7 +303,7 @@ def read_max_time(spark, sf_dir):
     ORDER BY receive_ts, message_id LIMIT 100000""",
 )
 def read_both_limits(spark, sf_dir):
-    config = ReadConfig(READ_QUEUES, max_num_records=100_000, max_read_time=timedelta(days=20))
+    config = ReadConfig(READ_QUEUES, max_records=100_000, max_read_time=timedelta(days=20))
     return _read_columns(queues.limited(queues.select_queues(events(spark, sf_dir), config.queues), config))
 
 
@@ -371,7 +444,8 @@ def window_file_names(spark, sf_dir):
     f"""WITH {EVENT_MESSAGES}, waits AS (
       SELECT queue, date_diff('millisecond', sender_ts, receive_ts) AS wait FROM event_messages)
     SELECT queue, count(wait) AS timed_messages, count(*) - count(wait) AS untimed_messages, min(wait) AS min_latency_ms,
-      max(wait) AS max_latency_ms, CAST(sum(wait) AS BIGINT) AS total_latency_ms, avg(wait) AS avg_latency_ms
+      max(wait) AS max_latency_ms, CAST(sum(wait) AS BIGINT) AS total_latency_ms, avg(wait) AS avg_latency_ms,
+      quantile_cont(wait, 0.5) AS median_latency_ms, quantile_cont(wait, 0.95) AS p95_latency_ms
     FROM waits GROUP BY queue""",
 )
 def freshness_by_queue(spark, sf_dir):
@@ -470,7 +544,7 @@ def payload_bag_difference(spark, sf_dir):
     SELECT word, count(*) AS count FROM words WHERE word <> '' GROUP BY word""",
 )
 def word_totals(spark, sf_dir):
-    return words.count_words(b.spread(b.table(spark, sf_dir, "documents"), "doc_id"), keep=())
+    return words.count_words(b.table(spark, sf_dir, "documents"), keep=())
 
 
 LINE_STATS = r"""count(*) FILTER (regexp_full_match(text, '[\x00-\x20]*')) AS empty_lines, count(text) AS line_count,
@@ -545,8 +619,7 @@ QUOTE_COLUMNS = ", ".join(
     )
     for name, kind in TRADE_FIELDS.items()
 )
-GOOD_QUOTES = """json_extract_string(q, '$.lowAskSize') IS NULL
-      OR TRY_CAST(json_extract_string(q, '$.lowAskSize') AS INT) IS NOT NULL"""
+GOOD_QUOTES = "misfit IS NULL"
 
 
 @query("trade_rows", f"WITH {TRADE_MESSAGES} SELECT queue, message_id, priority, {QUOTE_COLUMNS} FROM trade_quotes WHERE {GOOD_QUOTES}")
@@ -557,9 +630,10 @@ def trade_row_query(spark, sf_dir):
 @query(
     "trade_quarantine",
     f"""WITH {TRADE_MESSAGES}
-    SELECT queue, message_id, CAST(quote_no AS INTEGER) AS quote_no, text, 'wrong type: lowAskSize' AS reason
+    SELECT queue, message_id, CAST(quote_no AS INTEGER) AS quote_no, 'wrong type: ' || misfit AS reason,
+      json_extract_string(q, '$.' || misfit) AS value
     FROM trade_quotes WHERE NOT ({GOOD_QUOTES})
-    UNION ALL SELECT queue, message_id, NULL, text, 'not a list of quotes' FROM trade_messages WHERE NOT json_valid(text)""",
+    UNION ALL SELECT queue, message_id, NULL, 'not a list of quotes', text FROM trade_messages WHERE NOT json_valid(text)""",
 )
 def trade_quarantine_query(spark, sf_dir):
     return trade_quarantine(trades(spark, sf_dir))
@@ -570,8 +644,48 @@ def trade_table(spark, sf_dir):
     """Appends the trade rows to a table made for them, and reads the table."""
     path = shared_folder(spark, "trades")
     name = default_table_name(path.rsplit("/", 1)[-1])
-    append_rows(flows.trade_table_rows(trades(spark, sf_dir)), name, TRADE, path)
-    return spark.table(name)
+    append_rows(trade_rows(trades(spark, sf_dir)), name, TRADE, path)
+    # The table was made for this query alone; its files stay as long as the session.
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(TRADE).parquet(path)
+
+
+@query(
+    "table_schema_check",
+    """SELECT 'same schema' AS attempt, count(*) AS rows_after, '' AS complaint FROM events
+    UNION ALL SELECT 'other schema', count(*),
+      'expecting: struct<event_id:bigint,value:string>, actual: struct<event_id:bigint,value:double>' FROM events""",
+)
+def table_schema_check(spark, sf_dir):
+    """All events are appended to a table, then once more with another type, which is refused."""
+    path = shared_folder(spark, "checked")
+    name = default_table_name(path.rsplit("/", 1)[-1])
+    rows = b.table(spark, sf_dir, "events").select("event_id", "value")
+    stored, found = rows.schema, []
+    for attempt, given in (("same schema", rows), ("other schema", rows.withColumn("value", F.col("value").cast("string")))):
+        complaint = ""
+        try:
+            append_rows(given, name, path=path)
+        except ValueError as refused:
+            complaint = str(refused)[str(refused).index("expecting") :]
+        after = spark.read.schema(stored).parquet(path).agg(F.count("*").alias("rows_after"))
+        found.append(after.select(F.lit(attempt).alias("attempt"), "rows_after", F.lit(complaint).alias("complaint")))
+    spark.sql(f"DROP TABLE {name}")
+    return found[0].unionByName(found[1])
+
+
+@query(
+    "dedup_bytes",
+    f"""WITH {DOCUMENT_MESSAGES} SELECT time_bucket(INTERVAL '4 seconds', {SENT_TIME}) AS window_start, message_id,
+      hex(encode(text)) AS raw FROM document_messages
+    QUALIFY row_number() OVER (PARTITION BY window_start, message_id ORDER BY receive_ts, redelivered, queue) = 1""",
+)
+def dedup_bytes(spark, sf_dir):
+    """Bytes records, each once in its window."""
+    bodies = documents(spark, sf_dir).withColumn("content", F.encode("text", "UTF-8")).drop("text")
+    records = mappers.bytes_record(bodies, keep=("queue", "redelivered", "receive_ts", "sender_ts"))
+    rows = dedup.distinct_in_window(flows.windowed(records, "4 seconds", use_sender_timestamp=True))
+    return eventtime.window_bounds(rows).select("window_start", "message_id", F.hex("raw").alias("raw"))
 
 
 @query(
@@ -581,7 +695,7 @@ def trade_table(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY window_start, message_id ORDER BY receive_ts, redelivered, queue) = 1""",
 )
 def proto_decode(spark, sf_dir):
-    encoded = documents(spark, sf_dir).withColumn("content", encode_test(spark, "text")).drop("text")
+    encoded = documents(spark, sf_dir).withColumn("content", encode_test("text")).drop("text")
     decoded = flows.decoded_messages(encoded, use_sender_timestamp=True)
     return eventtime.window_bounds(decoded).select("window_start", "message_id", "test")
 
@@ -591,12 +705,15 @@ def proto_decode(spark, sf_dir):
     """WITH sized AS (SELECT doc_id, encode(text) AS body, octet_length(encode(text)) AS n FROM documents)
     SELECT doc_id, '0A' || CASE WHEN n < 128 THEN printf('%02X', n)
       WHEN n < 16384 THEN printf('%02X%02X', n % 128 + 128, n // 128)
-      ELSE printf('%02X%02X%02X', n % 128 + 128, n // 128 % 128 + 128, n // 16384) END || hex(body) AS body
+      WHEN n < 2097152 THEN printf('%02X%02X%02X', n % 128 + 128, n // 128 % 128 + 128, n // 16384)
+      WHEN n < 268435456 THEN printf('%02X%02X%02X%02X', n % 128 + 128, n // 128 % 128 + 128, n // 16384 % 128 + 128, n // 2097152)
+      ELSE printf('%02X%02X%02X%02X%02X', n % 128 + 128, n // 128 % 128 + 128, n // 16384 % 128 + 128,
+        n // 2097152 % 128 + 128, n // 268435456) END || hex(body) AS body
     FROM sized""",
 )
 def proto_encode(spark, sf_dir):
     docs = b.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.hex(encode_test(spark, "text")).alias("body"))
+    return docs.select("doc_id", F.hex(encode_test("text")).alias("body"))
 
 
 @query("numbered_payloads", "SELECT event_id, 'Q/' || event_type || ' - ' || event_id AS payload FROM events")
@@ -748,44 +865,65 @@ def commit_progress(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------------------
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.event_messages(b.table_stream(spark, sf_dir, "events", b.EVENTS))
-    return mappers.text_record(rows, keep=("queue",))
+# What a watermark must wait for where files are read in any order: more than all the events span.
+PATIENCE = "400 days"
 
 
-def _drained(df: DataFrame, name: str, start=jobs.start_job) -> str:
+def _landed(messages: DataFrame, name: str) -> str:
+    """The messages published to a landing folder; streams read it from there."""
+    path = shared_folder(messages.sparkSession, name)
+    landing.publish(messages, path)
+    return path
+
+
+def event_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Text records of all event queues, a few files at a time."""
+    path = path or _landed(events(spark, sf_dir), "landing")
+    config = ReadConfig(ALL_QUEUES, max_files_per_trigger=2)
+    return queues.read_queues(spark, path, config, mapper=lambda rows: mappers.text_record(rows, keep=("queue",)))
+
+
+def _drained(df: DataFrame, name: str, start=jobs.start_job, close=None) -> str:
     """Runs the stream over all there is; the folder with its output."""
     spark = df.sparkSession
     path, checkpoint = shared_folder(spark, name), shared_folder(spark, f"{name}-checkpoint")
-    jobs.drain_job(lambda trigger: start(df, path, checkpoint, trigger))
+    jobs.drain_job(lambda trigger: start(df, path, checkpoint, trigger), close)
     return path
 
 
+def document_stream(spark: SparkSession, sf_dir: str):
+    """Documents as a stream of messages, and what closes it."""
+    messages = documents(spark, sf_dir)
+    path, names = _landed(messages, "document-landing"), [r[0] for r in messages.select("queue").distinct().collect()]
+    config = ReadConfig(names, max_files_per_trigger=8)
+    rows = queues.stream_queues(spark, path, config, schema=messages.schema)
+    return rows, lambda: landing.close_queues(spark, path, names[:1], messages.schema)
+
+
 @query(
     "stream_word_count",
     f"""WITH {DOCUMENT_MESSAGES}, firsts AS (
       SELECT time_bucket(INTERVAL '4 seconds', {SENT_TIME}) AS window_start, text FROM document_messages
       QUALIFY row_number() OVER (PARTITION BY window_start, message_id ORDER BY receive_ts, redelivered, queue) = 1),
     words AS (SELECT window_start, {WORD_ROWS} FROM firsts)
-    SELECT window_start, word, count(*) AS count FROM words
-    WHERE word <> '' AND window_start + INTERVAL '4 seconds' <= (SELECT max({SENT_TIME}) FROM document_messages) GROUP BY ALL""",
+    SELECT window_start, word, count(*) AS count FROM words WHERE word <> '' GROUP BY ALL""",
 )
 def stream_word_count(spark, sf_dir):
-    """The flagship as a stream. Windows not closed by the last message stay open."""
-    messages = b.document_messages(b.table_stream(spark, sf_dir, "documents", b.DOCUMENTS))
-    counted = flows.deduplicated_word_count(messages, use_sender_timestamp=True)
-    path = _drained(eventtime.window_bounds(counted).select("window_start", "word", "count"), "stream-words")
+    """The flagship as a stream over several batches, drained until every window is written."""
+    messages, close = document_stream(spark, sf_dir)
+    counted = flows.deduplicated_word_count(messages, use_sender_timestamp=True, lateness=PATIENCE, salts=8)
+    rows = eventtime.window_bounds(counted).select("window_start", "word", "count")
+    path = _drained(rows, "stream-words", close=close)
     return spark.read.schema("window_start timestamp_ntz, word string, count long").parquet(path)
 
 
-@query(
-    "stream_window_files",
-    f"""{FILE_LINES}
-    WHERE window_start + INTERVAL '{FILE_WIDTH}' <= (SELECT max({SENT_TIME}) FROM event_messages)""",
-)
+@query("stream_window_files", FILE_LINES)
 def stream_window_files(spark, sf_dir):
-    lines = flows.word_count_lines(event_stream(spark, sf_dir), FILE_WIDTH, use_sender_timestamp=True)
-    return _window_lines(spark, _drained(lines, "stream-window-files", jobs.start_window_files))
+    source = _landed(events(spark, sf_dir), "landing")
+    rows = event_stream(spark, sf_dir, source)
+    lines = flows.word_count_lines(rows, FILE_WIDTH, use_sender_timestamp=True, lateness=PATIENCE)
+    close = lambda: landing.close_queues(spark, source, [b.IDLE_QUEUE])
+    return _window_lines(spark, _drained(lines, "stream-window-files", jobs.start_window_files, close))
 
 
 @query(
@@ -793,8 +931,8 @@ def stream_window_files(spark, sf_dir):
     f"WITH {EVENT_MESSAGES} SELECT DISTINCT queue, message_id, text FROM event_messages",
 )
 def stream_dedup(spark, sf_dir):
-    timed = eventtime.with_event_time(event_stream(spark, sf_dir), lateness="1 hour")
-    rows = dedup.distinct_across_windows(timed, ("queue", "message_id")).select("queue", "message_id", "text")
+    timed = eventtime.with_event_time(event_stream(spark, sf_dir), lateness=PATIENCE)
+    rows = dedup.distinct_across_windows(timed, ("queue", "message_id"), salts=8).select("queue", "message_id", "text")
     return spark.read.schema("queue string, message_id long, text string").parquet(_drained(rows, "stream-dedup"))
 
 
@@ -805,7 +943,7 @@ def stream_dedup(spark, sf_dir):
 def stream_panes(spark, sf_dir):
     rows = event_stream(spark, sf_dir).select("queue", "message_id", "redelivered", "text")
     path = _drained(rows, "stream-panes", jobs.start_panes)
-    return spark.read.parquet(path).drop("pane")
+    return spark.read.schema("queue string, message_id long, redelivered boolean, text string").parquet(f"{path}/pane=*")
 
 
 @query(
@@ -813,9 +951,116 @@ def stream_panes(spark, sf_dir):
     f"WITH {TRADE_MESSAGES} SELECT {QUOTE_COLUMNS} FROM trade_quotes WHERE {GOOD_QUOTES}",
 )
 def stream_trades(spark, sf_dir):
-    schema = b.table(spark, sf_dir, "lineitem").schema.simpleString()[len("struct<") : -1]
-    messages = b.trade_messages(b.table_stream(spark, sf_dir, "lineitem", schema.replace(":", " ")))
-    return spark.read.schema(TRADE).parquet(_drained(flows.trade_table_rows(messages), "stream-trades"))
+    messages = trades(spark, sf_dir)
+    path = _landed(messages, "trade-landing")
+    config = ReadConfig([f"Q/{flag}" for flag in "ANR"], max_files_per_trigger=2)
+    rows = queues.stream_queues(spark, path, config, schema=messages.schema)
+    return spark.read.schema(TRADE).parquet(_drained(trade_rows(rows), "stream-trades"))
+
+
+@query(
+    "stream_rate_limited",
+    f"""WITH {EVENT_MESSAGES} SELECT queue, count(*) AS messages, true AS in_three_batches_or_more
+    FROM event_messages GROUP BY queue""",
+)
+def stream_rate_limited(spark, sf_dir):
+    """One file a batch: all messages arrive, in as many batches as there are files."""
+    source = _landed(events(spark, sf_dir), "landing")
+    config = ReadConfig(b.EVENT_QUEUES, poll_ms=100, max_files_per_trigger=1)
+    rows = queues.read_queues(spark, source, config, mapper=lambda df: mappers.text_record(df, keep=("queue",)))
+    path = _drained(rows.select("queue", "message_id"), "stream-rated", jobs.start_panes)
+    found = spark.read.schema("queue string, message_id long, pane int").parquet(path)
+    batches = found.agg(F.countDistinct("pane") >= 3).scalar()
+    return found.groupBy("queue").agg(F.count("*").alias("messages")).withColumn("in_three_batches_or_more", batches)
+
+
+LATE_WIDTH, LATE_BY = "1 hour", "1 day"
+
+
+@query(
+    "stream_late_rows",
+    f"""WITH {EVENT_MESSAGES}, timed AS (
+      SELECT *, time_bucket(INTERVAL '{LATE_WIDTH}', receive_ts) AS window_start, event_id % 5 = 0 AS second FROM event_messages),
+    mark AS (SELECT max(receive_ts) FILTER (NOT second) - INTERVAL '{LATE_BY}' AS watermark FROM timed)
+    SELECT window_start, count(*) AS count FROM timed, mark
+    WHERE NOT second OR window_start + INTERVAL '{LATE_WIDTH}' > watermark GROUP BY window_start""",
+)
+def stream_late_rows(spark, sf_dir):
+    """A fifth of the messages comes after the others were read. Of it, what lies in windows that ended more than
+    the allowed lateness before the latest message is dropped, by rule; the rest is counted."""
+    messages = events(spark, sf_dir)
+    second = F.col("message_id") % 5 == 0
+    source = _landed(messages.where(~second), "late-landing")
+    path, checkpoint = shared_folder(spark, "stream-late"), shared_folder(spark, "stream-late-checkpoint")
+
+    def start(trigger):
+        rows = queues.read_queues(spark, source, ReadConfig(ALL_QUEUES), mapper=lambda df: mappers.text_record(df, keep=("queue",)))
+        counted = words.count_each(flows.windowed(rows, LATE_WIDTH, lateness=LATE_BY), ("window",))
+        return jobs.start_job(eventtime.window_bounds(counted).drop("window_end"), path, checkpoint, trigger)
+
+    jobs.drain_job(start)
+    landing.publish(messages.where(second), source)
+    jobs.drain_job(start, lambda: landing.close_queues(spark, source, [b.IDLE_QUEUE]))
+    return spark.read.schema("window_start timestamp_ntz, count long").parquet(path)
+
+
+def _two_part_job(spark: SparkSession, sf_dir: str, run) -> DataFrame:
+    """Messages received by a job that ``run`` leads: it gets the start and what publishes the second half."""
+    messages, even = events(spark, sf_dir), F.col("message_id") % 2 == 0
+    source = _landed(messages.where(even), "job-landing")
+    path, checkpoint = shared_folder(spark, "job"), shared_folder(spark, "job-checkpoint")
+    run(
+        lambda trigger: jobs.start_job(
+            event_stream(spark, sf_dir, source).select("queue", "message_id", "redelivered"), path, checkpoint, trigger
+        ),
+        lambda: landing.publish(messages.where(~even), source),
+    )
+    rows = spark.read.schema("queue string, message_id long, redelivered boolean").parquet(path)
+    return words.count_each(rows, ("queue", "message_id", "redelivered"))
+
+
+RECEIVED_ONCE = f"WITH {EVENT_MESSAGES} SELECT queue, message_id, redelivered, CAST(1 AS BIGINT) AS count FROM event_messages"
+
+
+@query("stream_restart", RECEIVED_ONCE)
+def stream_restart(spark, sf_dir):
+    """Ended, started again on its checkpoint, and once more with nothing new: every message came once."""
+
+    def run(start, publish_rest):
+        jobs.drain_job(start)
+        publish_rest()
+        jobs.drain_job(start)
+        jobs.drain_job(start)
+
+    return _two_part_job(spark, sf_dir, run)
+
+
+@query("job_update", RECEIVED_ONCE)
+def job_update(spark, sf_dir):
+    """A running job goes on under another trigger; nothing is lost or repeated."""
+
+    def run(start, publish_rest):
+        query = start({"processingTime": "1 second"})
+        query.processAllAvailable()
+        publish_rest()
+        query = jobs.update_job(query, start, {"processingTime": "100 milliseconds"})
+        query.processAllAvailable()
+        jobs.cancel_job(query)
+
+    return _two_part_job(spark, sf_dir, run)
+
+
+@query("job_cancel", f"{RECEIVED_ONCE} WHERE event_id % 2 = 0")
+def job_cancel(spark, sf_dir):
+    """What is published after a cancel stays unread."""
+
+    def run(start, publish_rest):
+        query = start({"processingTime": "100 milliseconds"})
+        query.processAllAvailable()
+        jobs.cancel_job(query)
+        publish_rest()
+
+    return _two_part_job(spark, sf_dir, run)
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from msgstream.functions.text import log_line, window_key
+from msgstream.functions.text import log_line, utc_time, window_key
 
 
 def log_lines(df: DataFrame, text: str = "line") -> DataFrame:
@@ -15,7 +15,8 @@ def log_lines(df: DataFrame, text: str = "line") -> DataFrame:
 
 
 def write_window_files(
-    df: DataFrame, path: str, line: str = "line", shards: int | None = None, batch_id: int | None = None
+    df: DataFrame, path: str, line: str = "line", shards: int | None = None, batch_id: int | None = None,
+    folders: str | None = None,
 ) -> None:
     """Text files in one directory per window, named by its bounds.
 
@@ -23,11 +24,20 @@ def write_window_files(
     the files and splits a window too large for one task. Writing a window again replaces it, so a
     retry is safe. That holds for a stream once its windows are aggregated, as each then comes in one
     batch; for rows not aggregated pass the ``batch_id``, which keeps batches apart.
+
+    ``folders`` ("hour", "day") is for windows so short that each holds few rows: one directory takes all
+    windows that begin in that unit of time, and each line begins with its window's name and a tab, so
+    directories follow the time span and not the number of windows. It is for batches that hold whole units,
+    as writing a unit again replaces it; in a stream pass the ``batch_id`` too.
     """
     if "window" not in df.columns:
         raise ValueError("only windowed rows can be written to window files")
     keys = ["window_key"]
     keyed = df.withColumn("window_key", window_key("window.start", "window.end"))
+    if folders is not None:
+        unit = F.date_trunc(folders, utc_time("window.start"))
+        keyed = keyed.withColumn(line, F.concat_ws("\t", "window_key", line))
+        keyed = keyed.withColumn("window_key", F.date_format(unit, "yyyyMMdd'T'HHmmss"))
     if batch_id is not None:
         keyed, keys = keyed.withColumn("batch_id", F.lit(batch_id)), [*keys, "batch_id"]
     if shards is None:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from msgstream.functions.text import numbered_payload
 from msgstream.schemas import ENVELOPE
 
+# Later than any message, and early enough for all that adds to it.
+END_OF_TIME = "9000-01-01 00:00:00Z"
+
 
 def envelope(df: DataFrame, **columns: Column) -> DataFrame:
     """Rows completed to the envelope: columns not given and not in ``df`` are NULL."""
@@ -26,12 +29,32 @@ def publish(messages: DataFrame, path: str) -> None:
     messages.hint("rebalance", "queue").write.mode("append").partitionBy("queue").parquet(path)
 
 
-def copies_per_queue(queues: DataFrame, copies: int, body: Column) -> DataFrame:
-    """``copies`` persistent messages with the same encoded body for every row of ``queues``."""
-    numbered = queues.select("queue", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
+def close_queues(spark: SparkSession, path: str, queues: list[str], schema=ENVELOPE) -> None:
+    """Tells readers of a landing folder that nothing follows: one message without a body per queue, from so
+    far ahead that it moves the watermark past every window. Its own window never closes, so it is not seen
+    in windowed results."""
+    names = F.explode(F.array(*[F.lit(q) for q in dict.fromkeys(queues)])).alias("queue")
+    known = {"message_id": F.lit(-1), "message_type": F.lit("text"), "redelivered": F.lit(False)}
+    known |= {name: F.lit(END_OF_TIME).cast("timestamp") for name in ("receive_ts", "sender_ts")}
+    row = spark.range(1).select(names)
+    columns = [known.get(f.name, F.col("queue") if f.name == "queue" else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    publish(row.select(*columns), path)
+
+
+def _ids(spark: SparkSession, queues: list[str], per_queue: int) -> DataFrame:
+    """``queue, number`` from 0 for each queue, made by as many tasks as Spark splits the range into."""
+    names = F.array(*[F.lit(q) for q in queues])
+    return spark.range(per_queue * len(queues)).select(
+        F.element_at(names, (F.col("id") % len(queues) + 1).cast("int")).alias("queue"),
+        F.call_function("div", "id", F.lit(len(queues))).alias("number"),
+    )
+
+
+def copies_per_queue(spark: SparkSession, queues: list[str], copies: int, body: Column) -> DataFrame:
+    """``copies`` persistent messages with the same encoded body for each queue."""
     return envelope(
-        numbered,
-        message_id=F.col("copy"),
+        _ids(spark, queues, copies),
+        message_id=F.col("number") + 1,
         message_type=F.lit("bytes"),
         content=body,
         redelivered=F.lit(False),
@@ -41,13 +64,8 @@ def copies_per_queue(queues: DataFrame, copies: int, body: Column) -> DataFrame:
 
 def numbered_messages(spark: SparkSession, queues: list[str], per_queue: int) -> DataFrame:
     """``"<queue> - <i>"`` for i from 0, for each queue, in the attachment."""
-    names = F.array(*[F.lit(q) for q in queues])
-    ids = spark.range(per_queue * len(queues)).select(
-        F.element_at(names, (F.col("id") % len(queues) + 1).cast("int")).alias("queue"),
-        F.call_function("div", "id", F.lit(len(queues))).alias("number"),
-    )
     return envelope(
-        ids,
+        _ids(spark, queues, per_queue),
         message_id=F.col("number"),
         message_type=F.lit("xml"),
         attachment=numbered_payload("queue", "number").cast("binary"),

@@ -6,19 +6,14 @@ from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from msgstream.config import UNBOUNDED, ReadConfig
+from msgstream.config import ReadConfig
 from msgstream.operators.dedup import comparable_map
 from msgstream.operators.eventtime import with_event_time
 from msgstream.schemas import ENVELOPE
 
-# Counts gathered per refinement step, and the most rows that are ordered in one place.
-_SLICES = 4096
-_ORDERED_ROWS = 100_000
-
-
 def read_queues(
     spark: SparkSession,
     path: str,
@@ -27,7 +22,7 @@ def read_queues(
     fmt: str = "parquet",
     schema=ENVELOPE,
 ) -> DataFrame:
-    """Messages of the listed queues, mapped: a batch if the config sets a limit, else a stream.
+    """Messages of the listed queues, mapped: a batch if the config says so or sets a limit, else a stream.
 
     Each message comes once, however often its queue is listed. Tasks follow the files and their
     splits, so one long queue is read by many of them. ``mapper`` turns envelope rows into records.
@@ -62,7 +57,7 @@ def stream_each_queue(
 
 
 def _reader(reader, config: ReadConfig, fmt: str, schema):
-    return reader.format(fmt).schema(schema).options(**(config.connection or {}))
+    return reader.format(fmt).schema(schema).options(**(config.options or {}))
 
 
 def select_queues(df: DataFrame, queues: list[str]) -> DataFrame:
@@ -74,8 +69,8 @@ def limited(df: DataFrame, config: ReadConfig) -> DataFrame:
     """Applies the read limits; with both, whichever is reached first ends the read."""
     if config.max_read_time is not None:
         df = within_read_time(df, config.max_read_time)
-    if config.max_num_records < UNBOUNDED:
-        df = first_records(df, config.max_num_records)
+    if config.max_records is not None:
+        df = first_records(df, config.max_records)
     return df
 
 
@@ -86,50 +81,55 @@ def within_read_time(df: DataFrame, duration: timedelta) -> DataFrame:
     return df.where(F.col("receive_ts") < end)
 
 
+def _cut(rows: DataFrame, key: Column, wanted: Column) -> Column:
+    """STRUCT<key, before>: the first key at which, in order, ``wanted`` rows are reached, and the rows before it.
+
+    NULL if there are fewer rows. Rows are counted by key first; only the counts are put in order.
+    """
+    so_far = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    counts = rows.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
+    reached = counts.withColumn("before", F.sum("n").over(so_far) - F.col("n"))
+    crossing = reached.where(F.col("before") + F.col("n") >= wanted)
+    return crossing.agg(F.min(F.struct("key", "before"))).scalar()
+
+
 def first_records(df: DataFrame, n: int) -> DataFrame:
     """The ``n`` first messages over all queues, by receive time, then id.
 
-    A sort with a limit would draw up to ``n`` rows of every task into one. Instead the time of the
-    last row is found by counting: each step counts the rows in equal slices of the range that still
-    holds it and goes on with one slice, by time, then by id, then by a hash of the row. Rows before
-    the last slice are kept by a plain filter, and only that slice is ordered. The counting steps are
-    small jobs that read the order columns alone. Rows equal in every column may share a slice too
-    large to order; as they are the same, one of them is repeated as often as needed. Every message
-    must have a receive time and an id.
+    A sort with a limit would draw up to ``n`` rows of every task into one. Instead the place of the last row
+    is found by counting, by hour, then by second within that hour, then by time and id within that second,
+    and rows are kept by a filter. That takes three more passes over the two order columns, as subqueries of
+    the one plan: nothing runs before the result is asked for, and nothing depends on the number of rows.
+    Messages that agree in time and id, of which only some are kept, are numbered in each task, and tasks keep
+    as many as the limit leaves them. Rows must come from the same tasks each time they are read, as those of
+    files do. A message without a receive time or id is an error.
     """
-    time_us, row_hash = F.unix_micros("receive_ts"), F.shiftright(F.xxhash64(*_comparable(df)), 1)
-
-    # Bounds are set on the time column itself, where they can reach the scan.
-    def plain(key: Column) -> Column:
-        return F.col("receive_ts") if key is time_us else key
-
-    def bound(key: Column, value: int) -> Column:
-        return F.timestamp_micros(F.lit(value)) if key is time_us else F.lit(value)
-
-    kept, still_needed, ties = [], n, df
-    for key in (time_us, F.col("message_id"), row_hash):
-        size, known, low, high = ties.agg(F.count("*"), F.count(key), F.min(key), F.max(key)).first()
-        if known < size:
-            raise ValueError("a message has no receive time or no id")
-        if size <= still_needed:
-            break
-        first = low
-        while size > _ORDERED_ROWS and low < high:
-            within = ties.where(plain(key).between(bound(key, low), bound(key, high)))
-            low, high, size, before = _slice_with(within, key, low, high, still_needed)
-            still_needed -= before
-        if low > first:
-            kept.append(ties.where(plain(key) < bound(key, low)))
-        ties = ties.where(plain(key).between(bound(key, low), bound(key, high)))
-        if size <= _ORDERED_ROWS:
-            break
-    if size <= still_needed:
-        last = ties
-    elif size > _ORDERED_ROWS and ties.select(*_comparable(df)).distinct().limit(2).count() == 1:
-        last = _repeated(ties.limit(1), still_needed)
-    else:
-        last = ties.orderBy("receive_ts", "message_id", row_hash).limit(still_needed)
-    return reduce(DataFrame.union, [*kept, last])
+    time = F.unix_micros("receive_ts")
+    none = F.raise_error(F.lit("a message has no receive time or no id")).cast("long")
+    known = F.when(F.col("message_id").isNull(), none).otherwise(F.coalesce(time, none))
+    hour, second = F.call_function("div", known, F.lit(3_600_000_000)), F.call_function("div", time, F.lit(1_000_000))
+    place = F.struct(time.alias("us"), F.col("message_id").alias("id"))
+
+    order = df.select("receive_ts", "message_id")
+    by_hour = _cut(order, hour, F.lit(n))
+    within = order.where(F.call_function("div", time, F.lit(3_600_000_000)) == by_hour["key"])
+    by_second = _cut(within, second, n - by_hour["before"])
+    within = order.where(second == by_second["key"])
+    before = by_hour["before"] + by_second["before"]
+    last = _cut(within, place, n - before)
+    wanted = n - before - last["before"]
+
+    earlier = last.isNull() | (place < last["key"])
+    tied = df.where(place == last["key"])
+    numbered = tied.withColumn("_task", F.spark_partition_id())
+    of_task = Window.partitionBy("_task").orderBy(F.xxhash64(*_comparable(df)))
+    numbered = numbered.withColumn("_nr", F.row_number().over(of_task))
+    counts = order.where(place == last["key"]).groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
+    sums = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("before", F.sum("n").over(sums) - F.col("n"))
+    starts = counts.agg(F.map_from_entries(F.collect_list(F.struct("task", "before")))).scalar()
+    chosen = numbered.where(F.element_at(starts, F.col("_task")) + F.col("_nr") <= wanted)
+    return df.where(earlier).unionByName(chosen.drop("_task", "_nr"))
 
 
 def _comparable(df: DataFrame) -> list[Column]:
@@ -137,27 +137,3 @@ def _comparable(df: DataFrame) -> list[Column]:
     return [
         comparable_map(f.name).alias(f.name) if f.dataType.typeName() == "map" else F.col(f.name) for f in df.schema.fields
     ]
-
-
-def _repeated(row: DataFrame, times: int) -> DataFrame:
-    """One row that many times, made by as many tasks as there are blocks of copies."""
-    blocks = row.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((times - 1) // _ORDERED_ROWS))))
-    copies = blocks.repartition("_block").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(_ORDERED_ROWS))))
-    wanted = F.col("_block").cast("long") * _ORDERED_ROWS + F.col("_copy") <= times
-    return copies.where(wanted).drop("_block", "_copy")
-
-
-def _slice_with(df: DataFrame, key: Column, low: int, high: int, rank: int):
-    """Of the rows, all with keys in [low, high], the slice holding that rank: bounds, rows in it, rows before it."""
-    width = (high - low) // _SLICES + 1
-    if high - low >= 2**63:
-        key = key.cast("decimal(20,0)")
-    number = F.call_function("div", key - F.lit(low), F.lit(width))
-    counts = df.groupBy(number.alias("slice")).count().orderBy("slice").collect()
-    before = 0
-    for row in counts:
-        if before + row["count"] >= rank:
-            start = low + row["slice"] * width
-            return start, min(high, start + width - 1), row["count"], before
-        before += row["count"]
-    raise ValueError(f"fewer than {rank} rows")

@@ -6,12 +6,14 @@ ended: what was read but not committed is read again, what was committed is not.
 
 from __future__ import annotations
 
+import threading
+from collections import Counter, defaultdict
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from msgstream.sinks import write_window_files
 
@@ -42,12 +44,13 @@ def start_batches(
 
 
 def start_window_files(
-    df: DataFrame, path: str, checkpoint: str, trigger: dict, shards: int | None = None, aggregated: bool = True
+    df: DataFrame, path: str, checkpoint: str, trigger: dict, shards: int | None = None, aggregated: bool = True,
+    folders: str | None = None,
 ) -> StreamingQuery:
     """One set of text files per window, from rows with a ``window`` and a ``line``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_window_files(batch, path, shards=shards, batch_id=None if aggregated else batch_id)
+        write_window_files(batch, path, shards=shards, batch_id=None if aggregated else batch_id, folders=folders)
 
     return start_batches(df, write, checkpoint, trigger)
 
@@ -70,14 +73,21 @@ def cancel_job(query: StreamingQuery) -> None:
     query.stop()
 
 
-def drain_job(start: Callable[[dict], StreamingQuery]) -> StreamingQuery:
+def drain_job(start: Callable[[dict], StreamingQuery], close: Callable[[], None] | None = None) -> StreamingQuery:
     """Reads what there is now, finishes it, and ends.
 
-    ``start`` takes the trigger and starts the job. Windows that reach past the last watermark stay
-    open and are not written; read in batch to close every window.
+    ``start`` takes the trigger and starts the job. Windows that reach past the last watermark are only
+    finished if ``close`` tells the source that nothing follows, as
+    :func:`msgstream.sources.landing.close_queues` does for a landing folder; the job then runs once more and
+    writes them. A job that was closed takes in nothing after it, and drained again it writes nothing.
     """
     query = start(DRAIN)
     query.awaitTermination()
+    if close is None:
+        return query
+    close()
+    query = start(DRAIN)
+    query.awaitTermination()
     return query
 
 
@@ -96,13 +106,52 @@ def run_for(query: StreamingQuery, duration: timedelta) -> None:
     query.stop()
 
 
-def dropped_as_late(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark so far; after an aggregation, groups instead of rows."""
-    return sum(
-        op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"]
-    )
+class ProgressTotals(StreamingQueryListener):
+    """Sums over all progress reports of the streams of a session, from :func:`watch` on.
+
+    A query itself keeps its last reports only. Sums are kept by query id, so they go on over restarts on the
+    same checkpoint.
+    """
+
+    def __init__(self):
+        self._rows, self._late, self._polls = Counter(), Counter(), Counter()
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress, query = event.progress, str(event.progress.id)
+        self._rows[query] += progress.numInputRows
+        self._late[query] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        self._polls[query] += progress.numInputRows == 0
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def _total(self, totals: Counter, query: StreamingQuery) -> int:
+        """So far for a running query; for one that ended, once its last report is in."""
+        if not query.isActive:
+            self._ended[str(query.runId)].wait(30)
+        return totals[str(query.id)]
+
+    def input_rows(self, query: StreamingQuery) -> int:
+        return self._total(self._rows, query)
+
+    def dropped_as_late(self, query: StreamingQuery) -> int:
+        """Rows dropped behind the watermark; after an aggregation, groups instead of rows."""
+        return self._total(self._late, query)
+
+    def empty_polls(self, query: StreamingQuery) -> int:
+        """Reported triggers without new messages. Of idle triggers in a row Spark reports but some."""
+        return self._total(self._polls, query)
 
 
-def empty_polls(query: StreamingQuery) -> int:
-    """Recent triggers that found no new messages."""
-    return sum(progress["numInputRows"] == 0 for progress in query.recentProgress)
+def watch(spark: SparkSession) -> ProgressTotals:
+    """Starts to sum up the progress of the session's streams; ``spark.streams.removeListener`` ends it."""
+    totals = ProgressTotals()
+    spark.streams.addListener(totals)
+    return totals

@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as spark_entry
+from msgstream.plans import registry
 
 SF = f"{oracle.TESTDATA}/sf0.001"
 
@@ -13,16 +14,21 @@ def duck():
     return oracle.duck(SF)
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    columns, rows = oracle.spark_rows(spark_entry.queries()[name](spark, SF))
-    expected_columns, expected = oracle.duck_rows(duck, spark_entry.oracle_sql()[name])
+    columns, rows = oracle.spark_rows(registry.QUERIES[name](spark, SF))
+    expected_columns, expected = oracle.duck_rows(duck, registry.ORACLES[name])
     assert columns == expected_columns
     assert rows == expected
     if name != "global_count_of_none":
         assert rows
 
 
+def test_all_of_them_are_registered():
+    assert registry.QUERIES.keys() <= spark_entry.queries().keys()
+    assert registry.QUERIES.keys() == registry.ORACLES.keys()
+
+
 def test_entry(spark):
     result = spark_entry.entry(spark)
     assert result.columns == ["window_start", "word", "count"]
@@ -35,5 +41,5 @@ def test_tables_of_many_files(spark, duck, folder, name):
     path = folder("tables")
     for table in ("events", "documents"):
         spark.read.parquet(f"{SF}/{table}.parquet").repartition(9).write.parquet(f"{path}/{table}.parquet")
-    rows = oracle.spark_rows(spark_entry.queries()[name](spark, path))
-    assert rows == oracle.duck_rows(duck, spark_entry.oracle_sql()[name])
+    rows = oracle.spark_rows(registry.QUERIES[name](spark, path))
+    assert rows == oracle.duck_rows(duck, registry.ORACLES[name])

@@ -11,7 +11,7 @@ from msgstream.operators import dedup, eventtime, words
 from msgstream.operators.mappers import text_record
 from msgstream.plans.flows import deduplicated_word_count, windowed, word_count_lines
 from msgstream.sinks import log_lines
-from msgstream.sources.landing import publish
+from msgstream.sources.landing import close_queues, publish
 from msgstream.sources.queues import read_queues, stream_each_queue
 from msgstream.streaming import jobs
 
@@ -94,34 +94,102 @@ def test_restart_emits_nothing_twice(landing, drain):
     assert len(more.collect()) == len(first) + 1
 
 
+@pytest.fixture
+def totals(spark):
+    listener = jobs.watch(spark)
+    yield listener
+    spark.streams.removeListener(listener)
+
+
+def closing(spark, landing):
+    """A last file that says nothing follows, in this folder of whole files."""
+    from msgstream.sources.landing import END_OF_TIME
+
+    def close():
+        from pyspark.sql import functions as F
+
+        end = F.lit(END_OF_TIME).cast("timestamp")
+        row = messages(spark, [("q", -1, 0, None)]).withColumn("receive_ts", end).withColumn("sender_ts", end)
+        landing.files += 1
+        row.coalesce(1).write.parquet(f"{landing.path}/{landing.files:03d}")
+
+    return close
+
+
+@pytest.mark.parametrize("lateness", ["0 seconds", "1 hour"])
+def test_a_closed_drain_writes_every_window_once(spark, landing, folder, lateness):
+    in_order(landing)
+    checkpoint, path = folder("checkpoint"), folder("out")
+
+    def start(trigger):
+        counted = eventtime.window_bounds(deduplicated_word_count(landing.stream(), lateness=lateness))
+        return jobs.start_job(counted, path, checkpoint, trigger)
+
+    expected = sorted(eventtime.window_bounds(deduplicated_word_count(landing.batch())).collect())
+    for _ in range(2):  # drained again it writes nothing
+        jobs.drain_job(start, closing(spark, landing))
+        found = spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, word string, count long").parquet(path)
+        assert sorted(found.collect()) == expected
+
+
+def test_a_published_close_is_seen_by_all_readers(spark, folder):
+    source, path, checkpoint = folder("landing"), folder("out"), folder("checkpoint")
+    rows = [{"queue": "a", "message_id": i, "receive_ts": at(i), "sender_ts": at(i), "content": b"to be"} for i in range(30)]
+    publish(envelope_rows(spark, rows), source)
+
+    def start(trigger):
+        read = read_queues(spark, source, ReadConfig(["a", "b"]), mapper=text_record)
+        counted = eventtime.window_bounds(words.count_words(windowed(read, "10 seconds", lateness="1 hour")))
+        return jobs.start_job(counted, path, checkpoint, trigger)
+
+    jobs.drain_job(start, lambda: close_queues(spark, source, ["b"]))
+    found = spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, word string, count long").parquet(path)
+    assert Counter(r.word for r in found.collect()) == {"to": 3, "be": 3}
+
+
+def test_totals_go_beyond_the_reports_kept(spark, landing, folder, totals):
+    """More batches than the query remembers, each but the first with a late row."""
+    landing.add(("q", 0, 10_000, "a"))
+    for i in range(1, 8):
+        landing.add(("q", i, i, "late"), ("q", 100 + i, 10_000 + i * 100, "b"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        rows = dedup.distinct_in_window(windowed(landing.stream(), "10 seconds")).select("message_id")
+        query = jobs.drain_job(lambda trigger: jobs.start_job(rows, folder("out"), folder("checkpoint"), trigger))
+        assert len(query.recentProgress) <= 2
+        assert totals.input_rows(query) == 15 and totals.dropped_as_late(query) == 6
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
 def late(landing):
     landing.add(("q", 1, 100, "a")).add(("q", 2, 200, "b")).add(("q", 3, 50, "late"))
     return landing.add(("q", 4, 300, "c"))
 
 
-def test_late_rows_are_dropped_and_counted(landing, drain):
+def test_late_rows_are_dropped_and_counted(landing, drain, totals):
     late(landing)
     counted = words.count_words(windowed(landing.stream(), "10 seconds"))
     result, query = drain(eventtime.window_bounds(counted))
     assert sorted(r.word for r in result.collect()) == ["a", "b"]
-    assert jobs.dropped_as_late(query) == 1
+    assert totals.dropped_as_late(query) == 1
 
 
-def test_allowed_lateness_keeps_them(landing, drain):
+def test_allowed_lateness_keeps_them(landing, drain, totals):
     late(landing)
     counted = words.count_words(windowed(landing.stream(), "10 seconds", lateness="200 seconds"))
     result, query = drain(eventtime.window_bounds(counted))
-    assert jobs.dropped_as_late(query) == 0
+    assert totals.dropped_as_late(query) == 0
     landing.add(("q", 5, 1000, "d"))
     result, query = drain(eventtime.window_bounds(words.count_words(windowed(landing.stream(), "10 seconds", lateness="200 seconds"))))
     assert sorted(r.word for r in result.collect()) == ["a", "b", "c", "late"]
 
 
-def test_backlog_older_than_the_start_is_not_late(landing, drain):
+def test_backlog_older_than_the_start_is_not_late(landing, drain, totals):
     """Event times years before the job starts: the watermark comes from the data."""
     in_order(landing)
     _, query = drain(eventtime.window_bounds(deduplicated_word_count(landing.stream())))
-    assert jobs.dropped_as_late(query) == 0
+    assert totals.dropped_as_late(query) == 0
 
 
 def test_missing_sequence_numbers_in_a_stream(landing, drain, spark):
@@ -203,7 +271,7 @@ def read(spark, path, names, **settings):
 
 def test_unlimited_read_is_a_stream(spark, two_queues):
     assert read(spark, two_queues, ["a"]).isStreaming
-    assert not read(spark, two_queues, ["a"], max_num_records=3).isStreaming
+    assert not read(spark, two_queues, ["a"], max_records=3).isStreaming
 
 
 def test_idle_queue_does_not_stall_one_stream(spark, two_queues, drain):
@@ -277,10 +345,10 @@ def test_table_job(landing, folder, spark):
     assert [tuple(r) for r in spark.table("streamed_messages").collect()] == [(1, "a")]
 
 
-def test_empty_polls(landing, folder):
+def test_empty_polls(landing, folder, totals):
     path, job = start(landing.add(("q", 1, 0, "a")), folder)
-    jobs.drain_job(job)
-    assert jobs.empty_polls(jobs.drain_job(job)) == len(jobs.drain_job(job).recentProgress)
+    query = jobs.drain_job(job)
+    assert totals.empty_polls(query) == sum(p["numInputRows"] == 0 for p in query.recentProgress)
 
 
 def test_log_job(landing, folder):
@@ -300,7 +368,7 @@ def test_from_landing_folder_to_counts(spark, folder):
         for i in range(0, 21, 5)
     ]
     publish(envelope_rows(spark, rows), source)
-    config = ReadConfig(["orders", "returns", "orders"], use_sender_timestamp=True, advance_timeout_ms=100)
+    config = ReadConfig(["orders", "returns", "orders"], use_sender_timestamp=True, poll_ms=100)
     read_messages = read_queues(spark, source, config, mapper=text_record)
     counts = deduplicated_word_count(read_messages, "10 seconds", use_sender_timestamp=config.use_sender_timestamp)
     query = jobs.start_job(counts.selectExpr("window.start", "word", "count"), path, checkpoint, config.trigger)
@@ -314,5 +382,5 @@ def test_from_landing_folder_to_counts(spark, folder):
 def test_other_source_formats(spark, folder):
     source = folder("json")
     envelope_rows(spark, [{"queue": "a", "message_id": i, "content": b"x"} for i in range(3)]).write.json(source)
-    batch = read_queues(spark, source, ReadConfig(["a"], max_num_records=2), mapper=text_record, fmt="json")
+    batch = read_queues(spark, source, ReadConfig(["a"], max_records=2), mapper=text_record, fmt="json")
     assert [r.text for r in batch.collect()] == ["x", "x"]
