@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -9,9 +10,6 @@ from math import exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +23,9 @@ TOKENS = 2048
 LEAST_DOCS = 5
 FOLDS = 2
 PREFIXES = (4, 5)
-REJECT_AT = 0.5
+# Penalty on squared weights, and the most steps of a fit.
+L2 = 2e-4
+STEPS = 60
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -64,8 +64,11 @@ class Constant:
 
 @dataclass
 class Chain:
+    """Models in order of their categories, and the probability of the last from which it counts as found."""
+
     categories: list[str]
     models: list[Linear | Constant]
+    threshold: float = 0.5
 
     def probabilities(self, text: str | None) -> list[float]:
         held, before = tokens(text), []
@@ -105,28 +108,96 @@ def _vocabulary(sample: DataFrame, categories: list[str], size: int) -> list[str
     return sorted(chosen)
 
 
-def _inputs(df: DataFrame, earlier: list[str]) -> DataFrame:
-    columns = ["features", *[f"p_{category}" for category in earlier]]
-    return VectorAssembler(inputCols=columns, outputCol="_x").transform(df)
-
-
-def _fit(df: DataFrame, category: str, earlier: list[str]):
-    """The fitted model, or the share of positives where there is but one class."""
-    share, least, most = df.agg(F.avg(category), F.min(category), F.max(category)).first()
-    if share is None or least == most:
-        return float(share or 0.0)
-    linear = LogisticRegression(
-        featuresCol="_x", labelCol=category, rawPredictionCol="_raw", probabilityCol="_p", predictionCol="_class",
-        regParam=2e-4, standardization=False, maxIter=20, tol=1e-4,
-    )
-    return linear.fit(_inputs(df, earlier).select("_x", category))
-
-
-def _predicted(df: DataFrame, model, earlier: list[str], name: str) -> DataFrame:
-    if isinstance(model, float):
-        return df.withColumn(name, F.lit(model))
-    scored = model.transform(_inputs(df, earlier))
-    return scored.withColumn(name, vector_to_array("_p")[1]).drop("_x", "_raw", "_p", "_class")
+def logistic(indices: np.ndarray, starts: np.ndarray, extra: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+    """Weights of tokens, then of the ``extra`` columns, then the intercept, of a logistic regression with a
+    small L2 penalty, by L-BFGS. Row k holds the tokens ``indices[starts[k]:starts[k + 1]]``. Both classes
+    weigh the same, so that a rare one is not drowned by the intercept."""
+    share = y.mean()
+    weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share))
+    n, rows = len(y), np.repeat(np.arange(len(y)), np.diff(starts))
+    m = extra.shape[1]
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        z = np.bincount(rows, weights=w[indices], minlength=n) + extra @ w[size : size + m] + w[-1]
+        r = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
+        gradient = np.concatenate([np.bincount(indices, weights=r[rows], minlength=size), extra.T @ r, [r.sum()]])
+        penalty = np.append(np.full(size + m, L2), 0.0) * w
+        return float((weight * (np.logaddexp(0, z) - y * z)).mean() + 0.5 * penalty @ w), gradient + penalty
+
+    w = np.zeros(size + m + 1)
+    value, gradient = loss(w)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        q, alphas = gradient.copy(), []
+        for s, t in reversed(steps):
+            alphas.append((s @ q) / (s @ t))
+            q -= alphas[-1] * t
+        if steps:
+            q *= (steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1])
+        for (s, t), alpha in zip(steps, reversed(alphas), strict=True):
+            q += s * (alpha - (t @ q) / (s @ t))
+        rate, slope = 1.0, gradient @ q
+        while rate > 1e-8:
+            new_value, new_gradient = loss(w - rate * q)
+            if new_value <= value - 1e-4 * rate * slope:
+                break
+            rate /= 2
+        else:
+            break
+        s, t = -rate * q, new_gradient - gradient
+        done = value - new_value < 1e-7
+        w, value, gradient = w + s, new_value, new_gradient
+        if s @ t > 1e-12:
+            steps = [*steps[-9:], (s, t)]
+        if done:
+            break
+    return w
+
+
+def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability that parts the classes best, by F1: the middle between the last found and the next."""
+    order = np.argsort(-p, kind="stable")
+    f1 = 2 * np.cumsum(y[order]) / (np.arange(1, len(y) + 1) + y.sum())
+    best = int(f1.argmax())
+    following = p[order][best + 1] if best + 1 < len(y) else 0.0
+    return float((p[order][best] + following) / 2)
+
+
+def _chain_of(
+    labels: np.ndarray, fold: np.ndarray, held: list[np.ndarray], vocabulary: list[str], folds: int
+) -> tuple[list, float]:
+    """The models of the chain, in order, from a sample's labels, folds and tokens held, and the threshold."""
+    size, counts = len(vocabulary), np.array([len(h) for h in held], np.int64)
+    models, before = [], np.zeros((len(held), 0))
+
+    def fit(which: np.ndarray, k: int) -> np.ndarray | float:
+        y = labels[which, k]
+        if not len(y) or y.min() == y.max():
+            return float(y[0]) if len(y) else 0.0
+        own = np.concatenate([held[i] for i in which])
+        return logistic(own, np.append(0, np.cumsum(counts[which])), before[which], y, size)
+
+    def predict(model: np.ndarray | float, which: np.ndarray) -> np.ndarray:
+        if isinstance(model, float):
+            return np.full(len(which), model)
+        z = np.array([model[held[i]].sum() for i in which]) + before[which] @ model[size:-1] + model[-1]
+        return 1 / (1 + np.exp(-z))
+
+    everyone = np.arange(len(held))
+    for k in range(labels.shape[1]):
+        model = fit(everyone, k)
+        if isinstance(model, float):
+            models.append({"value": model})
+        else:
+            words = {t: float(w) for t, w in zip(vocabulary, model, strict=False) if w}
+            models.append({"weights": words, "earlier": model[size:-1].tolist(), "intercept": float(model[-1])})
+        out_of_fold = np.zeros(len(held))
+        for f in range(folds):
+            inside = np.flatnonzero(fold == f)
+            out_of_fold[inside] = predict(fit(np.flatnonzero(fold != f), k), inside)
+        before = np.column_stack([before, out_of_fold])
+    last = labels[:, -1]
+    return models, best_threshold(before[:, -1], last) if last.min() < last.max() else 0.5
 
 
 def fit_chain(
@@ -159,48 +230,38 @@ def fit_chain(
     if not vocabulary:
         shares = sample.agg(*[F.avg(name) for name in names]).first()
         return Chain(names, [Constant(float(round(share or 0.0))) for share in shares])
-    vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="tokens", outputCol="features")
-    # Few partitions: the sample is bounded, and each step of a fit is a job over all of them.
-    sample = stored(vectors.setBinary(True).transform(sample).drop("tokens").repartition(6, "fold", F.xxhash64("features")), "toxicity-fit")
-    sample = sample.coalesce(6).persist()
-    models: list[Linear | Constant] = []
-    for k, name in enumerate(names):
-        fitted = _fit(sample, name, names[:k])
-        if isinstance(fitted, float):
-            models.append(Constant(fitted))
-        else:
-            weights = fitted.coefficients.toArray()
-            words = {t: float(w) for t, w in zip(vocabulary, weights[: len(vocabulary)], strict=True) if w}
-            models.append(Linear(words, [float(w) for w in weights[len(vocabulary) :]], float(fitted.intercept)))
-        if k + 1 < len(names):
-            held_out = [
-                _predicted(
-                    sample.where(F.col("fold") == f),
-                    _fit(sample.where(F.col("fold") != f), name, names[:k]),
-                    names[:k],
-                    f"p_{name}",
-                )
-                for f in range(folds)
-            ]
-            joined = held_out[0]
-            for part in held_out[1:]:
-                joined = joined.unionByName(part)
-            before, sample = sample, stored(joined, "toxicity-folds").coalesce(6).persist()
-            before.unpersist()
-    sample.unpersist()
-    return Chain(names, models)
-
-
-def judged(docs: DataFrame, labels: DataFrame, reject_at: float = REJECT_AT, **settings) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {token: i for i, token in enumerate(vocabulary)}
+        rows, fold_of, held = [], [], []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                columns = batch.slice(at, 256).to_pydict()
+                rows += list(zip(*(columns[name] for name in names), strict=True))
+                fold_of += columns["fold"]
+                held += [np.array([place[t] for t in own if t in place], np.int64) for own in columns["tokens"]]
+        models, threshold = _chain_of(np.array(rows), np.array(fold_of), held, vocabulary, folds)
+        yield pa.RecordBatch.from_pydict({"models": [json.dumps(models)], "threshold": [threshold]})
+
+    # The sample is bounded, so one task fits the whole chain; rows in one order make it the same each time.
+    fitted = sample.coalesce(1).sortWithinPartitions("fold", *names, F.xxhash64("tokens")).mapInArrow(run, "models string, threshold double").first()
+    models = json.loads(fitted["models"])
+    models = [Constant(m["value"]) if "value" in m else Linear(**m) for m in models]
+    return Chain(names, models, fitted["threshold"])
+
+
+def judged(docs: DataFrame, labels: DataFrame, reject_at: float | None = None, **settings) -> DataFrame:
     """All rows and columns of ``docs`` with ``p_<category>`` of each category and ``rejected``.
 
-    A document is rejected where the chain's last category reaches ``reject_at``. Documents are scored in one
-    pass without a shuffle. A text without letters, NULL or empty ones too, gets the models' intercepts and is
+    A document is rejected where the chain's last category reaches ``reject_at``; left out, it is the
+    probability that parts the labelled sample best, each document judged by a model that has not seen it.
+    Documents are scored in one pass without a shuffle. A text without letters, NULL or empty ones too, gets the models' intercepts and is
     never rejected. A text of any length is read whole. Without labels a category's probability is 0; with
     labels of one class it is that class. Repeated rows and equal texts are judged alike. No rows give none.
     Columns of ``docs`` that bear a name of the result give way.
     """
     chain = fit_chain(docs, labels, **settings)
+    reject_at = chain.threshold if reject_at is None else reject_at
     added = [f"p_{name}" for name in chain.categories]
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in [*added, "rejected"]])
     place = kept.columns.index("text")

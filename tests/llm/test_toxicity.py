@@ -32,11 +32,9 @@ def frames(spark, rows):
 
 
 def test_unseen_documents(spark):
-    docs, _ = frames(spark, corpus(400, 1))
     seen, unseen = corpus(400, 1), corpus(150, 2)
     chain = toxicity.fit_chain(*frames(spark, seen))
-    del docs
-    wrong = [r for r in unseen if (chain.probabilities(r[1])[1] >= 0.5) != r[2]]
+    wrong = [r for r in unseen if (chain.probabilities(r[1])[1] >= chain.threshold) != r[2]]
     poor = [r for r in unseen if (chain.probabilities(r[1])[0] >= 0.5) == r[3]]
     assert len(wrong) <= 2 and len(poor) <= 2
     assert chain.categories == ["low_quality", "toxic"] and len(chain.models[1].earlier) == 1
@@ -55,7 +53,7 @@ def test_odd_rows(spark):
     rows = corpus(200, 3)
     docs, labels = frames(spark, rows)
     odd = spark.createDataFrame(
-        [(900, None, None, "x"), (901, "", "s", "x"), (902, "123 !!", "s", "x"), (None, "zorgla " * 3, "s", "x"), (903, "word " * 60_000, "s", "x"), (0, rows[0][1], "s", "x")],
+        [(900, None, None, "x"), (901, "", "s", "x"), (902, "123 !!", "s", "x"), (None, "zorgla blarfen and a zorglschaft of blarfing", "s", "x"), (903, "word " * 60_000, "s", "x"), (0, rows[0][1], "s", "x")],
         docs.schema,
     )
     labels = labels.union(spark.createDataFrame([(None, 1, 1), (5, None, None), (5, 1, 0), (99999, 1, 1)], labels.schema))
