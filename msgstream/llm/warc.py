@@ -231,6 +231,7 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
         index = "".join(json.dumps(line) + "\n" for line in lines).encode()
         data = zip_stored({f"{ARCHIVES}data.warc.gz": bytes(archive), f"{INDEXES}index.cdxj": index})
         files, base = fs.FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
         path = f"{base.rstrip('/')}/{uuid.uuid4().hex}.wacz"
         with files.open_output_stream(path) as out:
             out.write(data)
