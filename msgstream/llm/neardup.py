@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgstream.llm.common import WORD
 from msgstream.scratch import stored
 
 # Minima of a signature, low bits kept of each, minima in a band. Texts of likeness 0.8 share one of the 32
@@ -21,13 +20,12 @@ BITS = 2
 ROWS = 4
 # Estimates are trusted to this much: six standard deviations at likeness 0.8 and 128 minima of two bits.
 MARGIN = 0.25
-# Texts compared with each other in one task.
+# Texts compared with each other in one task, and edges of which a task takes the components.
 BLOCK = 1024
+EDGES_A_TASK = 200_000
 
 # Multiplier and shifts of a 64-bit finalizer that spreads all bits.
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-_UPPER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
-_SPLIT = re.compile(WORD)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -37,12 +35,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 _SEEDS = _mixed(np.arange(1, 2 * MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_FACTORS, _OFFSETS = _SEEDS[:MINIMA, None] | np.uint64(1), _SEEDS[MINIMA:, None]
+_FACTORS = (_SEEDS[:MINIMA, None] | np.uint64(1)).astype(np.uint32)
+_OFFSETS = _SEEDS[MINIMA:, None].astype(np.uint32)
 
 
 class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        value = xxhash.xxh3_64_intdigest(word.encode())
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
         if len(self) < 500_000:
             self[word] = value
         return value
@@ -51,14 +50,13 @@ class _WordHashes(dict):
 _WORDS = _WordHashes()
 
 
-def words(text: str | None) -> list[str]:
-    """Runs of other than ASCII white space, A to Z in lower case."""
-    return _SPLIT.findall((text or "").translate(_UPPER))
+def words(text: str | None) -> list[bytes]:
+    """Runs of other than ASCII white space, A to Z in lower case: just what bytes know as such."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
+def shingles(found: list[bytes], size: int) -> np.ndarray:
     """Sorted 64-bit values of the distinct runs of ``size`` words; of all words where there are fewer."""
-    found = words(text)
     if not found:
         return np.empty(0, np.uint64)
     hashed = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
@@ -71,12 +69,13 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
 def minima(values: np.ndarray) -> np.ndarray:
     """The least of each of the hash functions over a set; long sets go through in pieces."""
-    least = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(values), 4096):
-        hashed = values[None, at : at + 4096] * _FACTORS + _OFFSETS
-        hashed ^= hashed >> np.uint64(29)
+    short = values.astype(np.uint32)
+    least = np.full(MINIMA, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(short), 2048):
+        hashed = short[None, at : at + 2048] * _FACTORS
+        hashed += _OFFSETS
         least = np.minimum(least, hashed.min(axis=1))
-    return _mixed(least)
+    return _mixed(least.astype(np.uint64))
 
 
 def packed_bits(least: np.ndarray) -> np.ndarray:
@@ -85,27 +84,14 @@ def packed_bits(least: np.ndarray) -> np.ndarray:
     return np.concatenate(planes)
 
 
-def _estimate(equal: Column | np.ndarray):
+def _estimate(equal: np.ndarray) -> np.ndarray:
     """Likeness from the number of equal low bits: what equal bits come by chance is taken off."""
     chance = 2.0**-BITS
     return (equal / MINIMA - chance) / (1 - chance)
 
 
-def estimated(a: Column, b: Column) -> Column:
-    """Likeness of two packed signatures, by bit counts of what differs in any plane."""
-    lanes = MINIMA // 64
-    differing = F.lit(0)
-    for lane in range(lanes):
-        any_plane = F.lit(0).cast("long")
-        for plane in range(BITS):
-            at = plane * lanes + lane + 1
-            any_plane = any_plane.bitwiseOR(F.element_at(a, at).bitwiseXOR(F.element_at(b, at)))
-        differing = differing + F.bit_count(any_plane)
-    return _estimate(F.lit(MINIMA) - differing)
-
-
-def sequence_key(text: str | None) -> bytes:
-    return xxhash.xxh3_128(" ".join(words(text)).encode()).digest()
+def sequence_key(found: list[bytes]) -> bytes:
+    return xxhash.xxh3_128(b" ".join(found)).digest()
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
@@ -118,7 +104,8 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 part = batch.slice(at, 512)
                 out = {"doc_id": part.column(0).to_pylist(), "key": [], "n_shingles": [], "bits": [], "bands": []}
                 for text in part.column(1).to_pylist():
-                    values = shingles(text, size)
+                    found = words(text)
+                    values = shingles(found, size)
                     out["n_shingles"].append(len(values))
                     if not len(values):
                         for name in ("key", "bits", "bands"):
@@ -129,7 +116,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     band = np.full(len(bands), 0, np.uint64)
                     for row in range(ROWS):
                         band = _mixed(band ^ bands[:, row]) + np.uint64(row)
-                    out["key"].append(sequence_key(text))
+                    out["key"].append(sequence_key(found))
                     out["bits"].append(packed_bits(least))
                     out["bands"].append((band + np.arange(len(band), dtype=np.uint64)).view(np.int64))
                 yield pa.RecordBatch.from_pydict(out, schema)
@@ -151,15 +138,17 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stored(both.where("a <> b").distinct(), f"{purpose}-edges")
+    # As many tasks as the edges need: rounds over few edges should not wait for many empty tasks.
+    tasks = both.count() // EDGES_A_TASK + 1
     labels = stored(
         both.groupBy("a").agg(F.min("b").alias("least")).select(
             F.col("a").alias("node"), F.least("a", "least").alias("component")
-        ),
+        ).coalesce(tasks),
         f"{purpose}-labels",
     )
     while True:
         mine = labels.select(F.col("node").alias("b"), "component")
-        near = both.join(mine, "b").groupBy("a").agg(F.min("component").alias("near"))
+        near = both.join(mine, "b").groupBy("a").agg(F.min("component").alias("near")).coalesce(tasks)
         closer = labels.join(near, labels.node == near.a).select(
             "node", F.least("component", "near").alias("next"), F.col("component").alias("before")
         )
@@ -167,7 +156,7 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         moved = stored(
             closer.join(jump, "next", "left").select(
                 "node", F.least(F.col("next"), F.coalesce("beyond", "next")).alias("component"), "before"
-            ),
+            ).coalesce(tasks),
             f"{purpose}-labels",
         )
         labels = moved.select("node", "component")
@@ -175,6 +164,65 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
             return labels
 
 
+def _ties(nodes: DataFrame, percent: int, block: int) -> DataFrame:
+    """``a, b``: ties that connect the texts of a band whose estimates reach the floor, ``a`` the smallest.
+
+    A band of more than ``block`` texts is dealt over blocks, and each two of them meet in a group of their
+    own, so no group is larger than two blocks. In a group a text is compared with those not yet connected
+    only, so near copies are done after a few comparisons.
+    """
+    bands = nodes.select("node", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    dealt = bands.join(shared, "band").select("node", "band", blocks.alias("blocks")).withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    # With other blocks, if there are any; with itself only where it is alone.
+    partner = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (x != F.col("own")) | (F.col("blocks") == 1))
+    met = dealt.withColumn("other", F.explode(partner)).select(
+        "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node"
+    )
+    groups = met.join(nodes.select("node", "bits"), "node").repartition("band", "p", "q")
+    groups = groups.select("band", "p", "q", "node", "bits").sortWithinPartitions("band", "p", "q", "node")
+    lanes, floor = MINIMA // 64, percent / 100 - MARGIN
+
+    def connected(ids: np.ndarray, bits: np.ndarray) -> Iterator[tuple[int, int]]:
+        planes = bits.view(np.uint64).reshape(len(ids), BITS, lanes)
+        left = np.arange(len(ids))
+        while len(left) > 1:
+            root, waiting, left = left[0], [left[0]], left[1:]
+            while waiting and len(left):
+                one = planes[waiting.pop()]
+                differing = np.bitwise_or.reduce(planes[left] ^ one, axis=1)
+                estimate = _estimate(MINIMA - np.bitwise_count(differing).sum(axis=1).astype(np.float64))
+                near = estimate >= floor
+                waiting += left[near].tolist()
+                yield from ((int(ids[root]), int(ids[i])) for i in left[near])
+                left = left[~near]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+                bits = batch.column(4).flatten().to_numpy().reshape(batch.num_rows, -1)
+                new = keys, batch.column(3).to_numpy(), bits
+                rest = new if rest is None else tuple(np.concatenate(pair) for pair in zip(rest, new, strict=True))
+            if rest is None or not len(rest[0]):
+                continue
+            keys, ids, bits = rest
+            starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1])
+            # The last group may go on in the next batch.
+            ends = np.append(starts[1:], len(keys))
+            if batch is not None:
+                rest, starts, ends = tuple(x[starts[-1] :] for x in rest), starts[:-1], ends[:-1]
+            found = [tie for s, e in zip(starts.tolist(), ends.tolist(), strict=True) if e - s > 1 for tie in connected(ids[s:e], bits[s:e])]
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return groups.mapInArrow(run, "a long, b long").distinct()
+
+
 class _Forest:
     """Union by smaller root."""
 
@@ -207,7 +255,7 @@ def _links(
 
     def values(i: int) -> np.ndarray:
         if i not in known:
-            known[i] = shingles(texts[i], size)
+            known[i] = shingles(words(texts[i]), size)
         return known[i]
 
     lanes = MINIMA // 64
@@ -267,9 +315,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, block: in
     union or more. A component is what links connect; its id is the smallest ``doc_id`` in it.
 
     1. Rows of the same words are one text, named by its smallest id.
-    2. Texts with a band of minima in common are candidates. A band's texts are tied to its smallest only, so
-       a group of n gives n ties, not n * n; ties whose estimate from the packed bits is too low are cut. What
-       ties connect is a cluster.
+    2. Texts with a band of minima in common are candidates. Where the packed bits of two of them let expect
+       a likeness near the threshold they belong together; a band gives as few ties as connect its texts, so
+       a group of n gives n at most, not n * n (:func:`_ties`). What ties connect is a cluster.
     3. Each cluster is dealt over blocks of bounded size. Within a block all pairs are estimated in memory and
        sets are compared for the best estimates first, until all that is linked is connected.
     4. In clusters of several blocks, a text of each part found is sent round to link the parts. What is then
@@ -304,7 +352,7 @@ def _with_texts(members: DataFrame, docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, found = batch.column(places["key"]).to_pylist(), batch.column(places["text"]).to_pylist()
-            yield batch.filter(pa.array([sequence_key(t) == k for k, t in zip(keys, found, strict=True)], pa.bool_()))
+            yield batch.filter(pa.array([sequence_key(words(t)) == k for k, t in zip(keys, found, strict=True)], pa.bool_()))
 
     return both.mapInArrow(run, both.schema).dropDuplicates(["node"])
 
@@ -313,14 +361,12 @@ def _linked(docs: DataFrame, rows: DataFrame, first: DataFrame, size: int, perce
     """``node, component`` of texts that are linked with another."""
     rows = rows.select("key", F.col("doc_id").alias("first_id"), "bits", "bands")
     one = stored(first.join(rows, ["key", "first_id"]).dropDuplicates(["node"]), "neardup-nodes")
-    bands = one.select("node", F.explode("bands").alias("band"))
-    least = bands.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    ties = bands.join(least, "band").where("node <> least").select("node", "least").distinct()
-    left, right = one.select("node", "bits"), one.select(F.col("node").alias("least"), F.col("bits").alias("least_bits"))
-    likely = ties.join(left, "node").join(right, "least").where(
-        estimated(F.col("bits"), F.col("least_bits")) >= percent / 100 - MARGIN
-    )
-    clusters = components(likely.select(F.col("node").alias("a"), F.col("least").alias("b")), "neardup-clusters")
+    ties = _ties(one, percent, block)
+    # All texts a text is tied to are tied to the smallest of them instead: as many edges, but one a text.
+    own = ties.groupBy("b").agg(F.min("a").alias("least"), F.collect_set("a").alias("others"))
+    others = own.select(F.explode("others").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+    edges = own.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(others)
+    clusters = components(edges, "neardup-clusters")
     sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     members = (
