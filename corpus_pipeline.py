@@ -15,8 +15,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand on many sites; each such line stays where it is first."""
-    return linededup.without_boilerplate(docs).select(*[f"`{c}`" for c in docs.columns])
+    """Documents without lines that stand on many sites, however little is left; each such line stays where it is first."""
+    return linededup.without_boilerplate(docs, least_left=0).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import corpus_pipeline
 from msgstream.llm import linededup
 
 LICENSE, OTHER = "Licensed under some public license, version 3", "Share this page with all of your friends"
@@ -62,3 +63,10 @@ def test_odd_rows(docs):
     assert found(result) == brute(rows)
     assert all(r.n_chars == len(r.text or "") for r in result.collect())
     assert linededup.without_boilerplate(docs([])).collect() == []
+
+
+def test_pipeline_exempts_no_document(docs):
+    """Short pages of mostly boilerplate lose it too; the smallest id keeps it."""
+    rows = [(i, f"own {i}\n{LICENSE}\n{OTHER}", f"s{i % 6}") for i in range(12)] + [(12, f"{OTHER}\n{LICENSE}", "s1")]
+    result = dict(corpus_pipeline.line_dedup(None, docs(rows), None).select("doc_id", "text").collect())
+    assert result == {0: rows[0][1], **{i: f"own {i}" for i in range(1, 12)}, 12: ""}
