@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from msgstream.llm.common import digest
 from msgstream.scratch import stored
 
 # Minima of a signature, low bits kept of each, minima in a band. Texts of likeness 0.8 share one of the 32
@@ -94,15 +95,18 @@ def sequence_key(found: list[bytes]) -> bytes:
     return xxhash.xxh3_128(b" ".join(found)).digest()
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
+def signatures(docs: DataFrame, size: int, marked: bool = False) -> DataFrame:
     """``doc_id, key, n_shingles, bits, bands`` of every row. The key is that of the word sequence, so rows of
-    equal keys have equal sets; it is NULL where there is no word."""
+    equal keys have equal sets; it is NULL where there is no word. If ``marked``, the two longs of the text's
+    digest come along as ``hi, lo``."""
+    marks = ["hi", "lo"] if marked else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                out = {"doc_id": part.column(0).to_pylist(), "key": [], "n_shingles": [], "bits": [], "bands": []}
+                out = {"doc_id": part.column(0), "key": [], "n_shingles": [], "bits": [], "bands": []}
+                out |= {name: part.column(2 + i) for i, name in enumerate(marks)}
                 for text in part.column(1).to_pylist():
                     found = words(text)
                     values = shingles(found, size)
@@ -124,9 +128,12 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     longs = pa.list_(pa.int64())
     schema = pa.schema(
         [("doc_id", pa.int64()), ("key", pa.binary()), ("n_shingles", pa.int64()), ("bits", longs), ("bands", longs)]
+        + [(name, pa.int64()) for name in marks]
     )
     result = "doc_id long, key binary, n_shingles long, bits array<long>, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, result)
+    result += "".join(f", {name} long" for name in marks)
+    digests = [digest(F.col("text"))[name].alias(name) for name in marks]
+    return docs.select(F.col("doc_id").cast("long"), "text", *digests).mapInArrow(run, result)
 
 
 def components(edges: DataFrame, purpose: str) -> DataFrame:
@@ -329,16 +336,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, block: in
     text. Rows that repeat an id are judged alike where the text is alike. No rows give none; extra columns
     are not read. A text of any length is read whole.
     """
-    rows = stored(signatures(docs, size), "neardup-signatures")
+    return _judged(docs, size, percent, block).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, size: int, percent: int, block: int = BLOCK, marked: bool = False) -> DataFrame:
+    """:func:`near_duplicates`; if ``marked``, with the digest of each row's text as ``hi, lo``."""
+    rows = stored(signatures(docs, size, marked), "neardup-signatures")
     first = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first_id"))
     first = stored(first.withColumn("node", F.monotonically_increasing_id()), "neardup-texts")
     members = _linked(docs, rows, first.where("first_id IS NOT NULL"), size, percent, block)
     grouped = first.join(members, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = grouped.join(least, "component").select("key", "component_id")
-    judged = rows.select("doc_id", "key", "n_shingles").join(named, "key", "left")
+    judged = rows.drop("bits", "bands").join(named, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return judged.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return judged.withColumn("component_id", component).drop("key").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
@@ -434,8 +446,10 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, its smallest id, with the columns it came with.
 
-    Rows that repeat an id that is kept stay, and so do rows without a word.
+    Rows are told apart by id and text, so only those judged not kept go: of an id with several texts each is
+    judged by itself, and rows without an id go where a row with one has their words. Rows without a word stay.
     """
-    judged = near_duplicates(docs, size, percent)
-    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("n_shingles").alias("_n")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    judged = _judged(docs, size, percent, marked=True)
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.struct("hi", "lo").alias("_text")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (digest(F.col("text")) == F.col("_text"))
+    return docs.join(gone, same, "left_anti")

@@ -106,6 +106,14 @@ def test_one_of_each_keeps_columns(docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 6, 7]
 
 
+def test_one_of_each_drops_rows_not_ids(docs):
+    a, b, c, d = (" ".join(words(seed, 50)) for seed in (20, 21, 22, 23))
+    rows = [(1, a), (4, a + " end"), (4, b), (4, None), (None, a), (None, a.upper()), (None, c), (None, ""), (None, None), (5, d), (5, d)]
+    left = [(1, a), (4, b), (4, None), (None, c), (None, ""), (None, None), (5, d), (5, d)]
+    kept = neardup.one_of_each(docs(rows)).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, left))
+
+
 def test_estimates_follow_likeness():
     rng = np.random.default_rng(1)
     for likeness in (0.3, 0.8, 0.95):
