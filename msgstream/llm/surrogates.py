@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgstream.llm.common import digest
 from msgstream.scratch import stored
 
 KEY = "surrogate-key-of-this-corpus"
-# Rounds of drawing again where surrogates collide; each round leaves a vanishing share of the one before.
-ROUNDS = 30
+# Rounds of drawing again where surrogates collide; what is left then, in crowded formats, gets free values in turn.
+ROUNDS = 4
 
 # Titles that stand before names, by gender.
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Signor", "Господин")
@@ -177,12 +177,27 @@ def _address(ip: Column, seed: Column) -> Column:
     return F.array_join(F.transform(F.split(ip, r"\."), other), ".")
 
 
-def _mail(address: Column, seed: Column, key: str) -> Column:
+def _last_label(domain: Column) -> Column:
+    return F.concat(F.lit("."), F.substring_index(domain, ".", -1))
+
+
+def _host(domain: Column) -> Column:
+    return F.substr(domain, F.lit(1), F.length(domain) - F.length(_last_label(domain)))
+
+
+def _domain(domain: Column, key: str, attempt: Column) -> Column:
+    """Another domain below the same last label."""
+    return F.concat(_spelled(_host(domain), _seed(key, F.lit("domain"), domain, attempt)), _last_label(domain))
+
+
+def _mail_domain(address: Column, key: str, moved: Column) -> Column:
+    """The domain of an address's surrogate: ``moved`` where that is known, or else the first one drawn."""
+    return F.coalesce(moved, _domain(F.substring_index(address, "@", -1), key, F.lit(0)))
+
+
+def _mail(address: Column, seed: Column, key: str, moved: Column) -> Column:
     """Another local part; another domain, the same for all addresses of one domain, below the same last label."""
-    local, domain = F.substring_index(address, "@", 1), F.substring_index(address, "@", -1)
-    last = F.concat(F.lit("."), F.substring_index(domain, ".", -1))
-    host = F.substr(domain, F.lit(1), F.length(domain) - F.length(last))
-    return F.concat(_spelled(local, seed), F.lit("@"), _spelled(host, _seed(key, F.lit("domain"), domain, F.lit(0))), last)
+    return F.concat(_spelled(F.substring_index(address, "@", 1), seed), F.lit("@"), _mail_domain(address, key, moved))
 
 
 def _name(kind: Column, name: Column, seed: Column) -> Column:
@@ -205,13 +220,14 @@ def _name(kind: Column, name: Column, seed: Column) -> Column:
     )
 
 
-def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Column:
+def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column, moved: Column) -> Column:
     seed = _seed(key, kind, canonical, attempt)
     hexadecimal = F.array_join(
         F.transform(_characters(canonical), lambda c, i: _pick("0123456789abcdef", _bytes(seed, i))), ""
     )
     return (
-        F.when(kind == "email", _mail(canonical, seed, key))
+        F.when(kind == "email", _mail(canonical, seed, key, moved))
+        .when(kind == "domain", _domain(canonical, key, attempt))
         .when(kind == "ip", _address(canonical, seed))
         .when(kind == "phone", _digits(canonical, seed, {0: 2, 3: 2}))
         .when(kind == "card", _card(canonical, seed))
@@ -222,18 +238,150 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
     )
 
 
-def surrogates(known: DataFrame, key: str = KEY, rounds: int = ROUNDS) -> DataFrame:
-    """``kind, canonical, surrogate``: no two of a kind share one, and none is an entity of the corpus.
+# What may stand at one place of a surrogate. Any other code is "=" and the text that stands there.
+_WHEELS = {
+    "0": "0123456789",
+    "2": "23456789",
+    "a": "abcdefghijklmnopqrstuvwxyz",
+    "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "я": "абвгдежзиклмнопрстуфхцчшэюя",
+    "Я": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ",
+    "x": "0123456789abcdef",
+    "octet1": [str(n) for n in range(1, 10)],
+    "octet2": [str(n) for n in range(10, 100)],
+    "octet3": [str(n) for n in range(100, 254)],
+    "octet": [str(n) for n in range(1, 255)],
+    "latin": LATIN,
+    "cyrillic": CYRILLIC,
+    "latin-m": ENDINGS["m"],
+    "latin-f": ENDINGS["f"],
+    "latin-family": FAMILY_ENDINGS,
+    "cyrillic-m": CYRILLIC_ENDINGS["m"],
+    "cyrillic-f": CYRILLIC_ENDINGS["f"],
+    "cyrillic-family": CYRILLIC_FAMILY,
+}
+
+
+def _wheel(code: Column) -> Column:
+    # Literals only, which Spark turns into one value when it plans.
+    wheels = F.create_map(*[x for name, all_of in _WHEELS.items() for x in (F.lit(name), F.split(F.lit(" ".join(all_of)), " "))])
+    return F.coalesce(F.try_element_at(wheels, code), F.array(F.substring(code, 2, 1000)))
+
+
+def _codes(text: Column) -> Column:
+    """The classes of :func:`_spelled` by character."""
+
+    def code(c: Column) -> Column:
+        found = F.concat(F.lit("="), c)
+        for name, shape in (("0", "[0-9]"), ("a", "[a-z]"), ("A", "[A-Z]"), ("я", "[а-яё]"), ("Я", "[А-ЯЁ]")):
+            found = F.when(c.rlike(rf"\A{shape}\z"), name).otherwise(found)
+        return found
+
+    return F.transform(_characters(text), code)
+
+
+def _form(key: str, kind: Column, canonical: Column, moved: Column, wide: Column) -> Column:
+    """The wheels of an entity's surrogates, place by place, as many values as :func:`_surrogate` can draw; each
+    step of ``wide`` makes a longer format: a letter or syllable more, or a digit more in each octet."""
+
+    def literal(text: Column) -> Column:
+        return F.array(F.concat(F.lit("="), text))
+
+    def octet(o: Column, i: Column) -> Column:
+        size = F.least(F.length(o) + wide, F.lit(3)).cast("string")
+        code = F.when(wide > 2, "octet").otherwise(F.concat(F.lit("octet"), size))
+        return F.when(i == 0, F.array(code)).otherwise(F.array(F.lit("=."), code))
+
+    more = F.array_repeat(F.lit("a"), wide)
+    script = F.when(canonical.rlike(r"[Ѐ-ӿ]"), "cyrillic").otherwise("latin")
+    ending = F.concat(script, F.lit("-"), F.regexp_replace(kind, "given-", ""))
+    digits = F.transform(_characters(canonical), lambda c, i: F.when(i.isin(0, 3), "2").otherwise("0"))
+    zeros = F.array_repeat(F.lit("0"), F.length(canonical) - 2)
+    check = F.when(_luhn(canonical) == 0, F.array(F.lit("="))).otherwise(F.array(F.lit("0")))
+    return (
+        F.when(kind == "email", F.concat(
+            _codes(F.substring_index(canonical, "@", 1)), more,
+            literal(F.concat(F.lit("@"), _mail_domain(canonical, key, moved)))))
+        .when(kind == "domain", F.concat(_codes(_host(canonical)), more, literal(_last_label(canonical))))
+        .when(kind == "ip", F.flatten(F.transform(F.split(canonical, r"\."), octet)))
+        .when(kind == "phone", digits)
+        .when(kind == "card", F.concat(literal(F.substring(canonical, 1, 1)), zeros, check))
+        .when(kind == "key", F.concat(F.array(F.lit("=AKIA")), _codes(F.substring(canonical, 5, 99))))
+        .when(kind == "hex", F.array_repeat(F.lit("x"), F.length(canonical)))
+        .when(kind == "secret", F.concat(_codes(canonical), more))
+        .otherwise(F.concat(F.array_repeat(script, wide + 3), F.array(ending)))
+    )
+
+
+def _nth(key: str, kind: Column, form: Column, n: Column) -> Column:
+    """The n-th value of a form, each one once: a number whose digits turn the wheels from a keyed place on."""
+    seed = _seed(key, kind, F.array_join(form, "\x1e"), F.lit("form"))
+    places = F.transform(form, lambda code, i: F.struct(_wheel(code).alias("wheel"), _bytes(seed, i).alias("first")))
+
+    def turned(state: Column, place: Column) -> Column:
+        size = F.size(place["wheel"]).cast("long")
+        shown = F.get(place["wheel"], F.pmod(F.pmod(state["rest"], size) + place["first"], size).cast("int"))
+        return F.struct(
+            F.call_function("div", state["rest"], size).alias("rest"), F.concat(state["text"], shown).alias("text")
+        )
 
-    All draw by the key and their own value. Where several have drawn the same, the first of them keeps it
-    and the others draw again, as do those that drew an entity that exists. The groups are found by aggregates.
+    start = F.struct(n.cast("long").alias("rest"), F.lit("").alias("text"))
+    text = F.aggregate(places, start, turned)["text"]
+    check = F.pmod(10 - _luhn(F.concat(text, F.lit("0"))), F.lit(10)).cast("string")
+    return F.when((kind == "card") & (F.element_at(form, -1) == "="), F.concat(text, check)).otherwise(text)
+
+
+def _dealt(lost: DataFrame, used: DataFrame, key: str) -> list[DataFrame]:
+    """``kind, canonical, surrogate`` in parts: what lost its draws gets values that are not in ``used``.
+
+    Those of one form, in keyed order, get the form's free values in turn. Values are listed a stretch at a time,
+    each as long as all before it, so about as many are made as are used or needed. Where a form has no free
+    value left, the next longer one is used; kinds that have none are an error.
     """
+    parts: list[DataFrame] = []
+    left = lost.select("kind", "canonical", "domain", F.lit(0).alias("wide"), F.lit(0).cast("long").alias("start"))
+    while True:
+        form = _form(key, F.col("kind"), F.col("canonical"), F.col("domain"), F.col("wide"))
+        left = stored(left.withColumn("form", form), "surrogates-lost")
+        if left.isEmpty():
+            return parts
+        sizes = F.transform("form", lambda code: F.size(_wheel(code)).cast("double"))
+        room = F.least(F.aggregate(sizes, F.lit(1.0), lambda a, n: a * n), F.lit(1e17)).cast("long")
+        classes = left.groupBy("kind", "form").agg(F.count("*").alias("n"), F.min("start").alias("start"))
+        classes = classes.withColumn("room", room).withColumn(
+            "end", F.least("room", F.col("start") + F.greatest(F.lit(16), F.col("n") * 2, F.col("start")))
+        )
+        classes = stored(classes, "surrogates-forms")
+        listed = classes.select("kind", "form", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("n"))
+        listed = listed.withColumn("surrogate", _nth(key, F.col("kind"), F.col("form"), F.col("n")))
+        single = listed.groupBy("kind", "surrogate").agg(F.min(F.struct("form", "n")).alias("one"))
+        free = single.join(used, ["kind", "surrogate"], "left_anti").select("kind", "surrogate", "one.*")
+        by_form = Window.partitionBy("kind", "form")
+        free = free.withColumn("rank", F.row_number().over(by_form.orderBy("n"))).drop("n")
+        order = _seed(key, F.col("kind"), F.col("canonical"), F.lit("rank"))
+        waiting = left.withColumn("rank", F.row_number().over(by_form.orderBy(order, "canonical")))
+        turn = stored(waiting.join(free, ["kind", "form", "rank"], "left"), "surrogates-dealt")
+        parts.append(turn.where("surrogate IS NOT NULL").select("kind", "canonical", "surrogate"))
+        used = used.unionByName(parts[-1].select("kind", "surrogate"))
+        rest = turn.where("surrogate IS NULL").select("kind", "canonical", "domain", "wide", "form")
+        rest = rest.join(classes.select("kind", "form", "end", (F.col("end") >= F.col("room")).alias("full")), ["kind", "form"])
+        fixed = F.col("kind").isin("phone", "card", "key", "hex") | ((F.col("kind") == "ip") & (F.col("wide") > 2))
+        stuck = rest.where(F.col("full") & fixed).select("kind").first()
+        if stuck is not None:
+            raise ValueError(f"surrogates still collide: a format of kind {stuck.kind} has no free value left")
+        left = rest.select(
+            "kind", "canonical", "domain", (F.col("wide") + F.col("full").cast("int")).alias("wide"),
+            F.when(F.col("full"), 0).otherwise(F.col("end")).cast("long").alias("start"),
+        )
+
+
+def _distinct(known: DataFrame, key: str, rounds: int) -> DataFrame:
+    """``kind, canonical, surrogate`` of ``kind, canonical, domain``: see :func:`surrogates`."""
     originals = known.select("kind", F.col("canonical").alias("surrogate")).withColumn("taken", F.lit(True))
-    drawn = known.withColumn("attempt", F.lit(0))
+    drawn = known.select("kind", "canonical", "domain", F.lit(0).alias("attempt"))
+    one, order = _surrogate(key, F.col("kind"), F.col("canonical"), F.col("attempt"), F.col("domain")), F.struct("attempt", "canonical")
     for _ in range(rounds):
-        named = drawn.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("canonical"), F.col("attempt")))
-        named = stored(named, "surrogates")
-        order = F.struct("attempt", "canonical")
+        named = stored(drawn.withColumn("surrogate", one), "surrogates")
         winners = named.groupBy("kind", "surrogate").agg(F.min(order).alias("first"), F.count("*").alias("n"))
         clashing = winners.join(originals, ["kind", "surrogate"], "left").where("n > 1 OR taken")
         clashing = clashing.select("kind", "surrogate", "first", F.coalesce("taken", F.lit(False)).alias("taken"))
@@ -243,9 +391,39 @@ def surrogates(known: DataFrame, key: str = KEY, rounds: int = ROUNDS) -> DataFr
         if again.where("lost").isEmpty():
             return named.select("kind", "canonical", "surrogate")
         drawn = stored(
-            again.select("kind", "canonical", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt")), "draws"
+            again.select("kind", "canonical", "domain", "surrogate", "lost", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt")),
+            "draws",
         )
-    raise ValueError(f"surrogates still collide after {rounds} rounds")
+    settled = drawn.where("NOT lost").select("kind", "canonical", "surrogate")
+    used = originals.select("kind", "surrogate").unionByName(settled.select("kind", "surrogate"))
+    for part in _dealt(drawn.where("lost"), used, key):
+        settled = settled.unionByName(part)
+    return settled
+
+
+def surrogates(known: DataFrame, key: str = KEY, rounds: int = ROUNDS) -> DataFrame:
+    """``kind, canonical, surrogate``: no two of a kind share one, and none is an entity of the corpus.
+
+    All draw by the key and their own value. Where several have drawn the same, the first of them keeps it
+    and the others draw again, as do those that drew an entity that exists. The groups are found by aggregates.
+    What has lost ``rounds`` times stands in a crowded format and gets one of its free values, or one of a longer
+    format where none is free (:func:`_dealt`). Domains of addresses are told apart in the same way first.
+    """
+    nothing = F.lit(None).cast("string").alias("domain")
+    mail_domain = F.substring_index("canonical", "@", -1)
+    domains = known.where("kind = 'email'").select(F.lit("domain").alias("kind"), mail_domain.alias("canonical"), nothing)
+    domains = stored(domains.distinct(), "surrogates-domains")
+    if domains.isEmpty():
+        return _distinct(known.select("kind", "canonical", nothing), key, rounds)
+    found = _distinct(domains, key, rounds)
+    # Few have not kept what they drew first; only those are sent to their addresses.
+    moved = found.where(F.col("surrogate") != _domain(F.col("canonical"), key, F.lit(0)))
+    moved = stored(moved.select(F.col("canonical").alias("_of"), F.col("surrogate").alias("domain")), "surrogates-moved")
+    if moved.isEmpty():
+        return _distinct(known.select("kind", "canonical", nothing), key, rounds)
+    mine = F.when(F.col("kind") == "email", mail_domain)
+    joined = known.select("kind", "canonical").join(moved, mine == F.col("_of"), "left")
+    return _distinct(stored(joined.select("kind", "canonical", "domain"), "surrogates-known"), key, rounds)
 
 
 def _shown(kind: Column, entity: Column, surrogate: Column) -> Column:
