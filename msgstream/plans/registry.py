@@ -865,8 +865,11 @@ def commit_progress(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------------------
 
 
-# What a watermark must wait for where files are read in any order: more than all the events span.
-PATIENCE = "400 days"
+def patience(rows: DataFrame, use_sender_timestamp: bool = False) -> str:
+    """What a watermark must wait for where files are read in any order: more than the rows' event times span."""
+    time = F.unix_micros(eventtime.event_time(use_sender_timestamp))
+    span = rows.agg((F.max(time) - F.min(time)).alias("span")).first().span
+    return f"{(span or 0) // 1_000_000 + 1} seconds"
 
 
 def _landed(messages: DataFrame, name: str) -> str:
@@ -911,7 +914,8 @@ def document_stream(spark: SparkSession, sf_dir: str):
 def stream_word_count(spark, sf_dir):
     """The flagship as a stream over several batches, drained until every window is written."""
     messages, close = document_stream(spark, sf_dir)
-    counted = flows.deduplicated_word_count(messages, use_sender_timestamp=True, lateness=PATIENCE, salts=8)
+    lateness = patience(documents(spark, sf_dir), use_sender_timestamp=True)
+    counted = flows.deduplicated_word_count(messages, use_sender_timestamp=True, lateness=lateness, salts=8)
     rows = eventtime.window_bounds(counted).select("window_start", "word", "count")
     path = _drained(rows, "stream-words", close=close)
     return spark.read.schema("window_start timestamp_ntz, word string, count long").parquet(path)
@@ -921,7 +925,8 @@ def stream_word_count(spark, sf_dir):
 def stream_window_files(spark, sf_dir):
     source = _landed(events(spark, sf_dir), "landing")
     rows = event_stream(spark, sf_dir, source)
-    lines = flows.word_count_lines(rows, FILE_WIDTH, use_sender_timestamp=True, lateness=PATIENCE)
+    lateness = patience(event_texts(spark, sf_dir), use_sender_timestamp=True)
+    lines = flows.word_count_lines(rows, FILE_WIDTH, use_sender_timestamp=True, lateness=lateness)
     close = lambda: landing.close_queues(spark, source, [b.IDLE_QUEUE])
     return _window_lines(spark, _drained(lines, "stream-window-files", jobs.start_window_files, close))
 
@@ -931,7 +936,7 @@ def stream_window_files(spark, sf_dir):
     f"WITH {EVENT_MESSAGES} SELECT DISTINCT queue, message_id, text FROM event_messages",
 )
 def stream_dedup(spark, sf_dir):
-    timed = eventtime.with_event_time(event_stream(spark, sf_dir), lateness=PATIENCE)
+    timed = eventtime.with_event_time(event_stream(spark, sf_dir), lateness=patience(event_texts(spark, sf_dir)))
     rows = dedup.distinct_across_windows(timed, ("queue", "message_id"), salts=8).select("queue", "message_id", "text")
     return spark.read.schema("queue string, message_id long, text string").parquet(_drained(rows, "stream-dedup"))
 

@@ -1,6 +1,8 @@
 """Every query against its SQL, over whole tables."""
 
 import oracle
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as spark_entry
@@ -43,3 +45,12 @@ def test_tables_of_many_files(spark, duck, folder, name):
         spark.read.parquet(f"{SF}/{table}.parquet").repartition(9).write.parquet(f"{path}/{table}.parquet")
     rows = oracle.spark_rows(registry.QUERIES[name](spark, path))
     assert rows == oracle.duck_rows(duck, registry.ORACLES[name])
+
+
+def test_streamed_words_of_far_apart_ids(spark, tmp_path):
+    """Ids 700 days of seconds apart, in more files than three batches read."""
+    rows = [(i if i >= 20 else 60_480_000 + i, f"word{i} both", "de", f"source{i:02d}", 10) for i in range(40)]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    pq.write_table(pa.table({n: [r[i] for r in rows] for i, n in enumerate(names)}), f"{tmp_path}/documents.parquet")
+    columns, found = oracle.spark_rows(spark_entry.queries()["stream_word_count"](spark, str(tmp_path)))
+    assert (columns, found) == oracle.duck_rows(oracle.duck(str(tmp_path)), spark_entry.oracle_sql()["stream_word_count"])
