@@ -6,11 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgstream.llm import linededup, mixing, neardup, packing, phrases, surrogates, topk, toxicity, urlrules, warc
+from msgstream.llm import (
+    filteraudit,
+    importance,
+    linededup,
+    mixing,
+    neardup,
+    packing,
+    phrases,
+    pieces,
+    surrogates,
+    topk,
+    toxicity,
+    urlrules,
+    warc,
+)
 from msgstream.llm.common import table
 from msgstream.scratch import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def op1_keyed_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +79,20 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "p_low_quality", "p_toxic", "rejected")
 
 
+def op11_sentencepiece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), decode=True)
+    ids, text = F.sha2("token_ids", 256), F.sha2(F.encode("decoded", "UTF-8"), 256)
+    return rows.select("doc_id", "n_tokens", ids.alias("ids_sha256"), text.alias("decoded_sha256"))
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +106,9 @@ QUERIES = {
         op8_line_site_spread,
         op9_zip_warc,
         op10_toxicity_chain,
+        op11_sentencepiece_rounds,
+        op12_filter_interactions,
+        op13_importance_resampling,
     )
 }
 
@@ -110,4 +142,56 @@ ORACLES = {
                CASE WHEN lines_removed = 0 THEN n_chars ELSE length(coalesce(text, '')) END AS n_chars
         FROM texts
     """,
+    # Failures as letters; a step removes what fails its filter and none before it.
+    "op12_filter_interactions": r"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ),
+        labelled AS (
+            SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+            FROM labels GROUP BY doc_id
+        ),
+        judged AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+                   || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+                   || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+                   || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                   || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+            FROM texts d LEFT JOIN labelled l ON d.doc_id = l.doc_id
+        ),
+        counted AS (SELECT part, good, toxic, fails, count(*) AS n FROM judged GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ),
+        steps AS (
+            SELECT filter_order, step, substring(filter_order, step, 1) AS filter,
+                   '[' || substring(filter_order, 1, step) || ']' AS upto, '[-' || substring(filter_order, 1, step - 1) || ']' AS before
+            FROM orders, (SELECT unnest(range(1, 6)) AS step)
+        ),
+        outcomes AS (
+            SELECT part, filter_order, step, filter, n, good, toxic, fails = filter AS only_this,
+                   NOT regexp_matches(fails, upto) AS stays, contains(fails, filter) AS failing,
+                   regexp_matches(fails, before) AS gone
+            FROM counted, steps
+        ),
+        summed AS (
+            SELECT part, filter_order, step, filter, sum(CASE WHEN stays THEN n ELSE 0 END) AS kept,
+                   sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed,
+                   sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant,
+                   sum(CASE WHEN only_this THEN n ELSE 0 END) AS unique_fails,
+                   sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+                   sum(CASE WHEN failing AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost
+            FROM outcomes GROUP BY ALL
+        )
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+        FROM summed
+    """,
 }

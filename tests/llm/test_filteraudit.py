@@ -1,0 +1,114 @@
+"""The audit against a simulation of every order, row by row."""
+
+import random
+import re
+from collections import Counter, defaultdict
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+
+from msgstream.llm import filteraudit
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def simulated(rows, labels):
+    """Applies the five filters in each order to rows of (doc_id, text, source)."""
+    good, toxic = ({i for i, *marks in labels if marks[k] == 1 and i is not None} for k in (0, 1))
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    fails = []
+    for i, text, source in rows:
+        t = text or ""
+        words = WORD.findall(t)
+        marks = {
+            "A": len(words) < 50,
+            "B": 100 * len(set(words)) < 65 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", t)) > 5 * len(t),
+            "D": bool(re.search(r"[#$%&*|]", t)),
+            "E": i is not None and i > first[t],
+        }
+        fails.append((source or "", {f for f, failed in marks.items() if failed}, i in good, i in toxic))
+    found = {}
+    for part in {p for p, *_ in fails}:
+        mine = [row for row in fails if row[0] == part]
+        shapley, lines = Counter(), []
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                removed = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                shapley[f] += len(removed)
+                redundant = sum(f in r[1] for r in mine) - len(removed)
+                alone = sum(r[1] == {f} for r in mine)
+                lines.append(("".join(order), step, f, len(left), len(removed), redundant, alone,
+                              sum(r[2] for r in removed), sum(r[3] for r in removed)))
+        for order, step, f, *rest in lines:
+            found[part, order, step] = (*rest, shapley[f])
+    return found
+
+
+def audited(docs, labels):
+    rows = filteraudit.audit(docs, labels).collect()
+    found = {(r.part, r.filter_order, r.step): tuple(r)[3:] for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+@pytest.fixture
+def given(spark):
+    def make(rows, labels):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        for name in ("part", "mask", "n", "good", "deal", "first", "hi", "key", "body"):
+            docs = docs.withColumn(name, F.lit("clash"))
+        marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        return docs, marks.withColumns({"deal": F.lit(3), "good": F.lit("x")})
+
+    return make
+
+
+def test_equals_simulation(given):
+    rng = random.Random(4)
+    texts = [
+        " ".join(rng.choices(["Ab", "cd", "EF", "gh#", "i", "ü", "k\x0bl", "m", "n", "o"] + [f"w{k}" for k in range(90)], k=rng.randint(0, 120)))
+        for _ in range(150)
+    ]
+    texts += [None, "", " ", "A" * 3, "é" * 60 + " A" * 3]
+    rows = [(i, rng.choice(texts), rng.choice(["a", "b", None, ""])) for i in range(300)]
+    rows += [(i, texts[3], "hot") for i in range(300, 500)] + [(None, texts[3], "hot")] * 3 + [(5, texts[7], "a")] * 2
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1])) for i in range(0, 500, 2)] + [(2, 1, 0), (None, 1, 1)]
+    assert audited(*given(rows, labels)) == simulated(rows, labels)
+
+
+def test_copies_in_other_parts_and_without_ids(given):
+    rows = [(9, "x y", "a"), (3, "x y", "b"), (3, "x y", "b"), (None, "x y", "b"), (None, "x y", "b"), (None, "q", None)]
+    assert audited(*given(rows, [])) == simulated(rows, [])
+
+
+def test_a_hot_text_is_one_row_per_mask(given, spark):
+    """A third of the rows under one text; what is summed per part stays below 128 rows."""
+    rows = [(i, "same text" if i % 3 == 0 else f"text {i}", "hot") for i in range(900)]
+    docs, labels = given(rows, [(i, 1, 0) for i in range(0, 900, 2)])
+    assert audited(docs, labels) == simulated(rows, [(i, 1, 0) for i in range(0, 900, 2)])
+
+
+def test_empty(given):
+    assert filteraudit.audit(*given([], [])).collect() == []
+
+
+def test_counts_fill_fields_without_running_over():
+    """Sums as large as a count can get stay in their fields."""
+    total, expected = 0, defaultdict(int)
+    for mask in range(32):
+        n = 2**57 + mask
+        total += n * filteraudit.packed(mask)
+        expected["rows"] += n
+        for bit in range(5):
+            expected[bit] += n if mask >> bit & 1 else 0
+    removed, fails, alone, rows = filteraudit.unpacked(total)
+    assert rows == expected["rows"] and fails.tolist() == [expected[bit] for bit in range(5)]
+    assert alone.tolist() == [2**57 + (1 << bit) for bit in range(5)]
+    assert (removed.sum(axis=1) == expected["rows"] - 2**57).all()

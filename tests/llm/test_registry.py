@@ -19,7 +19,7 @@ def test_query_matches_sql(spark, name):
 
 def test_every_query_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*registry.QUERIES, "pipeline"} <= spark_entry.queries().keys()
 
 
