@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from msgstream.operators.running import last_before, running
+
 
 def _is(kind: str) -> Column:
     return F.col("kind") == kind
@@ -123,11 +125,13 @@ def drain_queues(df: DataFrame, queues: list[str]) -> DataFrame:
     return df.where(~F.col("queue").isin(*dict.fromkeys(queues)))
 
 
-def queue_counters(log: DataFrame, period: str = "120 seconds") -> DataFrame:
+def queue_counters(log: DataFrame, period: str = "120 seconds", block: int | None = None) -> DataFrame:
     """Reader counters per queue and period, starting from zero in each; the backlog is the level at its end.
 
     The backlog counts a message from its first publication to its first acknowledgement, however
-    often either was logged. The running sum is over one row per queue and period.
+    often either was logged. The running sum is over one row per queue and period. Where a queue has more periods
+    than one task should hold, as with periods of a second over years, give ``block``: the sum is then taken in
+    blocks of that many seconds (:func:`msgstream.operators.running.running`).
     """
     window = F.window("event_time", period).alias("window")
     counted = {
@@ -169,6 +173,10 @@ def queue_counters(log: DataFrame, period: str = "120 seconds") -> DataFrame:
         changes.select("queue", "window", *[zero.alias(c) for c in counted], "change")
     )
     per_period = merged.groupBy("queue", "window").agg(*[F.sum(c).alias(c) for c in (*counted, "change")])
+    if block is not None:
+        timed = per_period.withColumns({"_second": F.unix_seconds("window.start"), "queue_backlog": F.col("change")})
+        levels = running(timed, ["queue"], ["_second"], {"queue_backlog": "sum"}, block)
+        return levels.select("queue", "window", "queue_backlog", *counted)
     so_far = Window.partitionBy("queue").orderBy("window").rowsBetween(Window.unboundedPreceding, 0)
     return per_period.select(
         "queue",
@@ -178,6 +186,42 @@ def queue_counters(log: DataFrame, period: str = "120 seconds") -> DataFrame:
     )
 
 
+def commit_prefixes(log: DataFrame, every: str, block: int = 65_536) -> DataFrame:
+    """Per queue and commit interval, the highest message up to which all delivered ones are acknowledged.
+
+    A reader may only commit what lies before the first message still unacknowledged, so a message counts from
+    the time at which it and all delivered ones of smaller ids were acknowledged: a running maximum over the ids of a
+    queue, taken in blocks of ids and over many tasks. ``committed`` counts the messages that an interval moved the
+    mark past. An interval in which the mark did not move has no row. Ids are taken as sequence numbers.
+    """
+    stages = log.where(F.col("message_id").isNotNull() & F.col("kind").isin("delivered", "acked"))
+    per_message = stages.groupBy("queue", "message_id").agg(
+        F.max(_is("delivered")).alias("delivered"),
+        F.min(F.when(_is("acked"), F.col("event_time"))).alias("acked_at"),
+    )
+    # A message that was never acknowledged holds its queue for good.
+    never = F.lit(2**63 - 1)
+    held = per_message.where("delivered").select(
+        "queue", "message_id", F.coalesce(F.unix_micros("acked_at"), never).alias("done")
+    )
+    marks = running(held, ["queue"], ["message_id"], {"done": "max"}, block).where(F.col("done") < never)
+    window = F.window(F.timestamp_micros("done"), every).alias("window")
+    return marks.groupBy("queue", window).agg(F.max("message_id").alias("through"), F.count("*").alias("committed"))
+
+
+def redelivery_causes(log: DataFrame, slice_us: int = 3_600_000_000, parts: int = 4) -> DataFrame:
+    """Per message and rebind, how often the message was delivered after that rebind of its queue and before the
+    next one; ``rebind_at`` is NULL for deliveries before any.
+
+    Each delivery is joined as of its time to the last rebind at or before it, which needs no pairs: see
+    :func:`msgstream.operators.running.last_before`.
+    """
+    known = F.col("message_id").isNotNull()
+    deliveries = log.where(_is("delivered") & known).select("queue", "message_id", "event_time")
+    caused = last_before(deliveries, log.where(_is("rebind")), ["queue"], "event_time", "rebind_at", slice_us, parts)
+    return caused.groupBy("queue", "message_id", "rebind_at").agg(F.count("*").alias("attempts"))
+
+
 def counters_json() -> Column:
     """The counters as one line of JSON, keys in a fixed order."""
     # The key of each counter.

@@ -29,6 +29,31 @@ def publish(messages: DataFrame, path: str) -> None:
     messages.hint("rebalance", "queue").write.mode("append").partitionBy("queue").parquet(path)
 
 
+def publish_in_order(messages: DataFrame, path: str, time: Column, slices: int = 4) -> str:
+    """:func:`publish` in slices of event time of about equal size, the earliest first, as messages would arrive.
+
+    A stream that reads the oldest files first then meets rows out of order only within a slice. Returns the
+    lateness that allows for it: the span of the longest slice. Messages without a time come first.
+    """
+    us = F.unix_micros(time)
+    shares = F.array(*[F.lit(k / slices) for k in range(slices + 1)])
+    bounds = messages.agg(F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint(us), shares), F.min(us), F.max(us)).first()
+    cuts = sorted({*(bounds[0] or [])[1:-1]})
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:], strict=False):
+        inside = F.lit(True) if low is None else us >= low
+        inside = inside if high is None else inside & (us < high)
+        publish(messages.where(inside | us.isNull() if low is None else inside), path)
+    ends = [bounds[1] or 0, *cuts, bounds[2] or 0]
+    longest = max(b - a for a, b in zip(ends, ends[1:], strict=False))
+    return f"{longest // 1_000_000 + 1} seconds"
+
+
+def closing() -> Column:
+    """Whether a row is the message that :func:`close_queues` leaves."""
+    return F.coalesce(F.col("receive_ts") == F.lit(END_OF_TIME).cast("timestamp"), F.lit(False))
+
+
 def close_queues(spark: SparkSession, path: str, queues: list[str], schema=ENVELOPE) -> None:
     """Tells readers of a landing folder that nothing follows: one message without a body per queue, from so
     far ahead that it moves the watermark past every window. Its own window never closes, so it is not seen

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from msgstream.config import ReadConfig
 from msgstream.operators.dedup import comparable_map
 from msgstream.operators.eventtime import with_event_time
+from msgstream.operators.selection import first_rows
 from msgstream.schemas import ENVELOPE
+from msgstream.sources.landing import closing
 
 def read_queues(
     spark: SparkSession,
@@ -25,18 +27,25 @@ def read_queues(
     """Messages of the listed queues, mapped: a batch if the config says so or sets a limit, else a stream.
 
     Each message comes once, however often its queue is listed. Tasks follow the files and their
-    splits, so one long queue is read by many of them. ``mapper`` turns envelope rows into records.
+    splits, so one long queue is read by many of them. ``mapper`` turns envelope rows into records. A batch
+    does not see what closed the queues for streams (:func:`msgstream.sources.landing.close_queues`).
     """
     if config.bounded:
-        rows = limited(select_queues(_reader(spark.read, config, fmt, schema).load(path), config.queues), config)
+        rows = select_queues(_reader(spark.read, config, fmt, schema).load(path), config.queues)
+        rows = limited(rows.where(~closing()), config)
     else:
         rows = stream_queues(spark, path, config, fmt, schema)
     return rows.transform(mapper)
 
 
-def stream_queues(spark: SparkSession, path: str, config: ReadConfig, fmt: str = "parquet", schema=ENVELOPE) -> DataFrame:
-    reader = _reader(spark.readStream, config, fmt, schema).options(**config.rate_options)
-    return select_queues(reader.load(path), config.queues)
+def stream_queues(
+    spark: SparkSession, path: str, config: ReadConfig, fmt: str = "parquet", schema=ENVELOPE, file_column: str | None = None
+) -> DataFrame:
+    """``file_column`` adds the path of the file that each message was read from."""
+    rows = _reader(spark.readStream, config, fmt, schema).options(**config.rate_options).load(path)
+    if file_column is not None:
+        rows = rows.select("*", F.col("_metadata.file_path").alias(file_column))
+    return select_queues(rows, config.queues)
 
 
 def stream_each_queue(
@@ -66,14 +75,23 @@ def select_queues(df: DataFrame, queues: list[str]) -> DataFrame:
 
 
 def limited(df: DataFrame, config: ReadConfig) -> DataFrame:
-    """Applies the read limits; with both, whichever is reached first ends the read."""
+    """Applies the read limits; with both, whichever is reached first ends the read.
+
+    A record limit is found by :func:`msgstream.operators.selection.first_rows`, so jobs run when this is called.
+    """
     if config.max_read_time is not None:
         df = within_read_time(df, config.max_read_time)
     if config.max_records is not None:
-        df = first_records(df, config.max_records)
+        df = first_rows(df, config.max_records, [*_receipt_order()])
     return df
 
 
+def _receipt_order() -> tuple[Column, Column]:
+    """Receive time in microseconds and id; a message without either is an error."""
+    none = F.raise_error(F.lit("a message has no receive time or no id")).cast("long")
+    return F.coalesce(F.unix_micros("receive_ts"), none), F.coalesce("message_id", none)
+
+
 def within_read_time(df: DataFrame, duration: timedelta) -> DataFrame:
     """Messages received less than ``duration`` after the first one."""
     length = F.make_dt_interval(secs=F.lit(duration / timedelta(seconds=1)))
@@ -96,6 +114,9 @@ def _cut(rows: DataFrame, key: Column, wanted: Column) -> Column:
 def first_records(df: DataFrame, n: int) -> DataFrame:
     """The ``n`` first messages over all queues, by receive time, then id.
 
+    For plans that must not run anything before their result is asked for; else the selection that
+    :func:`limited` uses bounds what a task reads.
+
     A sort with a limit would draw up to ``n`` rows of every task into one. Instead the place of the last row
     is found by counting, by hour, then by second within that hour, then by time and id within that second,
     and rows are kept by a filter. That takes three more passes over the two order columns, as subqueries of
