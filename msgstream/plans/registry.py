@@ -19,7 +19,7 @@ from msgstream.schemas import TRADE, TRADE_FIELDS
 from msgstream.scratch import shared_folder
 from msgstream.sinks import append_rows, log_lines, write_window_files
 from msgstream.sources import landing, queues
-from msgstream.streaming import jobs
+from msgstream.streaming import jobs, rewindow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -826,6 +826,60 @@ def queue_counters_120s(spark, sf_dir):
     return eventtime.window_bounds(counters).drop("window_end")
 
 
+COUNTERS_OF = f"""WITH {DELIVERY_LOG}, stages AS (
+      SELECT queue, message_id, min(event_time) FILTER (kind = 'published') AS published_at,
+        min(event_time) FILTER (kind = 'acked') AS acked_at, max(size_bytes) AS size_bytes
+      FROM log WHERE message_id IS NOT NULL GROUP BY ALL),
+    rows AS (
+      SELECT queue, event_time, kind, 0 AS change FROM log
+      UNION ALL SELECT queue, published_at, '', size_bytes FROM stages
+      UNION ALL SELECT queue, acked_at, '', -size_bytes FROM stages WHERE acked_at IS NOT NULL)"""
+
+
+@query(
+    "queue_counters_1s",
+    f"""{COUNTERS_OF}, periods AS (
+      SELECT queue, time_bucket(INTERVAL '1 second', event_time) AS window_start, sum(change) AS change,
+        count(*) FILTER (kind = 'delivered') AS messages_received, count(*) FILTER (kind = 'ready') AS messages_ready,
+        count(*) FILTER (kind = 'acked') AS messages_completed, count(*) FILTER (kind = 'rebind') AS rebinds,
+        count(*) FILTER (kind = 'removed') AS messages_removed FROM rows GROUP BY ALL)
+    SELECT * EXCLUDE (change), CAST(sum(change) OVER (PARTITION BY queue ORDER BY window_start) AS BIGINT) AS queue_backlog
+    FROM periods""",
+)
+def queue_counters_1s(spark, sf_dir):
+    """Periods of a second; the running backlog is summed in blocks of an hour, over many tasks a queue."""
+    counters = health.queue_counters(log(spark, sf_dir), "1 second", block=3600)
+    return eventtime.window_bounds(counters).drop("window_end")
+
+
+@query(
+    "commit_prefixes",
+    f"""WITH {DELIVERY_LOG}, messages AS (
+      SELECT queue, message_id, min(event_time) FILTER (kind = 'acked') AS acked_at FROM log
+      WHERE message_id IS NOT NULL AND kind IN ('delivered', 'acked') GROUP BY ALL HAVING bool_or(kind = 'delivered')),
+    marks AS (
+      SELECT queue, message_id,
+        max(coalesce(acked_at, TIMESTAMP '9999-01-01')) OVER (PARTITION BY queue ORDER BY message_id) AS done FROM messages)
+    SELECT queue, time_bucket(INTERVAL '120 seconds', done) AS window_start, max(message_id) AS through, count(*) AS committed
+    FROM marks WHERE done < TIMESTAMP '9999-01-01' GROUP BY ALL""",
+)
+def commit_prefixes(spark, sf_dir):
+    marks = health.commit_prefixes(log(spark, sf_dir), "120 seconds")
+    return eventtime.window_bounds(marks).drop("window_end")
+
+
+@query(
+    "redelivery_causes",
+    f"""WITH {DELIVERY_LOG}, deliveries AS (SELECT queue, message_id, event_time FROM log WHERE kind = 'delivered'),
+    rebinds AS (SELECT DISTINCT queue, event_time FROM log WHERE kind = 'rebind')
+    SELECT d.queue, d.message_id, r.event_time AS rebind_at, count(*) AS attempts
+    FROM deliveries d ASOF LEFT JOIN rebinds r ON d.queue = r.queue AND d.event_time >= r.event_time GROUP BY ALL""",
+)
+def redelivery_causes(spark, sf_dir):
+    caused = health.redelivery_causes(log(spark, sf_dir))
+    return caused.withColumn("rebind_at", tx.utc_time("rebind_at"))
+
+
 START = "TIMESTAMP '2024-01-15 00:00:00'"
 
 
@@ -865,13 +919,6 @@ def commit_progress(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------------------
 
 
-def patience(rows: DataFrame, use_sender_timestamp: bool = False) -> str:
-    """What a watermark must wait for where files are read in any order: more than the rows' event times span."""
-    time = F.unix_micros(eventtime.event_time(use_sender_timestamp))
-    span = rows.agg((F.max(time) - F.min(time)).alias("span")).first().span
-    return f"{(span or 0) // 1_000_000 + 1} seconds"
-
-
 def _landed(messages: DataFrame, name: str) -> str:
     """The messages published to a landing folder; streams read it from there."""
     path = shared_folder(messages.sparkSession, name)
@@ -879,10 +926,16 @@ def _landed(messages: DataFrame, name: str) -> str:
     return path
 
 
+def _landed_in_order(messages: DataFrame, name: str, use_sender_timestamp: bool = False) -> tuple[str, str]:
+    """The messages published in order of event time, and the lateness that this order needs."""
+    path = shared_folder(messages.sparkSession, name)
+    return path, landing.publish_in_order(messages, path, eventtime.event_time(use_sender_timestamp))
+
+
 def event_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Text records of all event queues, a few files at a time."""
     path = path or _landed(events(spark, sf_dir), "landing")
-    config = ReadConfig(ALL_QUEUES, max_files_per_trigger=2)
+    config = ReadConfig(ALL_QUEUES, max_files_per_trigger=len(b.EVENT_QUEUES))
     return queues.read_queues(spark, path, config, mapper=lambda rows: mappers.text_record(rows, keep=("queue",)))
 
 
@@ -895,12 +948,12 @@ def _drained(df: DataFrame, name: str, start=jobs.start_job, close=None) -> str:
 
 
 def document_stream(spark: SparkSession, sf_dir: str):
-    """Documents as a stream of messages, and what closes it."""
+    """Documents as a stream of messages in order of their sending, the lateness for it, and what closes it."""
     messages = documents(spark, sf_dir)
-    path, names = _landed(messages, "document-landing"), [r[0] for r in messages.select("queue").distinct().collect()]
-    config = ReadConfig(names, max_files_per_trigger=8)
-    rows = queues.stream_queues(spark, path, config, schema=messages.schema)
-    return rows, lambda: landing.close_queues(spark, path, names[:1], messages.schema)
+    path, lateness = _landed_in_order(messages, "document-landing", use_sender_timestamp=True)
+    schema = messages.schema
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 20).parquet(path)
+    return rows, lateness, lambda: landing.close_queues(spark, path, [b.IDLE_QUEUE], schema)
 
 
 @query(
@@ -913,9 +966,8 @@ def document_stream(spark: SparkSession, sf_dir: str):
 )
 def stream_word_count(spark, sf_dir):
     """The flagship as a stream over several batches, drained until every window is written."""
-    messages, close = document_stream(spark, sf_dir)
-    lateness = patience(documents(spark, sf_dir), use_sender_timestamp=True)
-    counted = flows.deduplicated_word_count(messages, use_sender_timestamp=True, lateness=lateness, salts=8)
+    messages, lateness, close = document_stream(spark, sf_dir)
+    counted = flows.deduplicated_word_count(messages, use_sender_timestamp=True, lateness=lateness)
     rows = eventtime.window_bounds(counted).select("window_start", "word", "count")
     path = _drained(rows, "stream-words", close=close)
     return spark.read.schema("window_start timestamp_ntz, word string, count long").parquet(path)
@@ -923,9 +975,8 @@ def stream_word_count(spark, sf_dir):
 
 @query("stream_window_files", FILE_LINES)
 def stream_window_files(spark, sf_dir):
-    source = _landed(events(spark, sf_dir), "landing")
+    source, lateness = _landed_in_order(events(spark, sf_dir), "landing", use_sender_timestamp=True)
     rows = event_stream(spark, sf_dir, source)
-    lateness = patience(event_texts(spark, sf_dir), use_sender_timestamp=True)
     lines = flows.word_count_lines(rows, FILE_WIDTH, use_sender_timestamp=True, lateness=lateness)
     close = lambda: landing.close_queues(spark, source, [b.IDLE_QUEUE])
     return _window_lines(spark, _drained(lines, "stream-window-files", jobs.start_window_files, close))
@@ -936,8 +987,9 @@ def stream_window_files(spark, sf_dir):
     f"WITH {EVENT_MESSAGES} SELECT DISTINCT queue, message_id, text FROM event_messages",
 )
 def stream_dedup(spark, sf_dir):
-    timed = eventtime.with_event_time(event_stream(spark, sf_dir), lateness=patience(event_texts(spark, sf_dir)))
-    rows = dedup.distinct_across_windows(timed, ("queue", "message_id"), salts=8).select("queue", "message_id", "text")
+    source, lateness = _landed_in_order(events(spark, sf_dir), "landing")
+    timed = eventtime.with_event_time(event_stream(spark, sf_dir, source), lateness=lateness)
+    rows = dedup.distinct_across_windows(timed, ("queue", "message_id")).select("queue", "message_id", "text")
     return spark.read.schema("queue string, message_id long, text string").parquet(_drained(rows, "stream-dedup"))
 
 
@@ -1009,6 +1061,54 @@ def stream_late_rows(spark, sf_dir):
     return spark.read.schema("window_start timestamp_ntz, count long").parquet(path)
 
 
+OLD_WIDTH, NEW_WIDTH = "10 seconds", "30 seconds"
+
+
+@query(
+    "job_rewindow",
+    f"""WITH {EVENT_MESSAGES}, mark AS (
+      SELECT max(receive_ts) FILTER (receive_ts < {START}) - INTERVAL '{LATE_BY}' AS watermark FROM event_messages),
+    timed AS (SELECT queue, time_bucket(INTERVAL '{OLD_WIDTH}', receive_ts) AS bucket FROM event_messages),
+    placed AS (SELECT queue, bucket + INTERVAL '{OLD_WIDTH}' <= watermark AS written,
+        CASE WHEN written THEN bucket ELSE time_bucket(INTERVAL '{NEW_WIDTH}', bucket) END AS window_start FROM timed, mark)
+    SELECT queue, window_start,
+      window_start + CASE WHEN written THEN INTERVAL '{OLD_WIDTH}' ELSE INTERVAL '{NEW_WIDTH}' END AS window_end,
+      count(*) AS count FROM placed GROUP BY ALL""",
+)
+def job_rewindow(spark, sf_dir):
+    """Messages per queue and window of 10 seconds, until the job is updated to 30: windows it has not written by
+    then go on in the new ones."""
+    messages, early = events(spark, sf_dir), F.col("receive_ts") < F.expr(START)
+    source, folder = _landed(messages.where(early), "rewindow-landing"), shared_folder(spark, "hand-over")
+    paths = [shared_folder(spark, f"rewindow-{part}") for part in ("old", "old-state", "new", "new-state")]
+    config = ReadConfig(ALL_QUEUES)
+
+    def counted_once(rows):
+        return rows.select("queue", F.col("receive_ts").alias("event_time"), F.lit(1).cast("long").alias("n"))
+
+    def start_old(trigger):
+        rows = counted_once(queues.stream_queues(spark, source, config)).withWatermark("event_time", LATE_BY)
+        totals = eventtime.window_bounds(rewindow.window_totals(rows, OLD_WIDTH))
+        return jobs.start_job(totals, paths[0], paths[1], trigger)
+
+    def start_new(trigger):
+        rows = rewindow.handed_over(spark, source, config, folder, LATE_BY, counted_once)
+        totals = eventtime.window_bounds(rewindow.window_totals(rows, NEW_WIDTH))
+        return jobs.start_job(totals, paths[2], paths[3], trigger)
+
+    def go_on():
+        landing.publish(messages.where(~early), source)
+        return start_new(jobs.DRAIN)
+
+    query = start_old({"processingTime": "100 milliseconds"})
+    query.processAllAvailable()
+    rewindow.rewindow_job(spark, query, start_old, paths[1], folder, go_on).awaitTermination()
+    landing.close_queues(spark, source, [b.IDLE_QUEUE])
+    start_new(jobs.DRAIN).awaitTermination()
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, queue string, count long"
+    return spark.read.schema(schema).parquet(paths[0]).unionByName(spark.read.schema(schema).parquet(paths[2]))
+
+
 def _two_part_job(spark: SparkSession, sf_dir: str, run) -> DataFrame:
     """Messages received by a job that ``run`` leads: it gets the start and what publishes the second half."""
     messages, even = events(spark, sf_dir), F.col("message_id") % 2 == 0
