@@ -19,7 +19,7 @@ from msgstream.schemas import TRADE, TRADE_FIELDS
 from msgstream.scratch import shared_folder
 from msgstream.sinks import append_rows, log_lines, write_window_files
 from msgstream.sources import landing, queues
-from msgstream.streaming import jobs, rewindow
+from msgstream.streaming import jobs, keyed, rewindow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1109,6 +1109,56 @@ def job_rewindow(spark, sf_dir):
     return spark.read.schema(schema).parquet(paths[0]).unionByName(spark.read.schema(schema).parquet(paths[2]))
 
 
+# Up to when each queue's messages come in the first part.
+FIRST_UNTIL = {"click": "2024-01-08", "error": "2024-01-12", "purchase": "2024-01-16", "signup": "2024-01-20", "view": "2024-01-24"}
+
+
+@query(
+    "stream_queue_marks",
+    f"""WITH {EVENT_MESSAGES}, timed AS (
+      SELECT *, time_bucket(INTERVAL '{LATE_WIDTH}', receive_ts) AS window_start, event_id % 5 <> 0 AND receive_ts <
+        CASE event_type {" ".join(f"WHEN '{kind}' THEN TIMESTAMP '{until}'" for kind, until in FIRST_UNTIL.items())} END AS early
+      FROM event_messages),
+    marks AS (SELECT queue, max(receive_ts) FILTER (early) - INTERVAL '{LATE_BY}' AS before,
+        max(receive_ts) - INTERVAL '{LATE_BY}' AS after FROM timed GROUP BY queue)
+    SELECT queue, window_start, count(*) AS count FROM timed JOIN marks USING (queue)
+    WHERE (early OR window_start + INTERVAL '{LATE_WIDTH}' > before) AND window_start + INTERVAL '{LATE_WIDTH}' <= after
+    GROUP BY ALL""",
+)
+def stream_queue_marks(spark, sf_dir):
+    """Queues that have got to different days, then the rest of all of them, some of it from before: late is what its
+    own queue has passed by the allowed lateness."""
+    messages = events(spark, sf_dir)
+    until = F.create_map(*[F.lit(v) for kind, day in FIRST_UNTIL.items() for v in (f"Q/{kind}", f"{day} 00:00:00Z")])
+    early = (F.col("message_id") % 5 != 0) & (F.col("receive_ts") < until[F.col("queue")].cast("timestamp"))
+    source = _landed(messages.where(early), "marks-landing")
+    path, checkpoint = shared_folder(spark, "stream-marks"), shared_folder(spark, "stream-marks-checkpoint")
+
+    def start(trigger):
+        rows = queues.stream_queues(spark, source, ReadConfig(ALL_QUEUES)).withColumn("event_time", F.col("receive_ts"))
+        counted = keyed.counts_by_queue_mark(rows, timedelta(hours=1), timedelta(days=1), idle=timedelta(days=365))
+        with keyed.rocksdb(spark):
+            return jobs.start_job(eventtime.window_bounds(counted).drop("window_end"), path, checkpoint, trigger)
+
+    jobs.drain_job(start)
+    landing.publish(messages.where(~early), source)
+    jobs.drain_job(start)
+    return spark.read.schema("window_start timestamp_ntz, queue string, count long").parquet(path)
+
+
+@query("stream_dedup_ranges", f"WITH {EVENT_MESSAGES} SELECT DISTINCT queue, message_id, text FROM event_messages")
+def stream_dedup_ranges(spark, sf_dir):
+    """As stream_dedup, over ids that all queues share, with ranges of ids as the state."""
+    rows = event_stream(spark, sf_dir).select("queue", "message_id", "text")
+
+    def start(df, path, checkpoint, trigger):
+        with keyed.rocksdb(spark):
+            return jobs.start_job(df, path, checkpoint, trigger)
+
+    path = _drained(keyed.distinct_by_ranges(rows, (), "message_id", block=2048), "stream-ranges", start)
+    return spark.read.schema("queue string, message_id long, text string").parquet(path)
+
+
 def _two_part_job(spark: SparkSession, sf_dir: str, run) -> DataFrame:
     """Messages received by a job that ``run`` leads: it gets the start and what publishes the second half."""
     messages, even = events(spark, sf_dir), F.col("message_id") % 2 == 0

@@ -37,7 +37,8 @@ def publish_in_order(messages: DataFrame, path: str, time: Column, slices: int =
     """
     us = F.unix_micros(time)
     shares = F.array(*[F.lit(k / slices) for k in range(slices + 1)])
-    bounds = messages.agg(F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint(us), shares), F.min(us), F.max(us)).first()
+    quantiles = F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint(us), shares)
+    bounds = messages.agg(F.when(F.count(us) > 0, quantiles), F.min(us), F.max(us)).first()
     cuts = sorted({*(bounds[0] or [])[1:-1]})
     edges = [None, *cuts, None]
     for low, high in zip(edges, edges[1:], strict=False):

@@ -1,0 +1,237 @@
+"""A watermark per queue, numbers kept as ranges, and windows of another width, against plain versions."""
+
+import os
+import random
+import time
+from collections import Counter
+from datetime import timedelta
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from fixtures import START, at
+from pyspark.sql import functions as F
+
+from msgstream.config import ReadConfig
+from msgstream.sources import landing, queues
+from msgstream.streaming import jobs, keyed, rewindow
+
+SCHEMA = "queue string, number long, event_time timestamp"
+ARROW = pa.schema([("queue", pa.string()), ("number", pa.int64()), ("event_time", pa.timestamp("us", "UTC"))])
+
+
+def land(folder, rows):
+    """One file, later than those before it."""
+    os.makedirs(folder, exist_ok=True)
+    nr = len(os.listdir(folder))
+    path = f"{folder}/{nr:03d}.parquet"
+    pq.write_table(pa.Table.from_pylist([dict(zip(ARROW.names, r, strict=True)) for r in rows], ARROW), path)
+    os.utime(path, (time.time() - 1000 + nr, time.time() - 1000 + nr))
+
+
+def drained(spark, df, folder, checkpoint):
+    with keyed.rocksdb(spark):
+        query = jobs.drain_job(lambda trigger: jobs.start_job(df, folder, checkpoint, trigger))
+    return query
+
+
+def stream(spark, folder):
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def seconds(moment):
+    return round((moment - START.replace(tzinfo=None)).total_seconds())
+
+
+def by_own_mark(batches, width, lateness, idle):
+    """Windows that close, batch by batch; a batch without rows follows the last."""
+    marks, open_, closed, last_end, seen = {}, Counter(), Counter(), None, None
+    for batch in [*batches, []]:
+        global_mark = None if last_end is None else last_end - idle
+        accepted = []
+        for q, _, t in batch:
+            start = t // width * width
+            if seen is not None and start + width <= seen:
+                continue  # by the time of the batch, the others had left it behind
+            accepted.append((q, t, start))
+        for q, _, start in accepted:
+            if q not in marks or start + width > marks[q]:
+                open_[q, start] += 1
+        for q, t, _ in accepted:
+            marks[q] = max(marks.get(q, -10**9), t - lateness)
+        for q, start in list(open_):
+            if start + width <= marks[q] or (global_mark is not None and start + width <= global_mark):
+                closed[q, start] += open_.pop((q, start))
+        if global_mark is not None:
+            seen = global_mark
+        last_end = max([t // width * width + width for _, _, t in batch] + ([] if last_end is None else [last_end]), default=None)
+    return dict(closed)
+
+
+def test_each_queue_has_its_own_mark(spark, tmp_path):
+    """One queue is a day behind the other; most rows are of one queue; some rows are late for their own queue."""
+    rng = random.Random(1)
+    batches = []
+    for k in range(3):
+        rows = [("hot", 0, k * 100 + rng.randint(-60, 100)) for _ in range(400)]
+        rows += [("slow", 0, k * 100 - 86_400 + rng.randint(-30, 100)) for _ in range(40)] + [(None, 0, k * 50)]
+        batches.append(rows)
+        land(f"{tmp_path}/in", [(q, n, at(t)) for q, n, t in rows])
+    df = keyed.counts_by_queue_mark(stream(spark, f"{tmp_path}/in"), timedelta(seconds=10), timedelta(seconds=30), timedelta(days=30))
+    drained(spark, df, f"{tmp_path}/out", f"{tmp_path}/ck")
+    found = {(r.queue, seconds(r.window.start)): r["count"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert found == by_own_mark(batches, 10, 30, 30 * 86_400)
+    assert {"hot", "slow", None} == {q for q, _ in found}
+    state = spark.read.format("statestore").option("stateVarName", "open").load(f"{tmp_path}/ck").collect()
+    assert state and all(r.user_map_value.n > 0 for r in state)
+    assert len(state) < 30  # open windows, not messages
+
+
+def test_an_idle_queue_times_out(spark, tmp_path):
+    land(f"{tmp_path}/in", [("idle", 0, at(1)), ("idle", 0, at(5)), ("busy", 0, at(3))])
+    land(f"{tmp_path}/in", [("busy", 0, at(5000))])
+    land(f"{tmp_path}/in", [("busy", 0, at(5001)), ("idle", 0, at(2)), ("idle", 0, at(4995))])
+    land(f"{tmp_path}/in", [("idle", 0, at(3))])
+    df = keyed.counts_by_queue_mark(stream(spark, f"{tmp_path}/in"), timedelta(seconds=10), timedelta(seconds=30), timedelta(seconds=600))
+    drained(spark, df, f"{tmp_path}/out", f"{tmp_path}/ck")
+    found = {(r.queue, seconds(r.window.start)): r["count"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert found == {("busy", 0): 1, ("idle", 0): 3}
+
+
+def test_ranges_against_a_set():
+    rng = random.Random(4)
+    starts = ends = np.array([], np.int64)
+    seen = set()
+    for _ in range(60):
+        numbers = np.array(sorted({rng.randint(-50, 50) for _ in range(rng.randint(0, 12))}), np.int64)
+        new, starts, ends = keyed.added(starts, ends, numbers)
+        assert numbers[new].tolist() == [n for n in numbers.tolist() if n not in seen]
+        seen |= set(numbers.tolist())
+        covered = [n for a, b in zip(starts, ends, strict=True) for n in range(a, b + 1)]
+        assert covered == sorted(seen)
+        assert (starts[1:] > ends[:-1] + 1).all()
+
+
+def test_state_grows_with_gaps(spark, tmp_path):
+    """A third of all messages is one message; the rest comes twice, in any order; one queue has gaps."""
+    rng = random.Random(5)
+    rows = [("dense", n, at(n)) for n in range(1000)] * 2 + [("gaps", 3 * n, at(n)) for n in range(100)] * 2 + [("dense", 7, at(7))] * 1000
+    rows += [(None, 5, at(0))] * 4 + [("dense", None, at(1))] * 3
+    rng.shuffle(rows)
+    for k in range(4):
+        land(f"{tmp_path}/in", rows[k::4])
+    df = keyed.distinct_by_ranges(stream(spark, f"{tmp_path}/in"), sequence="number", block=256)
+    drained(spark, df, f"{tmp_path}/out", f"{tmp_path}/ck")
+    found = Counter((r.queue, r.number) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    expected = Counter({(q, n) for q, n, _ in rows if n is not None}) + Counter({("dense", None): 3})
+    assert found == expected
+    state = spark.read.format("statestore").option("stateVarName", "seen").load(f"{tmp_path}/ck").collect()
+    ranges = Counter()
+    for row in state:
+        ranges[row.key["_by0"]] += len(row.value.starts)
+    assert ranges == {"dense": 4, "gaps": 100, None: 1}  # blocks of 256 numbers; gaps; one
+
+
+def counted(rows):
+    return rows.select("queue", "event_time", F.lit(1).cast("long").alias("n"))
+
+
+def totals_job(spark, rows, width, folder, checkpoint, trigger):
+    return jobs.start_job(rewindow.window_totals(rows, width), folder, checkpoint, trigger)
+
+
+def test_windows_of_another_width(spark, tmp_path):
+    """10 seconds, then 30, then 60: every message counts once, also those in windows that were open."""
+    rng = random.Random(6)
+    source, config = f"{tmp_path}/in", ReadConfig(["hot", "cold"], max_files_per_trigger=1)
+    parts = [[(rng.choice(["hot"] * 5 + ["cold"]), 0, k * 100 + rng.randint(0, 120)) for _ in range(200)] for k in range(6)]
+    arrived = []
+
+    def arrive(*numbers):
+        for k in numbers:
+            arrived.extend(parts[k])
+            land(source, [(q, n, at(t)) for q, n, t in parts[k]])
+
+    arrive(0, 1)
+    rows = counted(queues.stream_queues(spark, source, config, schema=SCHEMA)).withWatermark("event_time", "30 seconds")
+    start = lambda trigger: totals_job(spark, rows, "10 seconds", f"{tmp_path}/a", f"{tmp_path}/ack", trigger)
+    query, outputs, sources = start({"processingTime": "50 milliseconds"}), [("a", 10)], 1
+    query.processAllAvailable()
+    for name, width, more in (("b", 30, (2, 3)), ("c", 60, (4, 5))):
+        folder, previous = f"{tmp_path}/hand-{name}", outputs[-1][0]
+
+        def go_on(name=name, width=width, more=more, folder=folder):
+            arrive(*more)
+            handed = rewindow.handed_over(spark, source, config, folder, "30 seconds", counted, schema=SCHEMA)
+            return totals_job(spark, handed, f"{width} seconds", f"{tmp_path}/{name}", f"{tmp_path}/{name}ck", {"processingTime": "50 milliseconds"})
+
+        query = rewindow.rewindow_job(spark, query, start, f"{tmp_path}/{previous}ck", folder, go_on, sources=sources)
+        query.processAllAvailable()
+        outputs.append((name, width))
+        sources = 2
+    query.stop()
+    rewindow.hand_over(spark, f"{tmp_path}/cck", f"{tmp_path}/rest", sources=2)
+    written, left = Counter(), spark.read.parquet(f"{tmp_path}/rest/open").collect()
+    for name, width in outputs:
+        for r in spark.read.parquet(f"{tmp_path}/{name}").collect():
+            assert seconds(r.window.end) - seconds(r.window.start) == width and seconds(r.window.start) % width == 0
+            written[r.queue] += r["count"]
+    for r in left:
+        written[r.queue] += r.n
+    assert written == Counter(q for q, _, _ in arrived)
+    assert len(left) > 0 and all(spark.read.parquet(f"{tmp_path}/{name}").count() for name, _ in outputs)
+
+
+def test_a_batch_that_was_not_committed_is_seen(spark, tmp_path):
+    land(f"{tmp_path}/in", [("q", 0, at(0))])
+    rows = counted(stream(spark, f"{tmp_path}/in")).withWatermark("event_time", "30 seconds")
+    query = totals_job(spark, rows, "10 seconds", f"{tmp_path}/out", f"{tmp_path}/ck", jobs.DRAIN)
+    query.awaitTermination()
+    last = rewindow.last_batch(spark, f"{tmp_path}/ck")
+    os.remove(f"{tmp_path}/ck/commits/{last}")
+    with pytest.raises(RuntimeError, match="not committed"):
+        rewindow.last_batch(spark, f"{tmp_path}/ck")
+    with pytest.raises(RuntimeError, match="no committed batch"):
+        rewindow.last_batch(spark, f"{tmp_path}/none")
+
+
+def test_messages_landed_in_order(spark, folder):
+    """Files follow each other in time; a stream over them keeps little and loses nothing; the close is not read."""
+    n, path = 4000, folder("ordered")
+    rows = spark.range(n).select(
+        F.concat(F.lit("q"), F.col("id") % 2).alias("queue"), F.col("id").alias("message_id"),
+        F.timestamp_seconds(F.col("id") * 10 + 1_704_067_200).alias("receive_ts"),
+    )
+    messages = landing.envelope(rows, message_type=F.lit("text"))
+    lateness = landing.publish_in_order(messages, path, F.col("receive_ts"), slices=8)
+    assert n * 10 / 8 <= int(lateness.split()[0]) <= n * 10 / 8 * 1.3
+    config = ReadConfig(["q0", "q1"], max_files_per_trigger=2)
+    late = queues.stream_queues(spark, path, config).select("queue", F.col("receive_ts").alias("event_time"), F.lit(1).cast("long").alias("n"))
+    totals = rewindow.window_totals(late.withWatermark("event_time", lateness), "10 seconds")
+    out, checkpoint, reports = folder("out"), folder("ck"), []
+
+    def start(trigger):
+        query = jobs.start_job(totals, out, checkpoint, trigger)
+        query.awaitTermination()
+        reports.extend(query.recentProgress)
+        return query
+
+    jobs.drain_job(start, lambda: landing.close_queues(spark, path, ["q0"]))
+    assert spark.read.parquet(out).agg(F.sum("count")).first()[0] == n
+    kept = max(op["numRowsTotal"] for report in reports for op in report["stateOperators"])
+    assert kept <= n / 2
+    read = queues.read_queues(spark, path, ReadConfig(["q0", "q1"], batch=True))
+    assert read.count() == n
+    assert queues.read_queues(spark, path, ReadConfig(["q0"], max_records=n)).count() == n / 2
+
+
+def test_landing_in_order_of_odd_tables(spark, folder):
+    rows = [(1, None), (2, at(5)), (3, at(5))]
+    for given in ([], rows):
+        path = folder("odd")
+        df = spark.createDataFrame(given, "message_id long, receive_ts timestamp").withColumn("queue", F.lit("q"))
+        messages = landing.envelope(df, message_type=F.lit("text"))
+        assert landing.publish_in_order(messages, path, F.col("receive_ts")) == "1 seconds"
+        if given:
+            assert sorted(r.message_id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
