@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,27 +20,43 @@ NESTED = r"\A\s*[\[{]"
 NO_LIST = "not a list of quotes"
 
 
-def _typed(raw: Column, kind: str) -> Column:
-    """The value as its type, NULL where it is none: dates are ``yyyy-MM-dd``, numbers finite, text not nested.
+# Numbers of one kind are cast together, as an array: compiled code then holds one loop and not a cast for each field.
+_TOGETHER = {kind: [name for name, of in TRADE_FIELDS.items() if of == kind] for kind in ("int", "float")}
 
-    Numbers may stand in quotes. Text that begins with a bracket cannot be told from a nested value.
-    """
-    if kind == "string":
-        return F.when(~raw.rlike(NESTED), raw)
-    if kind == "date":
-        return F.when(raw.rlike(DATE), raw.try_cast("date"))
-    value = raw.try_cast(kind)
-    return F.when(F.abs(value) < float("inf"), value).cast("double") if kind == "float" else value
 
+def _with_types(rows: DataFrame, raw: str = "raw") -> DataFrame:
+    """Adds each field as its type to rows of quotes, once, in columns of its kind; NULL for what does not fit.
+
+    They come out of a generator of one row, so that neither a filter nor a projection over them repeats the casts.
+    It is an outer one, as is the one that makes rows of quotes: for others Spark adds a filter on the size of the
+    list and makes the list once more for it. Code stays below the size up to which Java compiles a method.
+    """
+    typed = []
+    for name, kind in TRADE_FIELDS.items():
+        value = F.col(raw)[name]
+        if kind == "date":
+            typed.append(F.when(value.rlike(DATE), value.try_cast("date")).alias(f"_{name}"))
+        elif kind == "string":
+            typed.append(F.when(~value.rlike(NESTED), value).alias(f"_{name}"))
+    for kind, names in _TOGETHER.items():
+        typed.append(F.array(*[F.col(raw)[name] for name in names]).try_cast(f"array<{kind}>").alias(f"_{kind}"))
+    return rows.select("*", F.inline_outer(F.array(F.struct(*typed))))
+
+
+def _value(name: str) -> Column:
+    """The value as its type, NULL where it is none: dates are ``yyyy-MM-dd``, numbers finite, text not nested.
 
-def _read(quote: Column) -> Column:
-    """STRUCT<raw, value>: the quote as written and with its types."""
-    value = F.struct(*[_typed(quote[name], kind).alias(name) for name, kind in TRADE_FIELDS.items()])
-    return F.struct(quote.alias("raw"), value.alias("value"))
+    Numbers may stand in quotes. Text that begins with a bracket cannot be told from a nested value. Of numbers
+    that are not finite only :func:`_misfit` knows.
+    """
+    kind = TRADE_FIELDS[name]
+    value = F.col(f"_{kind}")[_TOGETHER[kind].index(name)] if kind in _TOGETHER else F.col(f"_{name}")
+    return value.cast("double") if kind == "float" else value
 
 
-def _misfit(read: Column, name: str) -> Column:
-    return read["raw"][name].isNotNull() & read["value"][name].isNull()
+def _misfit(name: str, raw: str = "raw") -> Column:
+    none = ~F.coalesce(F.abs(_value(name)) < float("inf"), F.lit(False)) if TRADE_FIELDS[name] == "float" else _value(name).isNull()
+    return F.col(raw)[name].isNotNull() & none
 
 
 def _quotes(text: str) -> Column:
@@ -51,46 +69,42 @@ def _quotes(text: str) -> Column:
     return F.from_json(F.concat(F.lit("["), payload, F.lit(",[]]")), _AS_WRITTEN)
 
 
-def _with_quotes(df: DataFrame, text: str, keep) -> DataFrame:
-    """``keep``, ``text`` and ``read``: each quote as written and typed, before any row is made of it."""
+def _parsed(df: DataFrame, text: str, keep) -> DataFrame:
+    """``keep``, ``text`` and ``quotes``, as written; NULL for a payload that is no list of quotes."""
     parsed = df.select(*keep, text, _quotes(text).alias("lists"))
     whole = (F.size("lists") > 1) & (F.size(F.try_element_at("lists", F.lit(-1))) == 0)
-    return parsed.select(*keep, text, F.when(whole, F.transform(F.flatten("lists"), _read)).alias("read"))
+    return parsed.select(*keep, text, F.when(whole, F.flatten("lists")).alias("quotes"))
 
 
 def trade_rows(df: DataFrame, text: str = "text", keep=()) -> DataFrame:
-    """One row per quote; a field left out is NULL. Quotes that do not parse are in :func:`trade_quarantine`."""
-    good = lambda read: read.isNotNull() & read["raw"].isNotNull() & ~_any_misfit(read)
-    quotes = _with_quotes(df, text, keep).select(*keep, F.explode(F.filter("read", good)).alias("quote"))
-    return quotes.select(*keep, *[F.col(f"quote.value.{name}").alias(name) for name in TRADE_FIELDS])
-
+    """One row per quote; a field left out is NULL. Quotes that do not parse are in :func:`trade_quarantine`.
 
-def _any_misfit(read: Column) -> Column:
-    found = F.lit(False)
-    for name in TRADE_FIELDS:
-        found = found | _misfit(read, name)
-    return found
+    Quotes become rows as they are written and are typed then, so that compiled code does it.
+    """
+    rows = _with_types(_parsed(df, text, keep).select(*keep, F.explode_outer("quotes").alias("raw")))
+    fits = rows.where(F.col("raw").isNotNull() & ~reduce(Column.__or__, map(_misfit, TRADE_FIELDS)))
+    return fits.select(*keep, *[_value(name).alias(name) for name in TRADE_FIELDS])
 
 
 def trade_quarantine(df: DataFrame, text: str = "text", keep=("queue", "message_id")) -> DataFrame:
     """What did not parse: ``keep``, ``quote_no``, ``reason``, ``value``.
 
     A quote with values of the wrong type is told by its place in the payload, the fields and their values;
-    a payload that is no list of quotes by its text, once; a NULL in a list by its place. Quotes that fit are dropped before rows are made,
-    and no text is repeated by quote.
+    a payload that is no list of quotes by its text, once; a NULL in a list by its place. Quotes that fit are
+    dropped where they become rows, before anything else of the message is copied.
     """
     keep = [c for c in keep if c != text]
-
-    def complaint(read: Column, at: Column) -> Column:
-        names = F.array_compact(F.array(*[F.when(_misfit(read, n), F.lit(n)) for n in TRADE_FIELDS]))
-        values = F.array_compact(F.array(*[F.when(_misfit(read, n), read["raw"][n]) for n in TRADE_FIELDS]))
-        nothing = read["raw"].isNull()
-        reason = F.when(nothing, F.lit(NO_LIST)).otherwise(
-            F.concat(F.lit("wrong type: "), F.array_join(names, ","))
-        )
-        value = F.when(~nothing, F.array_join(values, ","))
-        return F.when(nothing | (F.size(names) > 0), F.struct(at.alias("quote_no"), reason.alias("reason"), value.alias("value")))
-
-    whole = F.struct(F.lit(None).cast("int").alias("quote_no"), F.lit(NO_LIST).alias("reason"), F.col(text).alias("value"))
-    bad = F.when(F.col("read").isNull(), F.array(whole)).otherwise(F.array_compact(F.transform("read", complaint)))
-    return _with_quotes(df, text, keep).select(*keep, F.explode(bad).alias("bad")).select(*keep, "bad.*")
+    parsed = _parsed(df, text, keep)
+    listed = F.col("quotes").isNotNull()
+    rows = parsed.select(*keep, text, listed.alias("_listed"), F.posexplode_outer("quotes").alias("_at", "raw"))
+    rows = rows.where(F.col("_at").isNotNull() | ~F.col("_listed"))
+    raw, names = F.col("raw"), list(TRADE_FIELDS)
+    bad = _with_types(rows).where(raw.isNull() | reduce(Column.__or__, map(_misfit, names)))
+    wrong = F.array_compact(F.array(*[F.when(_misfit(n), F.lit(n)) for n in names]))
+    values = F.array_compact(F.array(*[F.when(_misfit(n), raw[n]) for n in names]))
+    return bad.select(
+        *keep,
+        F.when(F.col("_listed"), F.col("_at")).alias("quote_no"),
+        F.when(raw.isNull(), F.lit(NO_LIST)).otherwise(F.concat(F.lit("wrong type: "), F.array_join(wrong, ","))).alias("reason"),
+        F.when(~F.col("_listed"), F.col(text)).when(raw.isNotNull(), F.array_join(values, ",")).alias("value"),
+    )
