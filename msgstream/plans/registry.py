@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from msgstream.schemas import TRADE, TRADE_FIELDS
 from msgstream.scratch import shared_folder
 from msgstream.sinks import append_rows, log_lines, write_window_files
 from msgstream.sources import landing, queues
-from msgstream.streaming import jobs, keyed, rewindow
+from msgstream.streaming import jobs, keyed, ledger, rewindow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -918,6 +919,8 @@ def commit_progress(spark, sf_dir):
 
 # --- streams --------------------------------------------------------------------------------------
 
+RECEIVED_ONCE = f"WITH {EVENT_MESSAGES} SELECT queue, message_id, redelivered, CAST(1 AS BIGINT) AS count FROM event_messages"
+
 
 def _landed(messages: DataFrame, name: str) -> str:
     """The messages published to a landing folder; streams read it from there."""
@@ -1015,6 +1018,44 @@ def stream_trades(spark, sf_dir):
     return spark.read.schema(TRADE).parquet(_drained(trade_rows(rows), "stream-trades"))
 
 
+@query(
+    "stream_table_once",
+    f"WITH {TRADE_MESSAGES} SELECT {QUOTE_COLUMNS} FROM trade_quotes WHERE {GOOD_QUOTES}",
+)
+def stream_table_once(spark, sf_dir):
+    """Trade rows appended to a table by a job that is lost after it wrote its first batch and before that counts.
+    Started again, it writes the batch once more; the table has it once."""
+    messages = trades(spark, sf_dir)
+    source, path, checkpoint = (shared_folder(spark, f"once-{part}") for part in ("landing", "table", "checkpoint"))
+    landing.publish(messages, source)
+    config = ReadConfig([f"Q/{flag}" for flag in "ANR"], max_files_per_trigger=2)
+    rows = trade_rows(queues.stream_queues(spark, source, config, schema=messages.schema))
+
+    def lost(batch, batch_id):
+        batch.write.parquet(f"{path}/data/job=trades/batch={batch_id}/attempt=lost")
+        raise RuntimeError("lost before the batch was entered")
+
+    try:
+        jobs.start_batches(rows, lost, checkpoint, jobs.DRAIN).awaitTermination()
+    except StreamingQueryException:
+        jobs.drain_job(lambda trigger: ledger.start_ledger_job(rows, path, checkpoint, trigger, "trades"))
+    return ledger.read_table(spark, path, TRADE)
+
+
+@query("job_poll_interval", RECEIVED_ONCE)
+def job_poll_interval(spark, sf_dir):
+    """A live job that polls as often as its settings say, here four times a second, until all has come."""
+    config = ReadConfig(ALL_QUEUES, poll_ms=250)
+    source = _landed(events(spark, sf_dir), "poll-landing")
+    path, checkpoint = shared_folder(spark, "poll"), shared_folder(spark, "poll-checkpoint")
+    rows = queues.stream_queues(spark, source, config).select("queue", "message_id", "redelivered")
+    query = jobs.start_job(rows, path, checkpoint, config.trigger)
+    query.processAllAvailable()
+    jobs.cancel_job(query)
+    found = spark.read.schema("queue string, message_id long, redelivered boolean").parquet(path)
+    return words.count_each(found, ("queue", "message_id", "redelivered"))
+
+
 @query(
     "stream_rate_limited",
     f"""WITH {EVENT_MESSAGES} SELECT queue, count(*) AS messages, true AS in_three_batches_or_more
@@ -1174,9 +1215,6 @@ def _two_part_job(spark: SparkSession, sf_dir: str, run) -> DataFrame:
     return words.count_each(rows, ("queue", "message_id", "redelivered"))
 
 
-RECEIVED_ONCE = f"WITH {EVENT_MESSAGES} SELECT queue, message_id, redelivered, CAST(1 AS BIGINT) AS count FROM event_messages"
-
-
 @query("stream_restart", RECEIVED_ONCE)
 def stream_restart(spark, sf_dir):
     """Ended, started again on its checkpoint, and once more with nothing new: every message came once."""
