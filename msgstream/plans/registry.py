@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from msgstream.compaction import compact_window_files
 from msgstream.config import ReadConfig, default_table_name
 from msgstream.functions import text as tx
 from msgstream.functions.payload import trade_quarantine, trade_rows
@@ -215,6 +216,22 @@ def window_file_shards(spark, sf_dir):
     return per_file.groupBy("window_key").agg(F.sum("lines").alias("lines"), (F.count("*") <= 3).alias("at_most_three_files"))
 
 
+@query("window_files_compacted", f"SELECT *, true AS in_one_file FROM ({FILE_LINES})")
+def window_files_compacted(spark, sf_dir):
+    """Window files of four batches, put together: one file a window, as all are small, and nothing left to do after."""
+    path = shared_folder(spark, "compacted-window-files")
+    lines = flows.word_count_lines(event_texts(spark, sf_dir), FILE_WIDTH, use_sender_timestamp=True)
+    part = F.pmod(F.xxhash64("line"), F.lit(4))
+    for number in range(4):
+        write_window_files(lines.where(part == number), path, batch_id=number)
+    compact_window_files(spark, path)
+    left = compact_window_files(spark, path)
+    rows = spark.read.schema("value string, window_key string, batch_id int").text(path)
+    files = rows.select("window_key", F.col("_metadata.file_path").alias("file")).distinct().groupBy("window_key").agg(F.count("*").alias("files"))
+    single = files.agg(F.max("files") == 1).scalar()
+    return rows.select("window_key", F.col("value").alias("line"), (single & F.lit(left == 0)).alias("in_one_file"))
+
+
 def _window_lines(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema("value string, window_key string").text(path)
     return rows.select("window_key", F.col("value").alias("line"))
