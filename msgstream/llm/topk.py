@@ -18,7 +18,10 @@ NONE = -(2**62)
 SHARD_ROWS = 32_768
 QUERY_ROWS = 16_384
 
-HITS = "query_row long, query_id long, row long, vec_id long, score long"
+# Stands for a missing id on the way through pandas, which would read ids beside a NULL as floating point.
+NO_ID = 2**63 - 1
+
+HITS = "query_row long, query_id long, row long, vec_id long, known boolean, score long"
 
 
 def quantized(vectors: DataFrame, scale: int = 1024) -> DataFrame:
@@ -144,18 +147,24 @@ def top_k(
     query; as a candidate it comes after equal scores with an id. A row is a candidate for all queries but
     itself: rows that repeat a ``vec_id`` are candidates for each other and queries of their own. Vectors of
     another length than the query's are no candidates. Empty vectors score 0 against each other. Fewer rows
-    than k give all of them; no rows give none. Extra columns are not read.
+    than k give all of them; no rows give none. Extra columns are not read. Components so large that a score could
+    pass 62 bits are an error.
     """
-    rows = stored(quantized(vectors).withColumn("dims", F.size("vector")), "topk-vectors")
-    n, asked = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % query_every == 0)).first()
+    numbered = quantized(vectors).withColumns({"dims": F.size("vector"), "known": F.col("vec_id").isNotNull()})
+    rows = stored(numbered.withColumn("vec_id", F.coalesce("vec_id", F.lit(NO_ID))), "topk-vectors")
+    is_query = F.col("known") & (F.col("vec_id") % query_every == 0)
+    size = F.array_max(F.transform("vector", lambda v: F.abs(v.cast("double"))))
+    n, asked, largest = rows.agg(F.count("*"), F.count_if(is_query), F.max(F.col("dims") * size * size)).first()
+    if largest is not None and largest >= -NONE:
+        raise ValueError("components are too large for scores of 62 bits")
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-(asked or 0) // query_rows))
     place = F.xxhash64("row")
     candidates = rows.select(
         F.pmod(place, F.lit(shards)).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        "dims", "row", "vec_id", "vector",
+        "dims", "row", "vec_id", "known", "vector",
     )
-    queries = stored(rows.where(F.col("vec_id") % query_every == 0), "topk-queries").select(
+    queries = stored(rows.where(is_query), "topk-queries").select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.pmod(F.xxhash64("row", F.lit(7)), F.lit(blocks)).cast("int").alias("block"),
         "dims", "row", "vec_id", "vector",
@@ -164,11 +173,11 @@ def top_k(
     def hits(first: bool):
         def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
-                return pd.DataFrame({"query_row": [], "query_id": [], "row": [], "vec_id": [], "score": []}, dtype="int64")
+                names = [field.split()[0] for field in HITS.split(", ")]
+                return pd.DataFrame({name: [] for name in names}, dtype="int64").astype({"known": bool})
             dims = int(left["dims"].iloc[0])
             matrix = lambda x: np.array(x.tolist(), np.int64).reshape(len(x), dims)
-            ids = left["vec_id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
-            nowhere = left["vec_id"].isna().to_numpy()
+            ids, nameless = left["vec_id"].to_numpy(), left["row"][~left["known"]].to_numpy()
             own = right["row"].to_numpy()
             floor = np.full(len(right), NONE) if first else right["floor"].to_numpy(np.int64)
             tree = BallTree(matrix(left["vector"]))
@@ -176,24 +185,22 @@ def top_k(
                 tree, ids, left["row"].to_numpy(), matrix(right["vector"]), own, k, floor, leaves=4 if first else None
             )
             q, j = np.nonzero((best.rows >= 0) & (best.scores > NONE))
-            found = pd.DataFrame(
+            return pd.DataFrame(
                 {
                     "query_row": own[q],
                     "query_id": right["vec_id"].to_numpy(np.int64)[q],
                     "row": best.rows[q, j],
-                    "vec_id": pd.array(best.ids[q, j], "Int64"),
+                    "vec_id": best.ids[q, j],
+                    "known": ~np.isin(best.rows[q, j], nameless),
                     "score": best.scores[q, j],
                 }
             )
-            if nowhere.any():
-                found.loc[found["row"].isin(left["row"].to_numpy()[nowhere]), "vec_id"] = pd.NA
-            return found
 
         return run
 
     def best_of(found: DataFrame) -> DataFrame:
         order = Window.partitionBy("query_row").orderBy(
-            F.desc("score"), F.col("vec_id").asc_nulls_last(), F.col("row")
+            F.desc("score"), F.desc("known"), F.col("vec_id"), F.col("row")
         )
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -208,4 +215,5 @@ def top_k(
         queries = queries.join(kth, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE)))
     else:
         queries = queries.withColumn("floor", F.lit(NONE))
-    return best_of(searched(queries, False)).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    vec_id = F.when(F.col("known"), F.col("vec_id")).alias("vec_id")
+    return best_of(searched(queries, False)).select("query_id", F.col("rank").cast("int"), vec_id, "score")

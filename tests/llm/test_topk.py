@@ -45,6 +45,21 @@ def test_odd_rows_in_any_number_of_shards(spark, shard_rows, query_rows):
     assert found(topk.top_k(df, query_every=10, shard_rows=shard_rows, query_rows=query_rows)) == brute(rows, 10)
 
 
+def test_large_ids_beside_a_missing_one(spark):
+    """Ids that floating point cannot hold."""
+    rows = [(2**53 + 1 + i, [float(i % 7), 1.0]) for i in range(60)] + [(None, [6.0, 1.0])] * 2 + [(-(2**63), [3.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert found(topk.top_k(df, query_every=5)) == brute(rows, 5)
+    assert found(topk.top_k(df, query_every=5, shard_rows=20, query_rows=4)) == brute(rows, 5)
+
+
+def test_scores_that_would_not_fit(spark):
+    schema = "vec_id long, embedding array<float>"
+    with pytest.raises(ValueError, match="62 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e14]), (1, [1.0])], schema))
+    assert found(topk.top_k(spark.createDataFrame([(0, [1e6]), (1, [1.0])], schema))) == [(0, 1, 1, 1024 * 1024 * 10**6)]
+
+
 def test_few_and_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert topk.top_k(spark.createDataFrame([], schema)).collect() == []
