@@ -113,8 +113,7 @@ QUERIES = {
 }
 
 ORACLES = {
-    # A line of 20 code points or more on five sources or more stays in the document of smallest id only, but
-    # for documents of which less than half would be left.
+    # A line of 20 code points or more on five sources or more stays in the document of smallest id only.
     "op8_line_site_spread": """
         WITH lines AS (
             SELECT doc_id, source, n_chars, unnest(string_split(text, chr(10))) AS line,
@@ -129,14 +128,10 @@ ORACLES = {
             SELECT l.*, c.line IS NOT NULL AND c.first_id <> l.doc_id AS common
             FROM lines l LEFT JOIN common c ON l.line = c.line
         ),
-        shares AS (
-            SELECT doc_id, sum(CASE WHEN common THEN 0 ELSE length(line) END) >= 0.5 * sum(length(line)) AS page
-            FROM marked GROUP BY doc_id
-        ),
         texts AS (
-            SELECT m.doc_id, any_value(n_chars) AS n_chars, sum(CASE WHEN common AND page THEN 1 ELSE 0 END) AS lines_removed,
-                   array_to_string(list(line ORDER BY nr) FILTER (NOT (common AND page)), chr(10)) AS text
-            FROM marked m JOIN shares s ON m.doc_id = s.doc_id GROUP BY m.doc_id
+            SELECT doc_id, any_value(n_chars) AS n_chars, sum(CASE WHEN common THEN 1 ELSE 0 END) AS lines_removed,
+                   array_to_string(list(line ORDER BY nr) FILTER (NOT common), chr(10)) AS text
+            FROM marked GROUP BY doc_id
         )
         SELECT doc_id, coalesce(text, '') AS text, CAST(lines_removed AS BIGINT) AS lines_removed,
                CASE WHEN lines_removed = 0 THEN n_chars ELSE length(coalesce(text, '')) END AS n_chars

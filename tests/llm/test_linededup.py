@@ -19,8 +19,6 @@ def brute(rows, least_sites=5, least_chars=20):
         lines = text.split("\n")
         gone = [len(x) >= least_chars and len(sites[x]) >= least_sites and first.get(x) != doc_id for x in lines]
         left = [x for x, g in zip(lines, gone, strict=True) if not g]
-        if sum(map(len, left)) < 0.5 * sum(map(len, lines)):
-            left = lines
         result.append((doc_id, "\n".join(left), len(lines) - len(left)))
     return sorted(result, key=str)
 
@@ -37,7 +35,7 @@ def test_spread_decides(docs):
     rows += [(300 + i, body.format(300 + i) + "Of.", f"s{i}") for i in range(9)]  # too short to judge
     result = found(linededup.without_boilerplate(docs(rows)))
     assert result == brute(rows)
-    assert sum(n for _, _, n in result) == 29
+    assert sum(n for _, _, n in result) == 29 + 6
 
 
 def test_estimates_near_the_threshold_are_counted(docs):
@@ -70,3 +68,10 @@ def test_pipeline_exempts_no_document(docs):
     rows = [(i, f"own {i}\n{LICENSE}\n{OTHER}", f"s{i % 6}") for i in range(12)] + [(12, f"{OTHER}\n{LICENSE}", "s1")]
     result = dict(corpus_pipeline.line_dedup(None, docs(rows), None).select("doc_id", "text").collect())
     assert result == {0: rows[0][1], **{i: f"own {i}" for i in range(1, 12)}, 12: ""}
+
+
+def test_documents_may_be_exempt(docs):
+    """Asked for, those of which less than half would be left keep their lines."""
+    rows = [(i, f"own {i}\n{LICENSE}", f"s{i % 6}") for i in range(12)] + [(12, f"{'own ' * 30}\n{LICENSE}", "s1")]
+    found = linededup.without_boilerplate(docs(rows), least_left=0.5)
+    assert {r.doc_id for r in found.collect() if r.lines_removed} == {12}
