@@ -21,6 +21,8 @@ FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
 ZIP64_FIELD = 0x0001
 # Fixed values of the packages: where archives and indexes lie in them.
 ARCHIVES, INDEXES = "archive/", "indexes/"
+# The archive that a package of this writer holds.
+ARCHIVE = "data.warc.gz"
 
 # Payload bytes after which a package is closed and the next one begun.
 PACKAGE_BYTES = 16 << 20
@@ -229,7 +231,7 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
 
     def package(lines: list, archive: bytearray) -> pa.RecordBatch:
         index = "".join(json.dumps(line) + "\n" for line in lines).encode()
-        data = zip_stored({f"{ARCHIVES}data.warc.gz": bytes(archive), f"{INDEXES}index.cdxj": index})
+        data = zip_stored({f"{ARCHIVES}{ARCHIVE}": bytes(archive), f"{INDEXES}index.cdxj": index})
         files, base = fs.FileSystem.from_uri(folder)
         files.create_dir(base, recursive=True)
         path = f"{base.rstrip('/')}/{uuid.uuid4().hex}.wacz"
@@ -245,7 +247,7 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
                     record = warc_record(
                         row["page_id"], row["url"], row["payload"], row["payload_digest"], row["refers_to"]
                     )
-                    lines.append({"page": row["page_id"], "offset": len(archive), "length": len(record)})
+                    lines.append({"page": row["page_id"], "filename": ARCHIVE, "offset": len(archive), "length": len(record)})
                     archive += record
                     size += len(row["payload"])
                     if size >= package_bytes:
@@ -260,7 +262,8 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
 def read_packages(packages: DataFrame, folder: str) -> DataFrame:
     """All records of the packages, read by ranges: the end records, the directory, each index, each record.
 
-    Nothing is unpacked, and a task holds one index and a few records at a time. Only stored members can be
+    A package may hold several archives and indexes; each index entry names its archive by ``filename``, which may be
+    missing where there is but one. Nothing is unpacked, and a task holds one index and a few records at a time. Only stored members can be
     read by range; a compressed archive or index is an error.
     """
 
@@ -271,12 +274,16 @@ def read_packages(packages: DataFrame, folder: str) -> DataFrame:
             for name, member in members.items():
                 if name.startswith((ARCHIVES, INDEXES)) and member.method:
                     raise ValueError(f"{path}: {name} is compressed")
-            archives = [member for name, member in members.items() if name.startswith(ARCHIVES)]
+            archives = {name.removeprefix(ARCHIVES): member for name, member in members.items() if name.startswith(ARCHIVES)}
             for name, index in members.items():
                 if name.startswith(INDEXES):
                     for line in _range(file, index.start, index.size).splitlines():
                         entry = json.loads(line)
-                        data = _range(file, archives[0].start + entry["offset"], entry["length"])
+                        # An index need not name the archive where there is but one.
+                        named = entry.get("filename") or (next(iter(archives)) if len(archives) == 1 else None)
+                        if named not in archives:
+                            raise ValueError(f"{path}: {name} has a record of archive {named!r}, which is not there")
+                        data = _range(file, archives[named].start + entry["offset"], entry["length"])
                         yield parse_record(data) | {"package": path}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 import hashlib
 import io
+import json
 import zipfile
 
 import pyarrow as pa
@@ -85,3 +86,27 @@ def test_a_changed_payload_is_an_error():
     record = warc.warc_record(1, None, b"payload", hashlib.sha256(b"other").hexdigest(), None)
     with pytest.raises(ValueError, match="digest"):
         warc.parse_record(record)
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_a_package_of_two_archives(spark, tmp_path, named):
+    """Each index entry is read from the archive it names; one that names none of two is an error."""
+    members, expected = {}, set()
+    for k, texts in enumerate((["first page " * 20, "second"], ["third page, which is longer " * 30, "4"])):
+        archive, index = b"", ""
+        for n, text in enumerate(texts):
+            page, data = 10 * k + n, text.encode()
+            record = warc.warc_record(page, f"http://x/{page}", data, hashlib.sha256(data).hexdigest(), None)
+            name = {"filename": f"part{k}.warc.gz"} if named else {}
+            index += json.dumps({"offset": len(archive), "length": len(record)} | name) + "\n"
+            archive += record
+            expected.add((page, text))
+        members |= {f"archive/part{k}.warc.gz": archive, f"indexes/part{k}.cdxj": index.encode()}
+    (tmp_path / "two.wacz").write_bytes(warc.zip_stored(members))
+    packages = spark.createDataFrame([("two.wacz", 1, 4)], warc.PACKAGES)
+    records = warc.read_packages(packages, f"file://{tmp_path}")
+    if named:
+        assert {(r.page_id, r.payload.decode()) for r in records.collect()} == expected
+    else:
+        with pytest.raises(Exception, match="not there"):
+            records.collect()
