@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from msgstream.llm.common import word_count
+from msgstream.llm.common import keeps_columns, word_count
 from msgstream.scratch import stored
 
 # Weights of the sources in order, repeating, and the most copies of one document.
@@ -216,6 +216,7 @@ def mixture(docs: DataFrame, **settings) -> DataFrame:
     )
 
 
+@keeps_columns("doc_id", "source", "text")
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The documents themselves, each as often as it is taken, with the columns they came with."""
     rows = sized(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")).drop("text")

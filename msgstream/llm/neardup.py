@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgstream.llm.common import digest
+from msgstream.llm.common import digest, keeps_columns
 from msgstream.scratch import stored
 
 # Minima of a signature, low bits kept of each, minima in a band. Texts of likeness 0.8 share one of the 32
@@ -443,6 +443,7 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(parts, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
 
 
+@keeps_columns("doc_id", "text")
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, its smallest id, with the columns it came with.
 

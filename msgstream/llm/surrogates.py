@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from msgstream.llm.common import digest
+from msgstream.llm.common import digest, keeps_columns
 from msgstream.scratch import stored
 
 KEY = "surrogate-key-of-this-corpus"
@@ -452,6 +452,7 @@ def _shown(kind: Column, entity: Column, surrogate: Column) -> Column:
     )
 
 
+@keeps_columns("text", made="entities")
 def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     """All rows and columns of ``docs``, personal data in ``text`` replaced, with ``entities``, their number.
 
