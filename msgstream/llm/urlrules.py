@@ -24,6 +24,9 @@ DEFAULT = "allow"
 LEAST_SUPPORT = 0.01
 LEAST_CONFIDENCE = 0.9
 
+# Sets of rule tokens that are sent to every task; of more, each is sent to so many parts of its pages.
+FEW_SETS, PARTS = 20_000, 32
+
 _LABEL = "label="
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,6 +74,31 @@ def tokens(p: UrlParts) -> Column:
     return F.when(p.host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(every))
 
 
+def always_together(labelled: DataFrame, least_support: float = LEAST_SUPPORT) -> dict[str, str]:
+    """For each token that stands in exactly the same labelled URLs as another, the least of these; of ``tokens, label``.
+
+    The tokens of one site's pages often come all together, and k such tokens would be 2^k frequent combinations that
+    all say the same. Sets of URLs are compared by their size and two sums of hashes. Only tokens of enough support
+    are looked at, so the result is as bounded as the mined rules are.
+    """
+    rows = stored(labelled.select(F.monotonically_increasing_id().alias("url"), "tokens"), "url-tokens")
+    least = least_support * rows.count()
+    each = rows.select("url", F.explode("tokens").alias("token"))
+    first, second = (F.bit_xor(F.xxhash64(F.lit(seed), "url")) for seed in (1, 2))
+    stood = each.groupBy("token").agg(F.count("*").alias("n"), first.alias("a"), second.alias("b")).where(F.col("n") >= least)
+    alike = stood.groupBy("n", "a", "b").agg(F.min("token").alias("least"), F.collect_list("token").alias("tokens"))
+    pairs = alike.where(F.size("tokens") > 1).select("least", F.explode("tokens").alias("token")).where("token <> least")
+    return {row["token"]: row["least"] for row in pairs.collect()}
+
+
+def represented(tokens: Column, least: dict[str, str]) -> Column:
+    """Tokens with the least of those that always come together in place of each of them."""
+    if not least:
+        return tokens
+    names, others = (F.array(*[F.lit(t) for t in side]) for side in (list(least), list(least.values())))
+    return F.array_distinct(F.transform(tokens, lambda t: F.coalesce(F.get(others, F.array_position(names, t).cast("int") - 1), t)))
+
+
 def mined_rules(
     labelled: DataFrame, least_support: float = LEAST_SUPPORT, least_confidence: float = LEAST_CONFIDENCE
 ) -> DataFrame:
@@ -130,7 +158,9 @@ def judged(
     combinations are mined; what no listed rule fits gets the verdict of the surest mined rule, or
     ``default``. All of it is DataFrame and SQL work. URLs are reduced to the tokens of mined rules, whose
     number the least support bounds, and only distinct sets of those are matched, so a host with a third of
-    all pages is a few rows.
+    all pages is a few rows. Tokens that always stand together count as one (:func:`always_together`); a URL with any
+    of them fits. Verdicts go back to the pages by broadcast where there are at most ``FEW_SETS`` of them; else
+    the pages of a set are dealt over ``PARTS`` parts, each of which gets them.
 
     A NULL URL, and one without ``://``, has an empty host and path and gets the default. Repeated rows are
     judged alike; no rows give none; extra columns are not read. A URL of any length is read whole.
@@ -141,12 +171,20 @@ def judged(
     held = tokens(UrlParts(F.col("host"), F.col("path"), F.col("rest")))
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("listed"), held.alias("tokens"))
     labelled = rows.where("listed IS NOT NULL").select("tokens", F.col("listed").alias("label"))
+    least = always_together(labelled, least_support)
+    labelled = labelled.withColumn("tokens", represented(F.col("tokens"), least))
     mined = mined_rules(labelled, least_support, least_confidence)
     vocabulary = sorted(row["token"] for row in mined.select(F.explode("items").alias("token")).distinct().collect())
     # Bounded by the least support: at most (tokens of a URL) / support of them.
     words = F.array(*[F.lit(t) for t in vocabulary]) if vocabulary else F.array().cast("array<string>")
-    known = F.when(F.col("listed").isNull(), F.array_sort(F.array_intersect("tokens", words)))
+    known = F.when(F.col("listed").isNull(), F.array_sort(F.array_intersect(represented(F.col("tokens"), least), words)))
     rows = rows.withColumn("known", known).drop("tokens")
     sets = rows.where(F.size("known") > 0).select("known").distinct()
-    decided = rows.join(matched(sets, mined), "known", "left")
+    found = stored(matched(sets, mined), "url-matched")
+    if found.count() <= FEW_SETS:
+        decided = rows.join(F.broadcast(found), "known", "left")
+    else:
+        part = F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(PARTS))
+        spread = found.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+        decided = rows.withColumn("part", part).join(spread, ["known", "part"], "left")
     return decided.select("page_id", "host", "path", "rule", F.coalesce("listed", "mined", F.lit(default)).alias("verdict"))

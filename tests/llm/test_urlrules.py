@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from msgstream.llm import registry, urlrules
 from msgstream.llm.common import table
@@ -89,6 +90,41 @@ def test_rules_against_counting(spark):
     assert all(found[k] == pytest.approx(kept[k]) for k in kept)
 
 
+def test_tokens_that_always_come_together(spark):
+    """Thirty keys on a tenth of the URLs are one token, which any of them stands for."""
+    import time
+
+    def took(keys):
+        query = "&".join(f"k{n}=1" for n in range(keys))
+        urls = {i: f"http://a{i}.net/x?{query}" if i % 10 == 0 else f"http://b{i % 50}.org/fr/{i}" for i in range(500)}
+        urls |= {1000: "http://other.com/z?k2=5", 1001: "http://other.com/z?unknown=5"}
+        start = time.perf_counter()
+        rows = {r.page_id: r for r in urlrules.judged(frame(spark, urls)).collect()}
+        assert rows[1000].verdict == "block" and rows[1000].rule is None and rows[1001].verdict == "allow"
+        check(list(rows.values()), urls)
+        return time.perf_counter() - start
+
+    few = took(3)
+    assert took(30) < 3 * few + 10
+
+
+def test_classes_of_tokens(spark):
+    rows = [(["a", "b", "x"], "block"), (["a", "b"], "allow"), (["c", "x"], "allow"), (["c", "x", "b", "a"], "allow"), (["z"], "allow")]
+    df = spark.createDataFrame(rows, "tokens array<string>, label string")
+    assert urlrules.always_together(df, 0.2) == {"b": "a"}
+    assert urlrules.always_together(df.limit(0)) == {}
+    mapped = df.select(urlrules.represented(F.col("tokens"), {"b": "a"}).alias("t")).collect()
+    assert [r.t for r in mapped] == [["a", "x"], ["a"], ["c", "x"], ["c", "x", "a"], ["z"]]
+
+
+def test_many_sets_are_dealt_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(urlrules, "FEW_SETS", 0)
+    urls = {i: f"http://a{i}.net/shop/{i}" if i % 2 else f"http://b.com/{'shop' if i % 4 else 'n'}/{i}" for i in range(100)}
+    rows = urlrules.judged(frame(spark, urls)).collect()
+    check(rows, urls)
+    assert {r.verdict for r in rows if r.host == "b.com" and "/shop/" in r.path} == {"block"}
+
+
 def test_no_python_in_the_plan(spark):
     plan = registry.op7_url_association_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
