@@ -100,11 +100,11 @@ def trade_quarantine(df: DataFrame, text: str = "text", keep=("queue", "message_
     rows = rows.where(F.col("_at").isNotNull() | ~F.col("_listed"))
     raw, names = F.col("raw"), list(TRADE_FIELDS)
     bad = _with_types(rows).where(raw.isNull() | reduce(Column.__or__, map(_misfit, names)))
-    wrong = F.array_compact(F.array(*[F.when(_misfit(n), F.lit(n)) for n in names]))
-    values = F.array_compact(F.array(*[F.when(_misfit(n), raw[n]) for n in names]))
+    wrong = F.concat_ws(",", *[F.when(_misfit(n), F.lit(n)) for n in names])
+    values = F.concat_ws(",", *[F.when(_misfit(n), raw[n]) for n in names])
     return bad.select(
         *keep,
         F.when(F.col("_listed"), F.col("_at")).alias("quote_no"),
-        F.when(raw.isNull(), F.lit(NO_LIST)).otherwise(F.concat(F.lit("wrong type: "), F.array_join(wrong, ","))).alias("reason"),
-        F.when(~F.col("_listed"), F.col(text)).when(raw.isNotNull(), F.array_join(values, ",")).alias("value"),
+        F.when(raw.isNull(), F.lit(NO_LIST)).otherwise(F.concat(F.lit("wrong type: "), wrong)).alias("reason"),
+        F.when(~F.col("_listed"), F.col(text)).when(raw.isNotNull(), values).alias("value"),
     )
