@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from msgstream.functions.proto import decode_test
-from msgstream.operators.dedup import distinct_by_sequence, distinct_in_window
+from msgstream.operators.dedup import SURVIVOR_ORDER, distinct_by_sequence, distinct_in_window
 from msgstream.operators.eventtime import fixed_window, with_event_time
 from msgstream.operators.words import count_words, format_counts
 
@@ -30,6 +30,20 @@ def deduplicated_word_count(
     return count_words(distinct_by_sequence(rows, salts=salts) if by_sequence else distinct_in_window(rows, salts=salts))
 
 
+def first_messages(
+    df: DataFrame, width: str = "4 seconds", use_sender_timestamp: bool = False, lateness: str = "0 seconds"
+) -> DataFrame:
+    """``window, message_id, text`` of the first copy of each message in its window.
+
+    A stream remembers one row per message of an open window, however many words its text has, and gives all
+    messages of a window in the one micro-batch that closes it. So what is counted by window in each micro-batch
+    (:func:`msgstream.streaming.jobs.start_panes`) is final and needs no state of its own.
+    """
+    rows = windowed(df, width, use_sender_timestamp, lateness)
+    order = F.struct(*[c for c in SURVIVOR_ORDER if c in rows.columns and c != "message_id"])
+    return rows.groupBy("window", "message_id").agg(F.min_by("text", order).alias("text"))
+
+
 def word_count_lines(
     df: DataFrame, width: str = "10 seconds", use_sender_timestamp: bool = False, lateness: str = "0 seconds"
 ) -> DataFrame:

@@ -985,12 +985,17 @@ def document_stream(spark: SparkSession, sf_dir: str):
     SELECT window_start, word, count(*) AS count FROM words WHERE word <> '' GROUP BY ALL""",
 )
 def stream_word_count(spark, sf_dir):
-    """The flagship as a stream over several batches, drained until every window is written."""
+    """The flagship as a stream over several batches, drained until every window is written. Messages are remembered
+    until their window closes; their words are counted then."""
     messages, lateness, close = document_stream(spark, sf_dir)
-    counted = flows.deduplicated_word_count(messages, use_sender_timestamp=True, lateness=lateness)
-    rows = eventtime.window_bounds(counted).select("window_start", "word", "count")
-    path = _drained(rows, "stream-words", close=close)
-    return spark.read.schema("window_start timestamp_ntz, word string, count long").parquet(path)
+    firsts = flows.first_messages(messages, use_sender_timestamp=True, lateness=lateness)
+    start = lambda df, *where: jobs.start_panes(df, *where, of=_counted_words)
+    path = _drained(firsts, "stream-words", start, close)
+    return spark.read.schema("window_start timestamp_ntz, word string, count long, pane int").parquet(path).drop("pane")
+
+
+def _counted_words(messages: DataFrame) -> DataFrame:
+    return eventtime.window_bounds(words.count_words(messages)).select("window_start", "word", "count")
 
 
 @query("stream_window_files", FILE_LINES)

@@ -55,14 +55,17 @@ def start_window_files(
     return start_batches(df, write, checkpoint, trigger)
 
 
-def start_panes(df: DataFrame, path: str, checkpoint: str, every: dict) -> StreamingQuery:
+def start_panes(
+    df: DataFrame, path: str, checkpoint: str, every: dict, of: Callable[[DataFrame], DataFrame] | None = None
+) -> StreamingQuery:
     """The stream cut by processing time: each micro-batch is a pane, each row is in exactly one.
 
-    Nothing is kept between panes, and no row is too late. A pane written again replaces itself.
+    Nothing is kept between panes, and no row is too late. A pane written again replaces itself. ``of`` makes a
+    pane's rows from those of its micro-batch; there it may aggregate.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        pane = batch.withColumn("pane", F.lit(batch_id))
+        pane = (batch if of is None else of(batch)).withColumn("pane", F.lit(batch_id))
         pane.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pane").parquet(path)
 
     return start_batches(df, write, checkpoint, every)
