@@ -955,7 +955,7 @@ def _landed_in_order(messages: DataFrame, name: str, use_sender_timestamp: bool
 def event_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Text records of all event queues, a few files at a time."""
     path = path or _landed(events(spark, sf_dir), "landing")
-    config = ReadConfig(ALL_QUEUES, max_files_per_trigger=len(b.EVENT_QUEUES))
+    config = ReadConfig(ALL_QUEUES, max_files_per_trigger=landing.files_per_batch(spark, len(b.EVENT_QUEUES), path))
     return queues.read_queues(spark, path, config, mapper=lambda rows: mappers.text_record(rows, keep=("queue",)))
 
 
@@ -972,7 +972,8 @@ def document_stream(spark: SparkSession, sf_dir: str):
     messages = documents(spark, sf_dir)
     path, lateness = _landed_in_order(messages, "document-landing", use_sender_timestamp=True)
     schema = messages.schema
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 20).parquet(path)
+    most = landing.files_per_batch(spark, 20, path, schema)
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", most).parquet(path)
     return rows, lateness, lambda: landing.close_queues(spark, path, [b.IDLE_QUEUE], schema)
 
 
@@ -1028,6 +1029,12 @@ def stream_panes(spark, sf_dir):
     return spark.read.schema("queue string, message_id long, redelivered boolean, text string").parquet(f"{path}/pane=*")
 
 
+def _trade_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Messages of a landing folder of trades, as many files a micro-batch as keep all tasks busy; no state is kept."""
+    config = ReadConfig([f"Q/{flag}" for flag in "ANR"], max_files_per_trigger=landing.files_per_batch(spark, 2))
+    return queues.stream_queues(spark, path, config, schema=schema)
+
+
 @query(
     "stream_trades",
     f"WITH {TRADE_MESSAGES} SELECT {QUOTE_COLUMNS} FROM trade_quotes WHERE {GOOD_QUOTES}",
@@ -1035,8 +1042,7 @@ def stream_panes(spark, sf_dir):
 def stream_trades(spark, sf_dir):
     messages = trades(spark, sf_dir)
     path = _landed(messages, "trade-landing")
-    config = ReadConfig([f"Q/{flag}" for flag in "ANR"], max_files_per_trigger=2)
-    rows = queues.stream_queues(spark, path, config, schema=messages.schema)
+    rows = _trade_stream(spark, path, messages.schema)
     return spark.read.schema(TRADE).parquet(_drained(trade_rows(rows), "stream-trades"))
 
 
@@ -1050,8 +1056,7 @@ def stream_table_once(spark, sf_dir):
     messages = trades(spark, sf_dir)
     source, path, checkpoint = (shared_folder(spark, f"once-{part}") for part in ("landing", "table", "checkpoint"))
     landing.publish(messages, source)
-    config = ReadConfig([f"Q/{flag}" for flag in "ANR"], max_files_per_trigger=2)
-    rows = trade_rows(queues.stream_queues(spark, source, config, schema=messages.schema))
+    rows = trade_rows(_trade_stream(spark, source, messages.schema))
 
     def lost(batch, batch_id):
         batch.write.parquet(f"{path}/data/job=trades/batch={batch_id}/attempt=lost")

@@ -11,6 +11,12 @@ from msgstream.schemas import ENVELOPE
 # Later than any message, and early enough for all that adds to it.
 END_OF_TIME = "9000-01-01 00:00:00Z"
 
+# Bytes of a row group, the least that a task reads, of published files.
+ROW_GROUP = 16 << 20
+
+# Micro-batches into which a landing folder is cut, if it holds files enough.
+BATCHES = 4
+
 
 def envelope(df: DataFrame, **columns: Column) -> DataFrame:
     """Rows completed to the envelope: columns not given and not in ``df`` are NULL."""
@@ -24,9 +30,10 @@ def publish(messages: DataFrame, path: str) -> None:
     """Appends messages to a landing folder, one directory per queue.
 
     Rows are gathered by queue so that each gets few files, while a queue too large for one task is
-    split over several.
+    split over several. Files are made of small row groups, so that a few of them still keep many tasks busy.
     """
-    messages.hint("rebalance", "queue").write.mode("append").partitionBy("queue").parquet(path)
+    writer = messages.hint("rebalance", "queue").write.mode("append").option("parquet.block.size", ROW_GROUP)
+    writer.partitionBy("queue").parquet(path)
 
 
 def publish_in_order(messages: DataFrame, path: str, time: Column, slices: int = 4) -> str:
@@ -50,6 +57,19 @@ def publish_in_order(messages: DataFrame, path: str, time: Column, slices: int =
     return f"{longest // 1_000_000 + 1} seconds"
 
 
+def files_per_batch(spark: SparkSession, least: int, path: str | None = None, schema=ENVELOPE) -> int:
+    """How many files of a landing folder a micro-batch should take.
+
+    Two for every task that runs at once, so that the time of a drain follows the rows and not the number of files.
+    With the ``path`` of the folder no more than gives :data:`BATCHES` micro-batches, for streams that release state
+    as they go. Never under ``least``.
+    """
+    most = 2 * spark.sparkContext.defaultParallelism
+    if path is not None:
+        most = min(most, len(spark.read.schema(schema).parquet(path).inputFiles()) // BATCHES)
+    return max(least, most)
+
+
 def closing() -> Column:
     """Whether a row is the message that :func:`close_queues` leaves."""
     return F.coalesce(F.col("receive_ts") == F.lit(END_OF_TIME).cast("timestamp"), F.lit(False))

@@ -2,10 +2,12 @@
 
 import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql.streaming import StreamingQueryListener
 
 from msgstream.plans import registry
+from msgstream.sources import landing
 
 
 class Seen(StreamingQueryListener):
@@ -48,3 +50,30 @@ def test_word_counts_remember_messages_not_words(spark, folder, seen):
     batch = registry.QUERIES["word_count_4s_dedup"](spark, path)
     assert found.columns == batch.columns and sorted(found.collect()) == sorted(batch.collect())
     assert seen.ended.wait(30) and 0 < seen.state_rows <= 60 + 1
+
+
+@pytest.fixture
+def seen_once(spark):
+    listener = Seen(runs=1)
+    spark.streams.addListener(listener)
+    yield listener
+    spark.streams.removeListener(listener)
+
+
+def test_trade_batches_keep_all_tasks_busy(spark, folder, seen_once):
+    """Forty files take the eight tasks of this session three micro-batches, two files a task."""
+    path = folder("landing")
+    rows = spark.range(40).selectExpr("id AS message_id", "CAST(1 AS INT) AS priority", "'[]' AS text", "'Q/A' AS queue")
+    rows.repartition(40, "message_id").write.option("maxRecordsPerFile", 1).partitionBy("queue").parquet(path)
+    registry._drained(registry._trade_stream(spark, path, rows.schema), "out")
+    assert seen_once.ended.wait(30) and seen_once.batches == 3
+
+
+def test_published_files_can_be_split(spark, folder):
+    path = folder("landing")
+    text = "array_join(transform(sequence(1, 16), k -> sha2(concat(id, ' ', k), 256)), '') AS text"
+    texts = spark.range(60_000).selectExpr("id AS message_id", text, "'Q' AS queue")
+    landing.publish(texts.coalesce(1), path)
+    files = spark.read.parquet(path).inputFiles()
+    groups = [pq.ParquetFile(f.removeprefix("file:").replace("%3D", "=")).num_row_groups for f in files]
+    assert sum(groups) >= 3
