@@ -77,3 +77,11 @@ def test_published_files_can_be_split(spark, folder):
     files = spark.read.parquet(path).inputFiles()
     groups = [pq.ParquetFile(f.removeprefix("file:").replace("%3D", "=")).num_row_groups for f in files]
     assert sum(groups) >= 3
+
+
+def test_a_batch_that_comes_again_is_a_part_of_the_job(spark, folder, seen_once):
+    path = folder("landing")
+    rows = spark.range(40).selectExpr("id AS message_id", "CAST(1 AS INT) AS priority", "'[]' AS text", "'Q/A' AS queue")
+    rows.repartition(40, "message_id").write.option("maxRecordsPerFile", 1).partitionBy("queue").parquet(path)
+    registry._drained(registry._trade_stream(spark, path, rows.schema, in_parts=True), "out")
+    assert seen_once.ended.wait(30) and seen_once.batches == 4
