@@ -24,6 +24,8 @@ MARGIN = 0.25
 # Texts compared with each other in one task, and edges of which a task takes the components.
 BLOCK = 1024
 EDGES_A_TASK = 200_000
+# Words whose hashes a worker remembers.
+WORDS_KEPT = 100_000
 
 # Multiplier and shifts of a 64-bit finalizer that spreads all bits.
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -43,7 +45,7 @@ _OFFSETS = _SEEDS[MINIMA:, None].astype(np.uint32)
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
+        if len(self) < WORDS_KEPT:
             self[word] = value
         return value
 

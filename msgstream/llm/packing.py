@@ -21,9 +21,9 @@ PIECES = (
 # Documents that share a set of open sequences, and the token bytes after which a set is closed early.
 BLOCK_DOCS = 4096
 BLOCK_BYTES = 32 << 20
-# Chunks, and words in them, whose ids a worker remembers; beyond it starts anew.
-CHUNKS_KEPT = 400_000
-WORDS_KEPT = 1_200_000
+# Chunks, and words in them, whose ids a worker remembers: twice as many at most, those not met again go.
+CHUNKS_KEPT = 60_000
+WORDS_KEPT = 120_000
 # Words encoded in one call.
 CALL_WORDS = 512
 # A word of Latin letters at the start of a chunk, up to an ASCII character or the end, which nothing joins or
@@ -58,6 +58,8 @@ class ChunkIds:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.earlier_chunks: dict[str, bytes] = {}
+        self.earlier_words: dict[str, bytes] = {}
 
     def _learn_words(self, new: list[str]) -> None:
         groups = [new[at : at + CALL_WORDS] for at in range(0, len(new), CALL_WORDS)]
@@ -71,18 +73,24 @@ class ChunkIds:
 
     def _learn(self, chunks: set[str]) -> None:
         if len(self.chunks) > CHUNKS_KEPT:
-            self.chunks.clear()
+            self.chunks, self.earlier_chunks = {}, self.chunks
         if len(self.words) > WORDS_KEPT:
-            self.words.clear()
+            self.words, self.earlier_words = {}, self.words
         latin, others = [], set()
         for chunk in (chunk for chunk in chunks if chunk not in self.chunks):
+            if chunk in self.earlier_chunks:
+                self.chunks[chunk] = self.earlier_chunks[chunk]
+                continue
             first = FIRST_WORD.match(chunk)
             if first:
                 latin.append((chunk, first[0].lower(), chunk[first.end() :]))
                 others.add(chunk[first.end() :])
             else:
                 others.add(chunk)
-        self._learn_words(list({word for _, word, _ in latin if word not in self.words}))
+        new_words = {word for _, word, _ in latin if word not in self.words}
+        again = new_words & self.earlier_words.keys()
+        self.words.update((word, self.earlier_words[word]) for word in again)
+        self._learn_words(list(new_words - again))
         new = [chunk for chunk in others if chunk not in self.chunks]
         encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         self.chunks.update((c, np.asarray(e.ids, "<u4").tobytes()) for c, e in zip(new, encodings, strict=True))
@@ -180,9 +188,7 @@ def pack(
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names), max([first, *(s + 1 for s in used)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # What is kept here holds no cycles, and looking for them takes a quarter of the time.
-        gc.disable()
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, end = chunk_ids(tokenizer), np.asarray([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << SEQUENCES_BITS
         ids: list = []
@@ -203,4 +209,13 @@ def pack(
             out, sequence = pieces(ids, encoded, sequence)
             yield from (out.slice(k, 8192) for k in range(0, out.num_rows, 8192))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What is kept here holds no cycles, and looking for them takes a quarter of the time. The worker goes on to
+        # other tasks, whose cycles must be found again.
+        gc.disable()
+        try:
+            yield from packed(batches)
+        finally:
+            gc.enable()
+
     return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(run, PIECES)

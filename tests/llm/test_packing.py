@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -86,3 +87,26 @@ def test_bounded_blocks_leave_little_room(docs, tokenizer, monkeypatch):
 
     texts = {i: text(i, 40 + 37 * i % 3000) for i in range(100)}
     assert check(tokenizer, texts, registry.packed(docs(list(texts.items())).coalesce(1)).collect()) < 0.1
+
+
+def test_a_worker_remembers_few_words_and_finds_them_again(tokenizer, monkeypatch):
+    """However many words pass, memory stays bounded, and words of an earlier generation give the same ids."""
+    monkeypatch.setattr(packing, "CHUNKS_KEPT", 50)
+    monkeypatch.setattr(packing, "WORDS_KEPT", 40)
+    known = packing.ChunkIds(PATH)
+    for i in range(60):
+        text = " ".join([f"Often{chr(97 + k)}," for k in range(5)] + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}." for k in range(10)])
+        assert known.encode([text])[0] == expected(tokenizer, text)[:-1].tobytes()
+        assert len(known.chunks) + len(known.earlier_chunks) <= 2 * (50 + 32) and len(known.words) + len(known.earlier_words) <= 2 * (40 + 16)
+
+
+def test_a_worker_collects_garbage_after_its_packing(docs, spark):
+    registry.packed(docs([(i, "a b") for i in range(8)])).collect()
+
+    def run(batches):
+        import gc
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"on": [gc.isenabled()] * batch.num_rows})
+
+    assert all(r.on for r in spark.range(8).mapInArrow(run, "on boolean").collect())
