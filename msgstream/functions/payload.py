@@ -16,6 +16,8 @@ _AS_WRITTEN = "array<array<struct<" + ",".join(f"`{name}`:string" for name in TR
 # How a date is written, and how a value begins that is not a plain one.
 DATE = r"\A\d{4}-\d{2}-\d{2}\z"
 NESTED = r"\A\s*[\[{]"
+# How a payload of lists ends.
+LIST_END = r"\][ \t\r\n]*\z"
 
 NO_LIST = "not a list of quotes"
 
@@ -64,8 +66,11 @@ def _quotes(text: str) -> Column:
 
     The JSON reader stops after the first value and would pass over what follows. So the payload is
     read as part of a list that goes on with an empty one: only if that comes last was all of it read.
+    A payload cut short ends otherwise than a list does. It is not read at all: an error costs the reader more
+    than a whole payload does.
     """
-    payload = F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(F.col(text))
+    listed = F.col(text).endswith("]") | F.col(text).rlike(LIST_END)
+    payload = F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).when(listed, F.col(text))
     return F.from_json(F.concat(F.lit("["), payload, F.lit(",[]]")), _AS_WRITTEN)
 
 

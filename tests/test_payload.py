@@ -90,6 +90,12 @@ def test_not_quotes(spark, text):
     assert [b[2] for b in bad(spark, text)] == ["not a list of quotes"]
 
 
+def test_lists_that_do_not_end_the_payload(spark):
+    """What ends otherwise than a list does is not read, so an empty list before the rest does not pass for its end."""
+    assert good(spark, '[{"sym":"A"}],[]] x') == [] and bad(spark, '[{"sym":"A"}],[]] x') == [(0, None, "not a list of quotes")]
+    assert [r["sym"] for r in good(spark, '[{"sym":"A"}] \r\n\t')] == ["A"]
+
+
 @pytest.mark.parametrize(
     "value, field",
     [('"many"', "lowAskSize"), ("20.5", "lowAskSize"), ("99999999999", "lowAskSize"), ('"x"', "vwap"), ('"06/06/2020"', "date"),
