@@ -103,10 +103,11 @@ def trade_quarantine(df: DataFrame, text: str = "text", keep=("queue", "message_
     listed = F.col("quotes").isNotNull()
     rows = parsed.select(*keep, text, listed.alias("_listed"), F.posexplode_outer("quotes").alias("_at", "raw"))
     rows = rows.where(F.col("_at").isNotNull() | ~F.col("_listed"))
-    raw, names = F.col("raw"), list(TRADE_FIELDS)
-    bad = _with_types(rows).where(raw.isNull() | reduce(Column.__or__, map(_misfit, names)))
-    wrong = F.concat_ws(",", *[F.when(_misfit(n), F.lit(n)) for n in names])
-    values = F.concat_ws(",", *[F.when(_misfit(n), raw[n]) for n in names])
+    raw = F.col("raw")
+    misfits = F.array(*[F.when(_misfit(n), F.struct(F.lit(n).alias("name"), raw[n].alias("value"))) for n in TRADE_FIELDS])
+    told = _with_types(rows).select(*keep, text, "_listed", "_at", "raw", F.inline_outer(F.array(F.struct(misfits.alias("_misfits")))))
+    wrong, values = (F.concat_ws(",", F.col("_misfits")[part]) for part in ("name", "value"))
+    bad = told.where(raw.isNull() | (wrong != ""))
     return bad.select(
         *keep,
         F.when(F.col("_listed"), F.col("_at")).alias("quote_no"),

@@ -111,6 +111,15 @@ def test_fields_are_cast_once(spark, name):
     assert generators and all("*(" in line for line in generators)
 
 
+@pytest.mark.parametrize("name", ["trade_rows", "trade_quarantine"])
+def test_methods_are_small_enough_for_java_to_compile(spark, name):
+    """Java leaves methods of more than 8,000 bytes to its interpreter."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    code = debug.codegenString(registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan())
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) <= 8000
+
+
 def test_missing_keys_are_not_shuffled(spark):
     """Rows without a sequence number bypass the exchange, so that they cannot pile up on one task."""
     rows = flows.windowed(registry.event_texts(spark, SF), "4 seconds")
