@@ -22,8 +22,8 @@ PIECES = (
 BLOCK_DOCS = 4096
 BLOCK_BYTES = 32 << 20
 # Chunks, and words in them, whose ids a worker remembers: twice as many at most, those not met again go.
-CHUNKS_KEPT = 60_000
-WORDS_KEPT = 120_000
+CHUNKS_KEPT = 200_000
+WORDS_KEPT = 600_000
 # Words encoded in one call.
 CALL_WORDS = 512
 # A word of Latin letters at the start of a chunk, up to an ASCII character or the end, which nothing joins or
