@@ -24,6 +24,8 @@ MARGIN = 0.25
 # Texts compared with each other in one task, and edges of which a task takes the components.
 BLOCK = 1024
 EDGES_A_TASK = 200_000
+# Comparisons of a set that found no link, after which it is compared with all of its group at once.
+FAILED = 8
 # Words whose hashes a worker remembers.
 WORDS_KEPT = 100_000
 
@@ -173,26 +175,48 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
             return labels
 
 
-def _ties(nodes: DataFrame, percent: int, block: int) -> DataFrame:
-    """``a, b``: ties that connect the texts of a band whose estimates reach the floor, ``a`` the smallest.
+def _meetings(parts: DataFrame, block: int) -> DataFrame:
+    """``cluster, chunk, block, node, root, left``: groups of at most about ``block`` rows in which all that is
+    outside a cluster's largest part meets all of the cluster; ``left`` marks what is outside.
 
-    A band of more than ``block`` texts is dealt over blocks, and each two of them meet in a group of their
-    own, so no group is larger than two blocks. In a group a text is compared with those not yet connected
-    only, so near copies are done after a few comparisons.
+    Takes ``cluster, node, root``, where ``root`` names the part. Clusters of one part are left out, so the rows
+    are as many as the cluster's times those outside over half a block.
     """
-    bands = nodes.select("node", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = bands.join(shared, "band").select("node", "band", blocks.alias("blocks")).withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    half = block // 2
+    shares = parts.groupBy("cluster", "root").agg(F.count("*").alias("part"))
+    main = shares.groupBy("cluster").agg(F.sum("part").alias("n"), F.max(F.struct("part", "root")).alias("most"))
+    chunks, halves = F.ceil((F.col("n") - F.col("most.part")) / half), F.ceil(F.col("n") / half)
+    main = main.select(
+        "cluster", F.col("most.root").alias("main"), chunks.cast("int").alias("chunks"), halves.cast("int").alias("halves")
+    ).where("chunks > 0")
+    dealt = (
+        parts.join(main, "cluster")
+        .withColumn("left", F.col("root") != F.col("main"))
+        .withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(5)), F.col("chunks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("halves")).cast("int"))
     )
-    # With other blocks, if there are any; with itself only where it is alone.
-    partner = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (x != F.col("own")) | (F.col("blocks") == 1))
-    met = dealt.withColumn("other", F.explode(partner)).select(
-        "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node"
+    each = {name: F.explode(F.sequence(F.lit(0), F.col(count) - 1)) for name, count in (("chunk", "chunks"), ("block", "halves"))}
+    chosen = ["cluster", "chunk", "block", "node", "root", "left"]
+    everyone = dealt.withColumn("chunk", each["chunk"]).withColumn("left", F.lit(False)).select(chosen)
+    outside = dealt.where("left").withColumn("block", each["block"]).select(chosen)
+    return everyone.unionByName(outside).groupBy("cluster", "chunk", "block", "node").agg(
+        F.first("root").alias("root"), F.max("left").alias("left")
     )
-    groups = met.join(nodes.select("node", "bits"), "node").repartition("band", "p", "q")
-    groups = groups.select("band", "p", "q", "node", "bits").sortWithinPartitions("band", "p", "q", "node")
+
+
+def _renamed(parts: DataFrame, names: DataFrame) -> DataFrame:
+    """The parts with a root's new name, if ``root, name`` has one."""
+    return parts.join(names, "root", "left").withColumn("root", F.coalesce("name", "root")).drop("name")
+
+
+def _tied(groups: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: roots of rows that are tied in a group of ``cluster, chunk, block, node, root, bits``.
+
+    Ties connect the texts whose estimates reach the floor. A text is compared with those not yet connected
+    only, so near copies are done after a few comparisons.
+    """
+    keys = ["cluster", "chunk", "block"]
+    groups = groups.repartition(*keys).select(*keys, "node", "root", "bits").sortWithinPartitions(*keys, "node")
     lanes, floor = MINIMA // 64, percent / 100 - MARGIN
 
     def connected(ids: np.ndarray, bits: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -206,7 +230,7 @@ def _ties(nodes: DataFrame, percent: int, block: int) -> DataFrame:
                 estimate = _estimate(MINIMA - np.bitwise_count(differing).sum(axis=1).astype(np.float64))
                 near = estimate >= floor
                 waiting += left[near].tolist()
-                yield from ((int(ids[root]), int(ids[i])) for i in left[near])
+                yield from ((int(ids[root]), int(ids[i])) for i in left[near] if ids[i] != ids[root])
                 left = left[~near]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +238,8 @@ def _ties(nodes: DataFrame, percent: int, block: int) -> DataFrame:
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
-                bits = batch.column(4).flatten().to_numpy().reshape(batch.num_rows, -1)
-                new = keys, batch.column(3).to_numpy(), bits
+                bits = batch.column(5).flatten().to_numpy().reshape(batch.num_rows, -1)
+                new = keys, batch.column(4).to_numpy(), bits
                 rest = new if rest is None else tuple(np.concatenate(pair) for pair in zip(rest, new, strict=True))
             if rest is None or not len(rest[0]):
                 continue
@@ -232,6 +256,39 @@ def _ties(nodes: DataFrame, percent: int, block: int) -> DataFrame:
     return groups.mapInArrow(run, "a long, b long").distinct()
 
 
+def _clusters(nodes: DataFrame, percent: int, block: int) -> DataFrame:
+    """``cluster, node`` of the texts that ties of their bands connect with another.
+
+    A band of more than ``block`` texts is dealt over blocks, a text to one of them, but the smallest to each.
+    Near copies are connected by that one; only what is still outside a band's largest part meets all of the band.
+    """
+    bands = nodes.select("node", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    dealt = bands.join(shared, "band").select("node", F.col("band").alias("cluster"), blocks.alias("blocks"), "head")
+    own = F.array(F.pmod(F.xxhash64("node", "cluster"), F.col("blocks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    met = dealt.withColumn("block", F.explode(F.when(F.col("node") == F.col("head"), every).otherwise(own)))
+    bits = nodes.select("node", "bits")
+    ties = _tied(met.withColumn("chunk", F.lit(0)).withColumn("root", F.col("node")).join(bits, "node"), percent)
+    # All texts a text is tied to are tied to the smallest of them instead: as many edges, but one a text.
+    own = ties.groupBy("b").agg(F.min("a").alias("least"), F.collect_set("a").alias("others"))
+    others = own.select(F.explode("others").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+    edges = own.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(others)
+    clusters = components(edges, "neardup-clusters")
+    if shared.where(F.col("n") > block).isEmpty():
+        return clusters.select(F.col("component").alias("cluster"), "node")
+    large = dealt.where("blocks > 1").select("cluster", "node").join(clusters, "node", "left")
+    large = stored(large.select("cluster", "node", F.coalesce("component", "node").alias("root")), "neardup-bands")
+    more = components(_tied(_meetings(large, block).join(bits, "node"), percent), "neardup-clusters")
+    # A text may have had no tie before.
+    known = clusters.select("node", F.col("component").alias("root"))
+    known = known.unionByName(more.select("node", F.col("node").alias("root")).join(clusters, "node", "left_anti"))
+    return _renamed(known, more.select(F.col("node").alias("root"), F.col("component").alias("name"))).select(
+        F.col("root").alias("cluster"), "node"
+    )
+
+
 class _Forest:
     """Union by smaller root."""
 
@@ -252,27 +309,19 @@ class _Forest:
         self.parent[max(a, b)] = min(a, b)
 
 
-def _links(
-    texts: list[str], bits: np.ndarray, roots: np.ndarray, left: np.ndarray, size: int, percent: int
-) -> list[tuple[int, int]]:
-    """Links that connect what is linked among the rows, of which one end at least is marked ``left``.
+def _links(texts: list[str], bits: np.ndarray, roots: np.ndarray, left: np.ndarray, size: int, percent: int) -> list[int]:
+    """Of each row the place of the first it is connected with, by equal roots or by links of which one end at
+    least is marked ``left``.
 
     The pairs of highest estimate come first, and a pair already connected is skipped, so that sets are
-    compared about once a row; sets decide: 100 * common >= percent * all.
+    compared about once a row; sets decide: 100 * common >= percent * all. Pairs are left out where the values
+    that are in a second set of the group, too, are too few for a link.
     """
-    known: dict[int, np.ndarray] = {}
-
-    def values(i: int) -> np.ndarray:
-        if i not in known:
-            known[i] = shingles(words(texts[i]), size)
-        return known[i]
-
     lanes = MINIMA // 64
     planes = bits.view(np.uint64).reshape(len(texts), BITS, lanes)
-    forest, found = _Forest(roots), []
+    forest = _Forest(roots)
     floor = percent / 100 - MARGIN
     open_rows = np.flatnonzero(left)
-    at_left = {int(i) for i in open_rows}
     # Estimates of a part of the rows at a time, so that the matrix stays small.
     pairs, strengths = [], []
     for at in range(0, len(open_rows), 128):
@@ -283,38 +332,90 @@ def _links(
         estimate = _estimate(MINIMA - np.bitwise_count(differing).sum(axis=2).astype(np.float64))
         i, j = np.nonzero(estimate >= floor)
         a, b = some[i], j
-        once = (a < b) | ((a > b) & ~left[b])
+        once = ((a < b) | ((a > b) & ~left[b])) & (roots[a] != roots[b])
         pairs.append(np.stack([a[once], b[once]], axis=1))
         strengths.append(estimate[i, j][once])
-    if not pairs:
-        return found
-    pair, strength = np.concatenate(pairs), np.concatenate(strengths)
+    pair = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
+    if not len(pair):
+        return [forest.root(i) for i in range(len(texts))]
+    strength = np.concatenate(strengths)
+    known = {int(i): shingles(words(texts[i]), size) for i in np.unique(pair)}
+    values = np.concatenate(list(known.values()))
+    values.sort()
+    again = np.unique(values[1:][values[1:] == values[:-1]])
+    del values
+    # Of each set its length and the places in ``again`` of its values that are there.
+    lengths, places = np.zeros(len(texts), np.int64), [np.empty(0, np.int32)] * len(texts)
+    for i in list(known):
+        own = known.pop(i)
+        lengths[i], own = len(own), own[np.isin(own, again, assume_unique=True)]
+        places[i] = np.searchsorted(again, own).astype(np.int32)
+    shared = np.array([len(own) for own in places])
+    a, b = pair[:, 0], pair[:, 1]
+    most = np.minimum(shared[a], shared[b])
+    able = 100 * most >= percent * (lengths[a] + lengths[b] - most)
+    pair, strength = pair[able], strength[able]
+
+    flat, ends = np.concatenate(places), np.cumsum(shared)
+    mark = np.zeros(len(again), bool)
+
+    def with_each(i: int) -> np.ndarray:
+        mark[places[i]] = True
+        sums = np.concatenate([[0], np.cumsum(mark[flat], dtype=np.int32)])
+        mark[places[i]] = False
+        return sums[ends] - sums[ends - shared]
+
+    failed, counted = np.zeros(len(texts), np.int64), {}
     for i, j in pair[np.argsort(-strength, kind="stable")].tolist():
-        if forest.root(i) == forest.root(j) or (i not in at_left and j not in at_left):
+        if forest.root(i) == forest.root(j):
             continue
-        x, y = values(i), values(j)
-        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-            continue
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        if 100 * common >= percent * (len(x) + len(y) - common):
+        if i not in counted and failed[i] == FAILED:
+            counted[i] = with_each(i)
+        both = counted[i][j] if i in counted else len(np.intersect1d(places[i], places[j], assume_unique=True))
+        if 100 * both >= percent * (lengths[i] + lengths[j] - both):
             forest.join(i, j)
-            found.append((i, j))
-    return found
+        elif i not in counted:
+            failed[i] += 1
+    return [forest.root(i) for i in range(len(texts))]
 
 
 def _confirmed(groups: DataFrame, keys: list[str], size: int, percent: int) -> DataFrame:
-    """``a, b`` of the links found within each group of ``node, text, bits, root, left``."""
+    """``root, name``: the roots that links connect with another within a group of ``node, text, bits, root,
+    left``, and one of these roots that names them all. It is not among the roots itself, so where groups
+    share no root a root has one name."""
 
     def run(group: pa.Table) -> pa.Table:
         order = np.argsort(group["node"].to_numpy(), kind="stable")
         group = group.take(pa.array(order))
-        nodes, texts = group["node"].to_numpy(), group["text"].to_pylist()
+        roots, texts = group["root"].to_numpy(), group["text"].to_pylist()
         bits = np.array(group["bits"].to_pylist(), np.int64)
-        links = _links(texts, bits, group["root"].to_numpy(), group["left"].to_numpy(zero_copy_only=False), size, percent)
-        a, b = (np.array([nodes[pair[side]] for pair in links], np.int64) for side in (0, 1))
-        return pa.table({"a": a, "b": b})
+        first = _links(texts, bits, roots, group["left"].to_numpy(zero_copy_only=False), size, percent)
+        found = {int(root): int(roots[i]) for root, i in zip(roots, first, strict=True) if root != roots[i]}
+        return pa.table({"root": pa.array(list(found), pa.int64()), "name": pa.array(list(found.values()), pa.int64())})
+
+    return groups.groupBy(*keys).applyInArrow(run, "root long, name long")
 
-    return groups.groupBy(*keys).applyInArrow(run, "a long, b long")
+
+def _hopeless(members: DataFrame, size: int, percent: int) -> DataFrame:
+    """``node`` of those of ``cluster, node, text`` that cannot be linked with any of their cluster, as too many of
+    their values are in no other of its sets: what is left of a set has to reach the threshold with the
+    smallest set of the cluster."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cluster, node, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                found = shingles(words(text), size).view(np.int64)
+                same = (pa.array(np.full(len(found), x, np.int64)) for x in (cluster, node, len(found)))
+                yield pa.RecordBatch.from_arrays([*same, pa.array(found)], ["cluster", "node", "length", "value"])
+
+    values = members.select("cluster", "node", "text").mapInArrow(run, "cluster long, node long, length long, value long")
+    once = values.groupBy("cluster", "value").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("length").alias("length"))
+    own = once.where("n = 1").groupBy("cluster", "node").agg(F.max("length").alias("length"), F.count("*").alias("own"))
+    shortest = once.groupBy("cluster").agg(F.min("length").alias("shortest"))
+    shared = F.col("length") - F.col("own")
+    return own.join(shortest, "cluster").where(
+        100 * shared < percent * (F.col("length") + F.greatest(F.col("shortest"), shared) - shared)
+    ).select("node")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
@@ -375,74 +476,43 @@ def _linked(docs: DataFrame, rows: DataFrame, first: DataFrame, size: int, perce
     """``node, component`` of texts that are linked with another."""
     rows = rows.select("key", F.col("doc_id").alias("first_id"), "bits", "bands")
     one = stored(first.join(rows, ["key", "first_id"]).dropDuplicates(["node"]), "neardup-nodes")
-    ties = _ties(one, percent, block)
-    # All texts a text is tied to are tied to the smallest of them instead: as many edges, but one a text.
-    own = ties.groupBy("b").agg(F.min("a").alias("least"), F.collect_set("a").alias("others"))
-    others = own.select(F.explode("others").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
-    edges = own.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(others)
-    clusters = components(edges, "neardup-clusters")
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    members = (
-        clusters.join(sizes, "component")
-        .withColumnRenamed("component", "cluster")
-        .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    )
+    clusters = stored(_clusters(one, percent, block), "neardup-clusters")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    members = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     described = members.join(one.select("node", "key", "first_id", "bits"), "node")
     members = stored(_with_texts(described, docs).drop("key", "first_id"), "neardup-members")
 
     alone = members.select("cluster", "block", "node", "text", "bits", F.col("node").alias("root"), F.lit(True).alias("left"))
-    links = stored(_confirmed(alone, ["cluster", "block"], size, percent), "neardup-links")
+    names = stored(_confirmed(alone, ["cluster", "block"], size, percent), "neardup-links")
+    # A text is in one block, so its name is that of its part.
+    linked = names.select(F.col("root").alias("node"), F.col("name").alias("component"))
     if members.where("blocks > 1").isEmpty():
-        return components(links, "neardup-components")
+        return linked
 
     # Large clusters: one text of each part of two or more meets those of other blocks, until they fit one.
-    large = members.where("blocks > 1")
+    large = members.where("blocks > 1").select("cluster", "node", "text", "bits")
+    parts = stored(_renamed(large.select("cluster", "node", F.col("node").alias("root")), names), "neardup-parts")
     for turn in range(4):
-        labelled = _labelled(large, links)
-        parts = labelled.groupBy("cluster", "root").agg(F.count("*").alias("part")).where("part > 1")
-        heads = parts.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-        met = (
-            labelled.where("node = root").drop("blocks", "block").join(parts, ["cluster", "root"]).join(heads, "cluster")
-            .withColumn("block", F.pmod(F.xxhash64("node", F.lit(turn)), F.col("blocks")).cast("int"))
-        )
-        met = stored(met.select("cluster", "blocks", "block", "node", "text", "bits", "root", F.lit(True).alias("left")), "neardup-heads")
-        links = stored(links.unionByName(_confirmed(met.drop("blocks"), ["cluster", "block"], size, percent)), "neardup-links")
+        heads = parts.groupBy("cluster", "root").agg(F.count("*").alias("part")).where("part > 1")
+        blocks = heads.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+        met = large.join(heads.select("cluster", F.col("root").alias("node")), ["cluster", "node"]).join(blocks, "cluster")
+        met = met.withColumn("block", F.pmod(F.xxhash64("node", F.lit(turn)), F.col("blocks")).cast("int"))
+        met = stored(met.withColumn("root", F.col("node")).withColumn("left", F.lit(True)), "neardup-heads")
+        names = stored(_confirmed(met.drop("blocks"), ["cluster", "block"], size, percent), "neardup-links")
+        parts = stored(_renamed(parts, names), "neardup-parts")
         if met.where("blocks > 1").isEmpty():
             break
 
-    # What is outside a cluster's largest part meets all of the cluster.
-    labelled = stored(_labelled(large, links), "neardup-parts")
-    shares = labelled.groupBy("cluster", "root").agg(F.count("*").alias("part"))
-    main = shares.groupBy("cluster").agg(F.max(F.struct("part", "root")).alias("most"))
-    main = main.select("cluster", F.col("most.root").alias("main"), F.col("most.part").alias("main_size"))
-    marked = labelled.join(main, "cluster").withColumn("left", F.col("root") != F.col("main"))
-    half = block // 2
-    chunks = F.ceil((F.col("n") - F.col("main_size")) / half).cast("int")
-    marked = stored(
-        marked.withColumn("chunks", chunks)
-        .withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(5)), F.greatest(F.col("chunks"), F.lit(1))).cast("int"))
-        .where("chunks > 0")
-        .withColumn("half_blocks", F.ceil(F.col("n") / half).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("half_blocks")).cast("int")),
-        "neardup-outside",
-    )
-    chosen = ["cluster", "chunk", "block", "node", "text", "bits", "root", "left"]
-    everyone = marked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(chosen)
-    everyone = everyone.withColumn("left", F.lit(False))
-    outside = marked.where("left").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("half_blocks") - 1)))
-    both = everyone.unionByName(outside.select(chosen)).groupBy("cluster", "chunk", "block", "node").agg(
-        F.first("text").alias("text"), F.first("bits").alias("bits"), F.first("root").alias("root"), F.max("left").alias("left")
-    )
-    more = _confirmed(both, ["cluster", "chunk", "block"], size, percent)
-    return components(links.unionByName(more), "neardup-components")
-
-
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """The members with ``root``, the part of their cluster that the links make."""
-    parts = components(links, "neardup-parts")
-    return members.join(parts, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
+    # What is outside a cluster's largest part meets all of the cluster, but for what no set of it can be linked with.
+    open_parts = parts.groupBy("cluster").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    texts = large.join(open_parts.select("cluster"), "cluster", "left_semi")
+    able = parts.join(stored(_hopeless(texts, size, percent), "neardup-hopeless"), "node", "left_anti")
+    outside = stored(_meetings(able, block), "neardup-outside").join(large.drop("cluster"), "node")
+    more = _confirmed(outside, ["cluster", "chunk", "block"], size, percent)
+    names = components(more.select(F.col("root").alias("a"), F.col("name").alias("b")), "neardup-components")
+    parts = _renamed(parts, names.select(F.col("node").alias("root"), F.col("component").alias("name")))
+    few = linked.join(large.select("node"), "node", "left_anti")
+    return few.unionByName(parts.select("node", F.col("root").alias("component")))
 
 
 @keeps_columns("doc_id", "text")

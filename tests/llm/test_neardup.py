@@ -76,6 +76,49 @@ def test_large_group_with_a_fringe(docs, block):
     assert found(neardup.near_duplicates(docs(rows), size=2, block=block)) == brute(rows, 2)
 
 
+def test_edges_grow_with_the_group_not_its_square(docs, monkeypatch):
+    """Groups of near copies of 10 and 40 blocks: the edges that the rounds of components join with labels, summed over all rounds."""
+    stored, met, edges = neardup.stored, [0], [0]
+
+    def counted(df, purpose):
+        out = stored(df, purpose)
+        if purpose.endswith("-edges"):
+            edges[0] = out.count()
+        met[0] += edges[0] * purpose.endswith("-labels")
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    total = []
+    for n in (120, 480):
+        rows = list(enumerate(variants(words(11, 60), n, 5, n)))
+        met[0] = 0
+        assert found(neardup.near_duplicates(docs(rows), size=2, block=12)) == brute(rows, 2)
+        total.append(met[0])
+    assert total[1] < 8 * total[0] and total[1] < 20 * 480, total
+
+
+@pytest.mark.parametrize("vocabulary", [8, 10**6])
+def test_links_of_a_group_are_exact(vocabulary):
+    """Sets of one-word edits, of few words that come again and of words that are in one set only; some rows are joined before."""
+    rng, base, texts = random.Random(vocabulary), words(12, 60), []
+    for _ in range(150):
+        own = list(base)
+        for _ in range(rng.randint(0, 12)):
+            own[rng.randrange(60)] = f"edit{rng.randrange(vocabulary)}"
+        texts.append(" ".join(own))
+    values = [neardup.shingles(neardup.words(t), 2) for t in texts]
+    bits = np.array([neardup.packed_bits(neardup.minima(v)) for v in values])
+    left = np.array([rng.random() < 0.5 for _ in texts])
+    roots = np.where(left, np.arange(150), np.flatnonzero(~left)[0])
+    forest = neardup._Forest(roots)
+    for i in range(150):
+        for j in range(i):
+            common = len(np.intersect1d(values[i], values[j]))
+            if (left[i] or left[j]) and 100 * common >= 80 * (len(values[i]) + len(values[j]) - common):
+                forest.join(i, j)
+    assert neardup._links(texts, bits, roots, left, 2, 80) == [forest.root(i) for i in range(150)]
+
+
 def test_chains_join(docs):
     """Each text is linked with the next only."""
     chain = [words(7, 80)]
