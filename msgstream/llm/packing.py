@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -21,14 +22,21 @@ PIECES = (
 # Documents that share a set of open sequences, and the token bytes after which a set is closed early.
 BLOCK_DOCS = 4096
 BLOCK_BYTES = 32 << 20
-# Chunks, and words in them, whose ids a worker remembers: twice as many at most, those not met again go.
-CHUNKS_KEPT = 200_000
-WORDS_KEPT = 600_000
+# A set is looked at after each group of so many documents. Texts encoded in one call: whole groups, of so many
+# documents and bytes at most, but one group at least.
+GROUP_DOCS = 256
+CALL_DOCS = 1024
+CALL_BYTES = 8 << 20
+# Chunks, and words in them, whose ids a task remembers between calls: twice as many at most, those not met again go.
+CHUNKS_KEPT = 60_000
+WORDS_KEPT = 120_000
+# Longer ones, in characters, are not remembered.
+LONGEST_KEPT = 64
 # Words encoded in one call.
 CALL_WORDS = 512
-# A word of Latin letters at the start of a chunk, up to an ASCII character or the end, which nothing joins or
-# composes it with; then whatever else is in the chunk.
-FIRST_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[\x00-\x7F]|\Z)")
+# Of each chunk, with a space before it: the word of Latin letters at its start, up to an ASCII character or the end,
+# which nothing joins or composes it with, if there is one; then whatever else is in the chunk.
+PARTED = re.compile(r" (?:([A-Za-zÀ-ÖØ-öø-ÿ]++)(?=[\x00-\x7F]|\Z))?([^ ]*+)")
 # Sequence ids: the partition above, the running number of the sequence in it below.
 SEQUENCES_BITS = 40
 
@@ -39,8 +47,8 @@ class ChunkIds:
     The tokenizer drops white space and never joins what stands on both sides of it, nor a word with what is
     not a letter after it, and it sees words in lower case. So the ids of a text are those of its chunks
     between spaces one after the other, and those of a chunk are its first word's and the rest's. Each
-    distinct chunk and word is encoded once a worker; words go to the tokenizer many at a time, as the last
-    token of each is marked as such.
+    distinct chunk and word is encoded once a call, and the ids of some are remembered for the next; words go
+    to the tokenizer many at a time, as the last token of each is marked as such.
     """
 
     def __init__(self, path: str):
@@ -71,35 +79,49 @@ class ChunkIds:
             if len(ends) != len(group):
                 raise ValueError("the vocabulary does not mark the ends of words")
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, words: set[str], others: set[str]) -> None:
         if len(self.chunks) > CHUNKS_KEPT:
             self.chunks, self.earlier_chunks = {}, self.chunks
         if len(self.words) > WORDS_KEPT:
             self.words, self.earlier_words = {}, self.words
-        latin, others = [], set()
-        for chunk in (chunk for chunk in chunks if chunk not in self.chunks):
-            if chunk in self.earlier_chunks:
-                self.chunks[chunk] = self.earlier_chunks[chunk]
-                continue
-            first = FIRST_WORD.match(chunk)
-            if first:
-                latin.append((chunk, first[0].lower(), chunk[first.end() :]))
-                others.add(chunk[first.end() :])
-            else:
-                others.add(chunk)
-        new_words = {word for _, word, _ in latin if word not in self.words}
-        again = new_words & self.earlier_words.keys()
-        self.words.update((word, self.earlier_words[word]) for word in again)
-        self._learn_words(list(new_words - again))
-        new = [chunk for chunk in others if chunk not in self.chunks]
+        for new, known, earlier in ((words, self.words, self.earlier_words), (others, self.chunks, self.earlier_chunks)):
+            new.difference_update(known)
+            again = new.intersection(earlier)
+            known.update((x, earlier[x]) for x in again)
+            new.difference_update(again)
+        self._learn_words(list(words))
+        new = list(others)
         encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         self.chunks.update((c, np.asarray(e.ids, "<u4").tobytes()) for c, e in zip(new, encodings, strict=True))
-        self.chunks.update((chunk, self.words[word] + self.chunks[rest]) for chunk, word, rest in latin)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        chunked = [text.replace("\n", " ").split(" ") for text in texts]
-        self._learn(set().union(*chunked))
-        return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in chunked]
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        if not len(texts):
+            return []
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
+        chunked = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        chunks = chunked.flatten().dictionary_encode()
+        distinct = pa.ListArray.from_arrays([0, len(chunks.dictionary)], chunks.dictionary)
+        parted = PARTED.findall(" " + pc.binary_join(distinct, " ")[0].as_py())
+        # These letters have one lower-case letter each.
+        words = " ".join([word for word, _ in parted]).lower().split(" ")
+        rests = [rest for _, rest in parted]
+        del parted
+        self._learn(set(words) - {""}, set(rests))
+        known, others = self.words, self.chunks
+        of_chunks = [known[word] + others[rest] if word else others[rest] for word, rest in zip(words, rests, strict=True)]
+        for once in {word for word in words if len(word) > LONGEST_KEPT}:
+            del known[once]
+        for once in {rest for rest in rests if len(rest) > LONGEST_KEPT}:
+            del others[once]
+        ids = pa.array(of_chunks, pa.large_binary()).take(chunks.indices)
+        _, offsets, values = ids.buffers()
+        starts = np.frombuffer(offsets, np.int64)[chunked.offsets.to_numpy() - chunked.offsets[0].as_py()].tolist()
+        raw = memoryview(values or b"")
+        return [bytes(raw[a:b]) for a, b in zip(starts, starts[1:], strict=False)]
+
+    def forget(self) -> None:
+        """Leaves the worker, which goes on to other steps, nothing but the tokenizers."""
+        self.chunks, self.words, self.earlier_chunks, self.earlier_words = {}, {}, {}, {}
 
 
 @lru_cache(maxsize=2)
@@ -107,6 +129,23 @@ def chunk_ids(path: str) -> ChunkIds:
     return ChunkIds(path)
 
 
+def encoded_groups(batch: pa.RecordBatch, known: ChunkIds) -> Iterator[tuple[list, list[bytes]]]:
+    """The ids and encoded texts of a batch's documents, a group at a time."""
+    starts = range(0, batch.num_rows, GROUP_DOCS)
+    sizes = [batch.column(1).slice(at, GROUP_DOCS).nbytes for at in starts]
+    call: list[int] = []
+    for k, at in enumerate(starts):
+        call.append(sizes[k])
+        if k + 1 < len(sizes) and len(call) < CALL_DOCS // GROUP_DOCS and sum(call) + sizes[k + 1] <= CALL_BYTES:
+            continue
+        first = at - (len(call) - 1) * GROUP_DOCS
+        rows = batch.slice(first, len(call) * GROUP_DOCS)
+        ids, texts = rows.column(0).to_pylist(), known.encode(rows.column(1))
+        for of in range(0, len(ids), GROUP_DOCS):
+            yield ids[of : of + GROUP_DOCS], texts[of : of + GROUP_DOCS]
+        call = []
+
+
 def balanced(lengths: np.ndarray, capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
     """Places tails, each shorter than the capacity, as (tail, start in it, length, sequence).
 
@@ -195,12 +234,10 @@ def pack(
         encoded: list[bytes] = []
         size = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [text or "" for text in part.column(1).to_pylist()]
-                ids += part.column(0).to_pylist()
-                encoded += [x + end for x in known.encode(texts)]
-                size += sum(map(len, encoded[-len(texts) :]))
+            for doc_id, new in encoded_groups(batch, known):
+                ids += doc_id
+                encoded += [x + end for x in new]
+                size += sum(map(len, encoded[-len(new) :]))
                 if len(ids) >= BLOCK_DOCS or size >= BLOCK_BYTES:
                     out, sequence = pieces(ids, encoded, sequence)
                     ids, encoded, size = [], [], 0
@@ -211,11 +248,13 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # What is kept here holds no cycles, and looking for them takes a quarter of the time. The worker goes on to
-        # other tasks, whose cycles must be found again.
+        # other tasks, whose cycles must be found again, and beside other steps, which need the memory.
         gc.disable()
         try:
             yield from packed(batches)
         finally:
             gc.enable()
+            chunk_ids(tokenizer).forget()
+            pa.default_memory_pool().release_unused()
 
     return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(run, PIECES)

@@ -10,6 +10,7 @@ from math import exp
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,6 +93,23 @@ def _with_tokens(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def _with_places(df: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """The rows with ``held``, the places in the vocabulary of those tokens that are in it, instead of ``tokens``, the last column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(vocabulary, pa.string())
+        for batch in batches:
+            tokens = batch.column(batch.num_columns - 1)
+            places = pc.index_in(tokens.flatten().cast(pa.string()), value_set=known)
+            before = np.append(0, np.cumsum(places.is_valid().to_numpy(zero_copy_only=False)))
+            starts = before[tokens.offsets.to_numpy() - tokens.offsets[0].as_py()]
+            held = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), places.drop_null())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], held], [*batch.schema.names[:-1], "held"])
+
+    schema = T.StructType([*df.schema.fields[:-1], T.StructField("held", T.ArrayType(T.IntegerType()))])
+    return df.mapInArrow(run, schema)
+
+
 def _vocabulary(sample: DataFrame, categories: list[str], size: int) -> list[str]:
     """The tokens that tell the classes of a category apart best, by chi square; at most ``size`` of them."""
     held = sample.select(*categories, F.explode("tokens").alias("token"))
@@ -232,19 +250,21 @@ def fit_chain(
         return Chain(names, [Constant(float(round(share or 0.0))) for share in shares])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {token: i for i, token in enumerate(vocabulary)}
         rows, fold_of, held = [], [], []
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 columns = batch.slice(at, 256).to_pydict()
                 rows += list(zip(*(columns[name] for name in names), strict=True))
                 fold_of += columns["fold"]
-                held += [np.array([place[t] for t in own if t in place], np.int64) for own in columns["tokens"]]
+                held += [np.array(own, np.int64) for own in columns["held"]]
         models, threshold = _chain_of(np.array(rows), np.array(fold_of), held, vocabulary, folds)
         yield pa.RecordBatch.from_pydict({"models": [json.dumps(models)], "threshold": [threshold]})
 
-    # The sample is bounded, so one task fits the whole chain; rows in one order make it the same each time.
-    fitted = sample.coalesce(1).sortWithinPartitions("fold", *names, F.xxhash64("tokens")).mapInArrow(run, "models string, threshold double").first()
+    # The sample is bounded, so one task fits the whole chain, and is sent no more of it than the models weigh; rows
+    # in one order make it the same each time.
+    placed = _with_places(sample.select(*names, "fold", F.xxhash64("tokens").alias("tokens_hash"), "tokens"), vocabulary)
+    in_order = placed.repartition(1).sortWithinPartitions("fold", *names, "tokens_hash")
+    fitted = in_order.select(*names, "fold", "held").mapInArrow(run, "models string, threshold double").first()
     models = json.loads(fitted["models"])
     models = [Constant(m["value"]) if "value" in m else Linear(**m) for m in models]
     return Chain(names, models, fitted["threshold"])

@@ -110,3 +110,37 @@ def test_a_worker_collects_garbage_after_its_packing(docs, spark):
             yield pa.RecordBatch.from_pydict({"on": [gc.isenabled()] * batch.num_rows})
 
     assert all(r.on for r in spark.range(8).mapInArrow(run, "on boolean").collect())
+
+
+def test_a_worker_keeps_no_words_after_its_packing(docs, spark):
+    """What a step remembers is not there any more beside the next one's memory."""
+    registry.packed(docs([(i, f"some words, {chr(97 + i)} жук") for i in range(8)])).collect()
+
+    def run(batches):
+        for batch in batches:
+            known = packing.chunk_ids(PATH)
+            left = sum(map(len, (known.chunks, known.words, known.earlier_chunks, known.earlier_words)))
+            yield pa.RecordBatch.from_pydict({"left": [left] * batch.num_rows})
+
+    assert {r.left for r in spark.range(8).mapInArrow(run, "left long").collect()} == {0}
+
+
+def test_long_words_are_encoded_but_not_remembered(tokenizer):
+    known = packing.ChunkIds(PATH)
+    texts = [f"{'ab' * 300}, {'жук' * 300} a.{'x' * 300}", "", "short words", "\n".join(["İ", "a\tb", "naïvé", "É!", "", "ß"])]
+    for part in (texts, pa.array([*texts, None, *texts]).slice(2)):
+        own = part if isinstance(part, list) else part.to_pylist()
+        assert known.encode(part) == [expected(tokenizer, text)[:-1].tobytes() for text in own]
+    assert {"short", "words"} <= known.words.keys() and max(map(len, [*known.words, *known.chunks])) < 300
+
+
+def test_groups_follow_rows_however_many_are_encoded_at_once(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_DOCS", 3)
+    texts = [None if i % 7 == 0 else f"w{chr(97 + i % 26)} " * (i % 5) for i in range(32)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": ["x"] * 8 + texts}).slice(8)
+    for docs_at_once, bytes_at_once in ((3, 1 << 20), (12, 1 << 20), (12, 40), (12, 0)):
+        monkeypatch.setattr(packing, "CALL_DOCS", docs_at_once)
+        monkeypatch.setattr(packing, "CALL_BYTES", bytes_at_once)
+        groups = list(packing.encoded_groups(batch, packing.ChunkIds(PATH)))
+        assert [len(ids) for ids, _ in groups] == [3] * 10 + [2] and sum((ids for ids, _ in groups), []) == list(range(8, 40))
+        assert sum((new for _, new in groups), []) == [expected(tokenizer, text)[:-1].tobytes() for text in texts]
